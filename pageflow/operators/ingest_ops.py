@@ -60,3 +60,41 @@ def keep_keywords(parsed: DataFrame, keywords: DataFrame,
 def with_bad_flag(parsed: DataFrame) -> DataFrame:
     """Add ``bad``: the count would fail the unsigned cast (NULL or negative)."""
     return parsed.withColumn("bad", P.is_bad_hits(F.col("hits")))
+
+
+def flag_lenient(lines: DataFrame, keywords: DataFrame, line_col: str = "value",
+                 time_col: Column | None = None, projects: Iterable[str] | None = P.DEFAULT_PROJECTS,
+                 passthrough: Iterable[str] = ("file_name",)) -> DataFrame:
+    """Lenient parse of every line plus flags ``kept`` (would be loaded) and ``bad``.
+
+    ``bad`` is evaluated only on kept rows, as the reference casts after its
+    keyword and project filters (D3): garbage on unrelated pages does not fail
+    a file. A left join on the (checked, broadcast, de-duplicated) keyword set
+    gives the keyword flag without dropping lines.
+    """
+    if time_col is None:
+        time_col = P.time_from_file_name(F.col("file_name"))
+    cols = P.lenient_columns(line_col)
+    parsed = lines.select(*passthrough, time_col.alias("time"),
+                          P.lenient_keep(line_col).alias("well_formed"),
+                          *[c.alias(n) for n, c in cols.items()])
+    kw = keywords.select(F.col("keyword").alias("_kw")).where(F.col("_kw").isNotNull()).distinct()
+    j = parsed.join(checked_broadcast(kw), parsed["path"] == kw["_kw"], "left")
+    in_projects = F.col("project").isin(list(projects)) if projects is not None else F.lit(True)
+    kept = F.col("well_formed") & in_projects & F.col("_kw").isNotNull()
+    return (j.withColumn("kept", kept)
+            .withColumn("bad", F.col("kept") & (P.is_bad_hits(F.col("hits")) | F.col("time").isNull()))
+            .drop("_kw"))
+
+
+def file_outcomes(flagged: DataFrame, file_col: str | list[str] = "file_name") -> DataFrame:
+    """Per file: rows that would load, bad rows, and ``success``/``failed`` (L4).
+
+    One partial/final aggregate on the file key; each gzip file is read by a
+    single task, so the map side already emits one row per file.
+    """
+    keys = [file_col] if isinstance(file_col, str) else list(file_col)
+    return (flagged.groupBy(*keys)
+            .agg(F.count_if(F.col("kept") & ~F.col("bad")).alias("rows_ok"),
+                 F.count_if(F.col("bad")).alias("bad_rows"))
+            .withColumn("status", F.when(F.col("bad_rows") > 0, F.lit("failed")).otherwise(F.lit("success"))))

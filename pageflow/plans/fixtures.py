@@ -25,6 +25,8 @@ UNKNOWN_TITLE_EVERY = 41
 ESCAPED_SPACE_EVERY = 3
 SHORT_LINE_EVERY = 53
 KEYWORD_NOUNS_LIKE = ["%widget%", "%gear%", "%rod%"]
+DIRTY_NA_EVERY = 97
+DIRTY_NEG_EVERY = 89
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,9 +43,12 @@ def hour_file_pattern(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy/yyyy-MM/"), hour_file_name(ts))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     """Dump lines ``(file_time, file_name, line)``; one per event.
 
+    ``dirty=True`` makes some counts unusable (``n/a`` or negative), as a
+    damaged dump would have them; files holding such a kept row get quarantined.
+
     ``part`` is filtered to the 200 join keys and broadcast after a bounded
     size check, so the (huge) events side is never shuffled for this join.
     """
@@ -58,8 +63,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = (F.when(eid % UNKNOWN_TITLE_EVERY == 0, F.lit("-"))
              .otherwise(F.replace(F.col("p_name"), F.lit(" "),
                                   F.when(eid % ESCAPED_SPACE_EVERY == 0, F.lit("%5F")).otherwise(F.lit("_")))))
+    count = (F.col("user_id") + 1).cast("string")
+    if dirty:
+        count = (F.when(eid % DIRTY_NA_EVERY == 0, F.lit("n/a"))
+                 .when(eid % DIRTY_NEG_EVERY == 0, F.concat(F.lit("-"), count))
+                 .otherwise(count))
     tail = (F.when(eid % SHORT_LINE_EVERY == 0, F.lit(""))
-            .otherwise(F.concat(F.lit(" "), (F.col("user_id") + 1).cast("string"), F.lit(" 0"))))
+            .otherwise(F.concat(F.lit(" "), count, F.lit(" 0"))))
     file_time = F.date_trunc("hour", F.col("ts"))
     return j.select(
         file_time.alias("file_time"),
@@ -87,3 +97,75 @@ def pageviews(spark: SparkSession, sf_dir: str, projects=P.DEFAULT_PROJECTS) ->
     parsed = parse_lenient(lines(spark, sf_dir), line_col="line", time_col=F.col("file_time"))
     kept = keep_keywords(parsed, keyword_seed(spark, sf_dir), projects=projects)
     return kept.select("time", "project", "subproject", "path", "hits")
+
+
+def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines(spark, sf_dir, dirty=True)
+
+
+# Fixed load dates of the double-load fixture (two loads of the same hours).
+LOAD_DATES = ["2024-02-01", "2024-02-02"]
+
+
+def double_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact loaded twice (B3), each copy stamped with its own ``ingestion_date``."""
+    pv = pageviews(spark, sf_dir)
+    loads = [pv.withColumn("ingestion_date", F.lit(d).cast("date")) for d in LOAD_DATES]
+    return loads[0].unionByName(loads[1])
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article corpus ``id, title, text, url`` from ``documents`` (title = first line)."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").cast("string").alias("id"),
+                    F.split_part(F.col("text"), F.lit("\n"), F.lit(1)).alias("title"),
+                    F.col("text"),
+                    F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"))
+
+
+def dirty_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-file outcome of loading the dirty lines: ``file_name, file_time, rows_ok, bad_rows, status``."""
+    from pageflow.operators.ingest_ops import file_outcomes, flag_lenient
+    flagged = flag_lenient(dirty_lines(spark, sf_dir), keyword_seed(spark, sf_dir), line_col="line",
+                           time_col=F.col("file_time"), passthrough=("file_name", "file_time"))
+    return file_outcomes(flagged, ["file_name", "file_time"])
+
+
+def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of two runs over the dirty hours.
+
+    Run ``r1`` tries every hour (processed two hours after it); run ``r2``
+    retries the failed hours with an even hour of day a day later and
+    succeeds with their good rows.
+    """
+    o = dirty_outcomes(spark, sf_dir)
+    pattern = hour_file_pattern(F.col("file_time"))
+    r1 = o.select(pattern.alias("file_pattern"),
+                  F.when(F.col("status") == "success", F.col("rows_ok")).otherwise(F.lit(0)).cast("long")
+                  .alias("rows_inserted"),
+                  (F.col("file_time") + F.expr("INTERVAL 2 HOURS")).cast("timestamp").alias("processed_at"),
+                  F.col("status"),
+                  F.when(F.col("status") == "failed",
+                         F.concat(F.col("bad_rows").cast("string"), F.lit(" rows with unusable counts")))
+                  .alias("error_message"),
+                  F.lit("r1").alias("run_id"))
+    r2 = (o.where((F.col("status") == "failed") & (F.hour("file_time") % 2 == 0))
+          .select(pattern.alias("file_pattern"), F.col("rows_ok").cast("long").alias("rows_inserted"),
+                  (F.col("file_time") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("processed_at"),
+                  F.lit("success").alias("status"), F.lit(None).cast("string").alias("error_message"),
+                  F.lit("r2").alias("run_id")))
+    return r1.unionByName(r2)
+
+
+def event_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row ``start, end``: the first and last event time."""
+    return table(spark, sf_dir, "events").agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
+
+
+def listing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory-listing lines (one per event) naming the event's hourly dump twice."""
+    e = table(spark, sf_dir, "events")
+    name = hour_file_name(F.date_trunc("hour", F.col("ts")))
+    return e.select(F.concat(F.lit('<a href="'), name, F.lit('">'), name, F.lit("</a> "),
+                             F.date_format("ts", "dd-MMM-yyyy HH:mm"), F.lit(" "),
+                             F.col("user_id").cast("string")).alias("value"))

@@ -73,3 +73,207 @@ def q_coverage(spark, sf):
 def q_trailing_week_top(spark, sf):
     pv = X.pageviews(spark, sf)
     return R.trailing_top_pages(pv, as_of=R.latest_date(pv), days=7)
+
+
+# --- maintenance (M1-M4) ---------------------------------------------------------------
+
+from pageflow.operators import maintain as M  # noqa: E402
+
+
+@register("collapse_sum")
+def q_collapse_sum(spark, sf):
+    """M2 over a double load: hits double (B4), newest ingestion_date kept."""
+    return M.collapse_sum(X.double_load(spark, sf))
+
+
+@register("keep_latest")
+def q_keep_latest(spark, sf):
+    """M3 over a double load, key = full natural key, version = ingestion_date."""
+    return M.keep_latest(X.double_load(spark, sf))
+
+
+@register("drop_duplicates")
+def q_drop_duplicates(spark, sf):
+    """M1: exact duplicate rows of a double load (without load stamps) removed."""
+    return M.drop_exact_duplicates(X.double_load(spark, sf).drop("ingestion_date"))
+
+
+@register("dedup_loads")
+def q_dedup_loads(spark, sf):
+    """Sum within each load, then keep the latest load per key."""
+    return M.dedup_loads(X.double_load(spark, sf))
+
+
+@register("table_rebuild")
+def q_table_rebuild(spark, sf):
+    """M4: rebuild the (double-loaded) table into a new version with M2 and read it back."""
+    from pageflow.plans.ingest import write_fact
+    from pageflow.session import scratch_path
+    src = scratch_path(spark, "rebuild-src")
+    write_fact(X.double_load(spark, sf).drop("ingestion_date"), src)
+    out = M.rebuild_and_swap(spark, src, scratch_path(spark, "rebuild-dst"),
+                             lambda df: M.collapse_sum(df, version_col="ingestion_date")
+                             .withColumn("ym", (F.year("time") * 100 + F.month("time")).cast("int")))
+    return spark.read.parquet(out).select("time", "project", "subproject", "path", "hits")
+
+
+# --- parsing (P1-P10) --------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from pageflow.functions import parse as P  # noqa: E402
+from pageflow.operators import ingest_ops as I  # noqa: E402
+
+
+@register("parse_lenient")
+def q_parse_lenient(spark, sf):
+    """P1-P8 over every derived line (before keyword/project filters)."""
+    return I.parse_lenient(X.lines(spark, sf), line_col="line", time_col=F.col("file_time")) \
+        .select("time", "project", "subproject", "raw_title", "path", "hits")
+
+
+@register("parse_strict")
+def q_parse_strict(spark, sf):
+    """P10 over every derived line: strict grammar, dotted subproject, encoded title."""
+    return I.parse_strict(X.lines(spark, sf), line_col="line", time_col=F.col("file_time"))
+
+
+@register("timestamp_from_filename")
+def q_timestamp_from_filename(spark, sf):
+    """P4/P5 on every hourly dump name of the events plus names that carry no hour."""
+    e = X.table(spark, sf, "events")
+    good = X.hour_file_name(F.date_trunc("hour", F.col("ts")))
+    bad = F.concat(F.lit("pageviews-"), F.col("event_type"), F.lit(".gz"))
+    names = e.select(good.alias("file_name")).unionByName(e.select(bad.alias("file_name"))).distinct()
+    path = F.concat(F.lit("/dumps/2024/2024-01/"), F.col("file_name"))
+    return names.select("file_name",
+                        P.time_from_file_name(F.col("file_name")).alias("time_from_name"),
+                        P.time_from_path_rewrite(path).alias("time_from_path"))
+
+
+@register("file_quarantine")
+def q_file_quarantine(spark, sf):
+    """Per-file outcome of the dirty lines (bad counts only after the filters)."""
+    return X.dirty_outcomes(spark, sf).select("file_name", "rows_ok", "bad_rows", "status")
+
+
+# --- keyword dimension (K1) ----------------------------------------------------------------
+
+from pageflow.operators import dims as D  # noqa: E402
+
+
+@register("keyword_seed")
+def q_keyword_seed(spark, sf):
+    """K1: a partial dimension (one category) seeded with the full derived seed, twice."""
+    seed = X.keyword_seed(spark, sf)
+    existing = seed.where(F.col("category") == "widget")
+    once = existing.select("keyword", "category").unionByName(
+        D.merge_seed(existing, seed).select("keyword", "category"))
+    twice = once.unionByName(D.merge_seed(once, seed).select("keyword", "category"))
+    return twice
+
+
+# --- manifests (S7-S9) ----------------------------------------------------------------------
+
+from pageflow.sources import manifest as MF  # noqa: E402
+
+
+@register("file_manifest")
+def q_file_manifest(spark, sf):
+    """Every hourly dump between the first and last event."""
+    return MF.hourly_manifest(X.event_bounds(spark, sf))
+
+
+@register("listing_manifest")
+def q_listing_manifest(spark, sf):
+    """Distinct dump names in listing text, with their archive location."""
+    names = MF.listing_manifest(X.listing_text(spark, sf))
+    return names.select("file_name", MF.full_location("file_name", "https://dumps.example/pageviews/").alias("url"))
+
+
+# --- ledger (L5, L6, R8, R9, R12, J3) ---------------------------------------------------------
+
+from pageflow.operators import ledger as LG  # noqa: E402
+
+
+@register("ledger_latest")
+def q_ledger_latest(spark, sf):
+    return LG.ledger_latest(X.ledger_rows(spark, sf)).drop("error_message")
+
+
+@register("ledger_status")
+def q_ledger_status(spark, sf):
+    return LG.status_rollup(X.ledger_rows(spark, sf))
+
+
+@register("latest_loads")
+def q_latest_loads(spark, sf):
+    return LG.latest_loads(X.ledger_rows(spark, sf))
+
+
+@register("run_summary")
+def q_run_summary(spark, sf):
+    return LG.run_summary(X.ledger_rows(spark, sf))
+
+
+@register("pending_files")
+def q_pending_files(spark, sf):
+    """Hours of the event span not yet loaded successfully."""
+    manifest = MF.hourly_manifest(X.event_bounds(spark, sf))
+    return LG.pending_files(manifest, X.ledger_rows(spark, sf)).select("file_pattern")
+
+
+# --- census (R11) and snapshot (R10) --------------------------------------------------------
+
+@register("table_census")
+def q_table_census(spark, sf):
+    return R.table_census(spark, {t: X.table(spark, sf, t) for t in X.TABLES})
+
+
+@register("summary_snapshot")
+def q_summary_snapshot(spark, sf):
+    """R10 with a fixed generation stamp (the newest fact hour) so runs compare."""
+    pv = X.pageviews(spark, sf)
+    gen = pv.agg(F.max("time")).scalar()
+    return R.summary_snapshot(pv, X.keyword_seed(spark, sf), generated_at=gen.cast("timestamp"))
+
+
+# --- article mining (A1-A6) ---------------------------------------------------------------
+
+from pageflow.operators import articles as A  # noqa: E402
+
+# Corpus-vocabulary topic set: the invented corpus rarely holds the reference
+# terms (one 'etl' at sf0.01), so top-N / export also run on a frequent word.
+VOCAB_TERMS = ["the"]
+
+
+@register("topic_flag")
+def q_topic_flag(spark, sf):
+    return A.flag_articles(X.articles(spark, sf)).select("id", "article_length", "is_data_engineering")
+
+
+@register("mention_counts")
+def q_mention_counts(spark, sf):
+    return X.articles(spark, sf).select("id", *A.mention_columns())
+
+
+@register("first_paragraph")
+def q_first_paragraph(spark, sf):
+    return X.articles(spark, sf).select("id", A.first_paragraph().alias("summary"))
+
+
+@register("top_articles")
+def q_top_articles(spark, sf):
+    return A.top_articles(X.articles(spark, sf), terms=VOCAB_TERMS)
+
+
+@register("top_articles_reference_terms")
+def q_top_articles_ref(spark, sf):
+    return A.top_articles(X.articles(spark, sf))
+
+
+@register("article_export")
+def q_article_export(spark, sf):
+    from pageflow.session import scratch_path
+    out = A.export_matching(X.articles(spark, sf), scratch_path(spark, "articles"), terms=VOCAB_TERMS)
+    return spark.read.parquet(out).drop("text")
