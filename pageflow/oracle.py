@@ -304,3 +304,36 @@ SELECT (SELECT count(*) FROM pageviews) AS total_rows,
 SELECT id, title, url, length(text) AS article_length, {VOCAB_FLAG} AS is_data_engineering
 FROM articles WHERE ({VOCAB_FLAG}) = 1""",
 })
+
+DUMP_ROWS = """
+dump AS (
+  SELECT split_part(line, ' ', 1) AS project, split_part(line, ' ', 2) AS page_title,
+         TRY_CAST(NULLIF(split_part(line, ' ', 3), '') AS BIGINT) AS view_count,
+         TRY_CAST(NULLIF(split_part(line, ' ', 4), '') AS BIGINT) AS bytes_served,
+         NULLIF(split_part(line, ' ', 3), '') AS view_count_text,
+         NULLIF(split_part(line, ' ', 4), '') AS bytes_served_text
+  FROM lines
+)"""
+
+
+def _dump(sql: str) -> str:
+    return "WITH " + LINES + "," + DUMP_ROWS + "\n" + sql
+
+
+QUERIES.update({
+    "dump_scan": _dump("SELECT project, page_title, view_count, bytes_served FROM dump WHERE project IS NOT NULL"),
+    "title_in_list": _dump("""
+SELECT page_title, view_count, bytes_served FROM dump
+WHERE page_title IN ('red_widget', 'blue_widget', 'small_gear', 'hot_gear', 'big_rod', 'DuckDB')"""),
+    "title_like_mix": _dump("""
+SELECT page_title, view_count, bytes_served FROM dump
+WHERE page_title LIKE '%red%widget%' OR page_title LIKE '%GEAR%' OR page_title LIKE '%rod%'
+   OR page_title IN ('blue_bolt', 'small_ring')"""),
+    "raw_preview": _dump("""
+SELECT project, page_title, view_count_text AS view_count, bytes_served_text AS bytes_served FROM dump
+ORDER BY project NULLS FIRST, page_title NULLS FIRST, view_count_text NULLS FIRST, bytes_served_text NULLS FIRST
+LIMIT 20"""),
+    "line_scan": "WITH " + LINES + "\nSELECT line, file_name, file_time AS time FROM lines",
+    "file_ingest": _fact("SELECT time, project, subproject, path, hits FROM pageviews"),
+    "stream_load": _fact("SELECT time, project, subproject, path, hits FROM pageviews"),
+})

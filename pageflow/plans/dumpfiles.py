@@ -28,7 +28,7 @@ def write_dump_files(spark: SparkSession, lines: DataFrame, base: str,
     """Write ``lines`` as one gzip file per ``name_col`` below ``base``; returns ``base``."""
     staging = base.rstrip("/") + "/_staging"
     (lines.select(F.col(name_col).alias("fname"), F.col(line_col).alias("value"))
-     .repartition("fname")
+     .repartition(spark.sparkContext.defaultParallelism, "fname")
      .write.mode("overwrite").option("compression", "gzip")
      .partitionBy("fname").text(staging))
     jvm, sp, fs = _fs(spark, staging)

@@ -32,24 +32,32 @@ from pageflow.operators import ledger as L
 from pageflow.operators.ingest_ops import flag_lenient, parse_strict
 from pageflow.plans.joins import checked_broadcast
 from pageflow.session import scratch_path
-from pageflow.sources.dumps import read_lines
+from pageflow.sources.dumps import read_named_lines
 
 STAGED_COLS = ["file_name", "time", "project", "subproject", "path", "hits", "bad"]
 
 
 def _existing(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """Split ``paths`` into present and missing with one listing per parent folder (a month)."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
-    ok, missing = [], []
+    by_dir: dict[str, list[str]] = {}
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        (ok if hp.getFileSystem(conf).exists(hp) else missing).append(p)
+        by_dir.setdefault(p.rsplit("/", 1)[0], []).append(p)
+    ok, missing = [], []
+    for d, ps in by_dir.items():
+        hd = jvm.org.apache.hadoop.fs.Path(d)
+        fs = hd.getFileSystem(conf)
+        names = {st.getPath().getName() for st in fs.listStatus(hd)} if fs.exists(hd) else set()
+        for p in ps:
+            (ok if p.rsplit("/", 1)[-1] in names else missing).append(p)
     return ok, missing
 
 
 def _stage(spark: SparkSession, paths: list[str], keywords: DataFrame, out: str,
            projects, parser: str) -> DataFrame:
-    lines = read_lines(spark, paths)
+    dirs = sorted({p.rsplit("/", 1)[0] for p in paths})
+    lines = read_named_lines(spark, dirs, [p.rsplit("/", 1)[-1] for p in paths])
     if parser == "strict":
         rows = parse_strict(lines, passthrough=["file_name"]).withColumn(
             "bad", F.col("hits").isNull() | F.col("time").isNull())
@@ -148,7 +156,8 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
     if staged is not None:
         good_files = outcome.where(F.col("status") == "success").select("file_name")
         good = staged.join(checked_broadcast(good_files), "file_name", "left_semi")
-        write_fact(good.drop("bad", "file_name"), fact_path, append=(mode == "append"))
+        n_good = outcome.where(F.col("status") == "success").count()
+        write_fact(good.drop("bad", "file_name"), fact_path, append=(mode == "append"), n_hours=n_good)
 
     L.append_ledger(outcome.select(
         "file_pattern",
@@ -164,12 +173,20 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
                                  ("attempted", "succeeded", "failed", "rows_inserted")}}
 
 
-def write_fact(rows: DataFrame, fact_path: str, append: bool = False) -> None:
-    """Add ``ingestion_date``, ``ym``, ``src_hour``; one sorted file per hour partition."""
+def write_fact(rows: DataFrame, fact_path: str, append: bool = False, n_hours: int | None = None) -> None:
+    """Add ``ingestion_date``, ``ym``, ``src_hour``; one sorted file per hour partition.
+
+    With ``n_hours`` known, the rows are hash-partitioned on the hour into
+    ``min(n_hours, defaultParallelism)`` tasks (an explicit count, which AQE
+    keeps): every core writes its share of hour files, and no hour is split
+    across tasks, so each hour partition gets exactly one file.
+    """
     out = (rows.withColumn("ingestion_date", F.current_date())
            .withColumn("ym", P.ym(F.col("time")))
            .withColumn("src_hour", F.date_format("time", "yyyyMMddHH")))
-    (out.repartition("ym", "src_hour").sortWithinPartitions("path", "time")
+    n = min(int(n_hours), rows.sparkSession.sparkContext.defaultParallelism) if n_hours else None
+    parts = out.repartition(max(1, n), "ym", "src_hour") if n else out.repartition("ym", "src_hour")
+    (parts.sortWithinPartitions("path", "time")
      .write.mode("append" if append else "overwrite").partitionBy("ym", "src_hour").parquet(fact_path))
 
 

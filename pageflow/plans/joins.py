@@ -5,6 +5,10 @@ A dimension is broadcast only after a bounded probe proves it small:
 passed, so the check costs at most ``max_rows + 1`` rows however big the side
 really is. Beyond the bound the side is returned untouched and Catalyst plans
 a shuffle join (with AQE skew splitting) instead.
+
+Probe results are remembered per session for the same logical plan over the
+same input files (``semanticHash`` + ``inputFiles``), so a dimension used by
+many queries is probed once.
 """
 
 from __future__ import annotations
@@ -13,14 +17,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A broadcast relation is built on the driver and shipped to every executor;
-# 200k short rows stays well below spark.sql.autoBroadcastJoinThreshold-style
-# budgets while covering any realistic keyword / topic dimension.
+# 200k short rows stays well below the usual broadcast budgets while covering
+# any realistic keyword / topic dimension.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
+_PROBES: dict[tuple, bool] = {}
+
+
+def _probe_key(side: DataFrame, max_rows: int):
+    try:
+        files = tuple(sorted(side.inputFiles()))
+        return (id(side.sparkSession.sparkContext), side.semanticHash(), hash(files), max_rows)
+    except Exception:  # noqa: BLE001 - plans without a stable hash are probed every time
+        return None
+
 
 def is_small(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``side`` has at most ``max_rows`` rows (bounded probe)."""
-    return side.limit(max_rows + 1).count() <= max_rows
+    """True when ``side`` has at most ``max_rows`` rows (bounded probe, remembered per plan)."""
+    key = _probe_key(side, max_rows)
+    if key is not None and key in _PROBES:
+        return _PROBES[key]
+    small = side.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _PROBES[key] = small
+    return small
 
 
 def checked_broadcast(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -277,3 +277,85 @@ def q_article_export(spark, sf):
     from pageflow.session import scratch_path
     out = A.export_matching(X.articles(spark, sf), scratch_path(spark, "articles"), terms=VOCAB_TERMS)
     return spark.read.parquet(out).drop("text")
+
+
+# --- file-based: dump scans (S1-S5, P11-P14), batch ingest (L1-L4), stream (L7) -------------
+
+from pageflow.operators import explore as EX  # noqa: E402
+from pageflow.plans import dumpfiles as DF  # noqa: E402
+from pageflow.sources import dumps as SD  # noqa: E402
+
+# Titles and patterns for the exploratory filters, in the fixture's vocabulary
+# (the reference's own lists name real article titles absent from the fixture).
+EXPLORE_TITLES = ["red_widget", "blue_widget", "small_gear", "hot_gear", "big_rod", "DuckDB"]
+EXPLORE_LIKES = ["%red%widget%", "%GEAR%", "%rod%"]
+EXPLORE_LIKE_TITLES = ["blue_bolt", "small_ring"]
+
+
+def _dump_glob(spark, sf) -> str:
+    return DF.derived_dump_dir(spark, sf, "clean") + "/*/*/pageviews-*.gz"
+
+
+@register("dump_scan")
+def q_dump_scan(spark, sf):
+    """Explicit-schema scan of the gzip dumps, rows with a project."""
+    return EX.known_projects(SD.read_dump_rows(spark, _dump_glob(spark, sf)))
+
+
+@register("title_in_list")
+def q_title_in_list(spark, sf):
+    """Title IN-list pushed into the CSV scan."""
+    return EX.title_in_list(SD.read_dump_rows(spark, _dump_glob(spark, sf)), EXPLORE_TITLES)
+
+
+@register("title_like_mix")
+def q_title_like_mix(spark, sf):
+    """LIKE OR LIKE OR IN, case-sensitive."""
+    return EX.title_like_mix(SD.read_dump_rows(spark, _dump_glob(spark, sf)), EXPLORE_LIKES, EXPLORE_LIKE_TITLES)
+
+
+@register("raw_preview")
+def q_raw_preview(spark, sf):
+    """All-text view of the dumps, first 20 rows in column order."""
+    return EX.raw_preview(SD.read_dump_text(spark, _dump_glob(spark, sf)), 20)
+
+
+@register("schema_profile")
+def q_schema_profile(spark, sf):
+    """Detected column types of the dumps."""
+    return SD.infer_dump_schema(spark, _dump_glob(spark, sf))
+
+
+@register("line_scan")
+def q_line_scan(spark, sf):
+    """Raw line scan with file names, hour from the name."""
+    lines = SD.read_lines(spark, _dump_glob(spark, sf))
+    return lines.select(F.col("value").alias("line"), "file_name",
+                        P.time_from_file_name(F.col("file_name")).alias("time"))
+
+
+def _fact_out(df):
+    return df.select("time", "project", "subproject", "path", "hits")
+
+
+@register("file_ingest")
+def q_file_ingest(spark, sf):
+    """Incremental load of every hourly dump of the event span, read back."""
+    from pageflow.plans import ingest as IG
+    from pageflow.session import scratch_path
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, "ingest")
+    IG.ingest(spark, base, MF.hourly_manifest(X.event_bounds(spark, sf)), f"{root}/fact", f"{root}/ledger",
+              X.keyword_seed(spark, sf), mode="incremental", run_id="run-1")
+    return _fact_out(spark.read.parquet(f"{root}/fact"))
+
+
+@register("stream_load")
+def q_stream_load(spark, sf):
+    """Available-now file stream over the dump folder, read back."""
+    from pageflow.session import scratch_path
+    from pageflow.streaming.filestream import run_stream_load
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, "stream")
+    run_stream_load(spark, base, f"{root}/fact", f"{root}/ledger", X.keyword_seed(spark, sf), f"{root}/ckpt")
+    return _fact_out(spark.read.parquet(f"{root}/fact"))

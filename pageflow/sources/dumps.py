@@ -39,6 +39,18 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], path_glob: str |
                      F.col("_metadata.file_path").alias("file_path"))
 
 
+def read_named_lines(spark: SparkSession, dirs: Sequence[str], names: Sequence[str],
+                     glob: str = "pageviews-*.gz") -> DataFrame:
+    """S1 for a chosen set of files: lines of the files called ``names`` inside ``dirs``.
+
+    The folders are listed once and the ``_metadata.file_name`` predicate
+    prunes files before any is opened (probe: a corrupt file outside
+    ``names`` is never read), which avoids one root path per file.
+    """
+    return (read_lines(spark, list(dirs), path_glob=glob)
+            .where(F.col("file_name").isin(list(names))))
+
+
 def _csv(spark: SparkSession, schema: T.StructType | None):
     r = (spark.read.format("csv").option("sep", DUMP_SEP).option("header", "false")
          .option("quote", NO_QUOTE).option("mode", "PERMISSIVE"))
