@@ -29,8 +29,16 @@ DIRTY_NA_EVERY = 97
 DIRTY_NEG_EVERY = 89
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its schema is read from the footer once per path, then
+    given explicitly, so later reads plan without a schema-inference job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def hour_file_name(ts: Column) -> Column:
@@ -80,6 +88,11 @@ def lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
 
 def keyword_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword dimension ``(keyword, category)`` from ``part`` names (distinct)."""
+    return keyword_candidates(spark, sf_dir).distinct()
+
+
+def keyword_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword rows before de-duplication; enough for semi joins, which ignore repeats."""
     p = table(spark, sf_dir, "part").where(F.col("p_partkey") < PART_KEY_MODULUS)
     like_any = None
     for pat in KEYWORD_NOUNS_LIKE:
@@ -87,15 +100,14 @@ def keyword_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
         like_any = c if like_any is None else like_any | c
     return (p.where(like_any)
             .select(F.replace(F.col("p_name"), F.lit(" "), F.lit("_")).alias("keyword"),
-                    F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)).alias("category"))
-            .distinct())
+                    F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)).alias("category")))
 
 
 def pageviews(spark: SparkSession, sf_dir: str, projects=P.DEFAULT_PROJECTS) -> DataFrame:
     """Fact rows ``(time, project, subproject, path, hits)`` via the lenient parse + keyword join."""
     from pageflow.operators.ingest_ops import parse_lenient, keep_keywords
     parsed = parse_lenient(lines(spark, sf_dir), line_col="line", time_col=F.col("file_time"))
-    kept = keep_keywords(parsed, keyword_seed(spark, sf_dir), projects=projects)
+    kept = keep_keywords(parsed, keyword_candidates(spark, sf_dir), projects=projects)
     return kept.select("time", "project", "subproject", "path", "hits")
 
 

@@ -156,8 +156,8 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
     if staged is not None:
         good_files = outcome.where(F.col("status") == "success").select("file_name")
         good = staged.join(checked_broadcast(good_files), "file_name", "left_semi")
-        n_good = outcome.where(F.col("status") == "success").count()
-        write_fact(good.drop("bad", "file_name"), fact_path, append=(mode == "append"), n_hours=n_good)
+        per_hour = outcome.where(F.col("status") == "success").select("file_name", F.col("rows_ok").alias("rows"))
+        write_fact(good.drop("bad"), fact_path, append=(mode == "append"), rows_per_hour=per_hour)
 
     L.append_ledger(outcome.select(
         "file_pattern",
@@ -173,20 +173,42 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
                                  ("attempted", "succeeded", "failed", "rows_inserted")}}
 
 
-def write_fact(rows: DataFrame, fact_path: str, append: bool = False, n_hours: int | None = None) -> None:
-    """Add ``ingestion_date``, ``ym``, ``src_hour``; one sorted file per hour partition.
+# Rows per output file of one hour partition; a larger hour is split over
+# several tasks/files so a hot hour (even a third of all rows) is written in parallel.
+ROWS_PER_FILE = 5_000_000
 
-    With ``n_hours`` known, the rows are hash-partitioned on the hour into
-    ``min(n_hours, defaultParallelism)`` tasks (an explicit count, which AQE
-    keeps): every core writes its share of hour files, and no hour is split
-    across tasks, so each hour partition gets exactly one file.
+
+def write_fact(rows: DataFrame, fact_path: str, append: bool = False, n_hours: int | None = None,
+               rows_per_hour: DataFrame | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Add ``ingestion_date``, ``ym``, ``src_hour``; sorted files per hour partition.
+
+    Rows are hash-partitioned on ``(ym, src_hour, salt)`` into
+    ``min(files, defaultParallelism)`` tasks (an explicit count, which AQE
+    keeps). ``salt`` is 0 for ordinary hours; when ``rows_per_hour``
+    (``file_name, rows``, one row per loaded file) says an hour holds more
+    than ``rows_per_file`` rows, its rows are spread by a hash of the row over
+    ``ceil(rows / rows_per_file)`` salts, so no single task writes a hot hour.
+    Dynamic overwrite still replaces the whole hour partition on replay.
     """
+    sc = rows.sparkSession.sparkContext
     out = (rows.withColumn("ingestion_date", F.current_date())
            .withColumn("ym", P.ym(F.col("time")))
            .withColumn("src_hour", F.date_format("time", "yyyyMMddHH")))
-    n = min(int(n_hours), rows.sparkSession.sparkContext.defaultParallelism) if n_hours else None
-    parts = out.repartition(max(1, n), "ym", "src_hour") if n else out.repartition("ym", "src_hour")
-    (parts.sortWithinPartitions("path", "time")
+    n_files = n_hours
+    if rows_per_hour is not None:
+        fan = rows_per_hour.select(
+            "file_name", F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(rows_per_file))).cast("int").alias("_nf"))
+        n_files = fan.agg(F.sum("_nf")).first()[0] or n_hours
+        out = (out.join(checked_broadcast(fan), "file_name", "left")
+               .withColumn("_salt", F.pmod(F.xxhash64("path", "time", "project", "subproject"),
+                                           F.coalesce(F.col("_nf"), F.lit(1))))
+               .drop("_nf", "file_name"))
+    else:
+        out = out.withColumn("_salt", F.lit(0))
+    keys = ["ym", "src_hour", "_salt"]
+    n = min(int(n_files), sc.defaultParallelism) if n_files else sc.defaultParallelism
+    parts = out.repartition(max(1, n), *keys)
+    (parts.drop("_salt").sortWithinPartitions("path", "time")
      .write.mode("append" if append else "overwrite").partitionBy("ym", "src_hour").parquet(fact_path))
 
 

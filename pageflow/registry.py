@@ -23,6 +23,8 @@ def prepare(spark: SparkSession) -> None:
     """Session settings every query relies on (UTC hours, dynamic overwrite)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
 
 
 def register(name: str):

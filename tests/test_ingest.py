@@ -127,3 +127,18 @@ def test_strict_parser_load(spark, workdir):
     assert r["failed"] == 0
     assert ("m", ".m") not in {(x.subproject, x.subproject) for x in f.collect()}
     assert sorted(x.subproject for x in f.where(F.col("path") == "DuckDB").collect()) == ["", "", ".m"]
+
+
+def test_hot_hour_is_split_over_files(spark, workdir):
+    import datetime as dt
+    rows = [(dt.datetime(2025, 1, 1, 0), "en", "", f"P{i % 7}", i, "pageviews-20250101-000000.gz") for i in range(40)]
+    rows += [(dt.datetime(2025, 1, 1, 1), "en", "", "Q", 1, "pageviews-20250101-010000.gz")]
+    df = spark.createDataFrame(rows, "time TIMESTAMP, project STRING, subproject STRING, path STRING, hits BIGINT, "
+                                     "file_name STRING")
+    per = spark.createDataFrame([("pageviews-20250101-000000.gz", 40), ("pageviews-20250101-010000.gz", 1)],
+                                "file_name STRING, rows BIGINT")
+    IG.write_fact(df, f"{workdir}/fact", rows_per_hour=per, rows_per_file=10)
+    files = [f for f in os.listdir(f"{workdir}/fact/ym=202501/src_hour=2025010100") if f.endswith(".parquet")]
+    assert len(files) >= 2
+    back = spark.read.parquet(f"{workdir}/fact")
+    assert back.count() == 41 and back.agg(F.sum("hits")).first()[0] == sum(range(40)) + 1
