@@ -79,5 +79,17 @@ def rebuild_and_swap(spark: SparkSession, src_path: str, dst_root: str,
 
 
 def truncate(spark: SparkSession, path: str, schema) -> None:
-    """Replace a Parquet table by an empty one with the same schema."""
+    """W8 for an unpartitioned table: replace it by an empty one with the same schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def empty_folder(spark: SparkSession, path: str) -> None:
+    """W8 for a partitioned table: remove every file and partition folder below ``path``."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            fs.delete(st.getPath(), True)
+    else:
+        fs.mkdirs(p)

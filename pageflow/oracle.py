@@ -337,3 +337,7 @@ LIMIT 20"""),
     "file_ingest": _fact("SELECT time, project, subproject, path, hits FROM pageviews"),
     "stream_load": _fact("SELECT time, project, subproject, path, hits FROM pageviews"),
 })
+
+QUERIES["load_stats"] = _dirty("""
+SELECT file_pattern AS date_pattern, rows_inserted, processed_at AS load_timestamp, status, error_message
+FROM ledger WHERE run_id = 'r1'""")

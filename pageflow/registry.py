@@ -361,3 +361,10 @@ def q_stream_load(spark, sf):
     root = scratch_path(spark, "stream")
     run_stream_load(spark, base, f"{root}/fact", f"{root}/ledger", X.keyword_seed(spark, sf), f"{root}/ckpt")
     return _fact_out(spark.read.parquet(f"{root}/fact"))
+
+
+@register("load_stats")
+def q_load_stats(spark, sf):
+    """Per-file load stats rows of run r1 over the dirty hours."""
+    from pageflow.plans.pipeline import load_stats
+    return load_stats(X.ledger_rows(spark, sf), "r1")
