@@ -62,29 +62,35 @@ def with_bad_flag(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("bad", P.is_bad_hits(F.col("hits")))
 
 
-def flag_lenient(lines: DataFrame, keywords: DataFrame, line_col: str = "value",
+def flag_lenient(lines: DataFrame, keywords: DataFrame | None, line_col: str = "value",
                  time_col: Column | None = None, projects: Iterable[str] | None = P.DEFAULT_PROJECTS,
-                 passthrough: Iterable[str] = ("file_name",)) -> DataFrame:
+                 passthrough: Iterable[str] = ("file_name",), drop_unknown_title: bool = True) -> DataFrame:
     """Lenient parse of every line plus flags ``kept`` (would be loaded) and ``bad``.
 
     ``bad`` is evaluated only on kept rows, as the reference casts after its
     keyword and project filters (D3): garbage on unrelated pages does not fail
     a file. A left join on the (checked, broadcast, de-duplicated) keyword set
-    gives the keyword flag without dropping lines.
+    gives the keyword flag without dropping lines. ``keywords=None``,
+    ``projects=None`` and ``drop_unknown_title=False`` give the unfiltered
+    full-history load (W3), which keeps every line with >= 3 tokens.
     """
     if time_col is None:
         time_col = P.time_from_file_name(F.col("file_name"))
     cols = P.lenient_columns(line_col)
-    parsed = lines.select(*passthrough, time_col.alias("time"),
-                          P.lenient_keep(line_col).alias("well_formed"),
+    well_formed = P.lenient_keep(line_col) if drop_unknown_title else (P.n_tokens(line_col) >= 3)
+    parsed = lines.select(*passthrough, time_col.alias("time"), well_formed.alias("well_formed"),
                           *[c.alias(n) for n, c in cols.items()])
-    kw = keywords.select(F.col("keyword").alias("_kw")).where(F.col("_kw").isNotNull()).distinct()
-    j = parsed.join(checked_broadcast(kw), parsed["path"] == kw["_kw"], "left")
     in_projects = F.col("project").isin(list(projects)) if projects is not None else F.lit(True)
-    kept = F.col("well_formed") & in_projects & F.col("_kw").isNotNull()
-    return (j.withColumn("kept", kept)
-            .withColumn("bad", F.col("kept") & (P.is_bad_hits(F.col("hits")) | F.col("time").isNull()))
-            .drop("_kw"))
+    if keywords is None:
+        j, in_keywords = parsed, F.lit(True)
+    else:
+        kw = keywords.select(F.col("keyword").alias("_kw")).where(F.col("_kw").isNotNull()).distinct()
+        j, in_keywords = parsed.join(checked_broadcast(kw), parsed["path"] == kw["_kw"], "left"), \
+            F.col("_kw").isNotNull()
+    kept = F.col("well_formed") & in_projects & in_keywords
+    out = (j.withColumn("kept", kept)
+           .withColumn("bad", F.col("kept") & (P.is_bad_hits(F.col("hits")) | F.col("time").isNull())))
+    return out.drop("_kw") if keywords is not None else out
 
 
 def file_outcomes(flagged: DataFrame, file_col: str | list[str] = "file_name") -> DataFrame:

@@ -341,3 +341,11 @@ LIMIT 20"""),
 QUERIES["load_stats"] = _dirty("""
 SELECT file_pattern AS date_pattern, rows_inserted, processed_at AS load_timestamp, status, error_message
 FROM ledger WHERE run_id = 'r1'""")
+
+QUERIES["history_load"] = "WITH " + LINES + """
+SELECT file_time AS time,
+       split_part(split_part(line, ' ', 1), '.', 1) AS project,
+       split_part(split_part(line, ' ', 1), '.', 2) AS subproject,
+       url_decode(split_part(line, ' ', 2)) AS path,
+       TRY_CAST(split_part(line, ' ', 3) AS BIGINT) AS hits
+FROM lines WHERE len(string_split(line, ' ')) >= 3"""

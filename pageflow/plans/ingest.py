@@ -54,7 +54,7 @@ def _existing(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[st
     return ok, missing
 
 
-def _stage(spark: SparkSession, paths: list[str], keywords: DataFrame, out: str,
+def _stage(spark: SparkSession, paths: list[str], keywords: DataFrame | None, out: str,
            projects, parser: str) -> DataFrame:
     dirs = sorted({p.rsplit("/", 1)[0] for p in paths})
     lines = read_named_lines(spark, dirs, [p.rsplit("/", 1)[-1] for p in paths])
@@ -66,6 +66,8 @@ def _stage(spark: SparkSession, paths: list[str], keywords: DataFrame, out: str,
             rows = rows.join(checked_broadcast(kw), rows["path"] == kw["keyword"], "left_semi")
         if projects is not None:
             rows = rows.where(F.col("project").isin(list(projects)))
+    elif parser == "history":
+        rows = flag_lenient(lines, keywords, projects=projects, drop_unknown_title=False).where("kept")
     else:
         rows = flag_lenient(lines, keywords, projects=projects).where("kept")
     rows.select(*STAGED_COLS).write.mode("overwrite").parquet(out)
@@ -95,8 +97,11 @@ def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str,
            run_id: str | None = None, now: _dt.datetime | None = None) -> dict:
     """Load the manifest's pending files into the fact table and append their outcomes to the ledger.
 
-    ``manifest`` needs ``file_pattern`` (relative to ``base``). Returns counts
-    of attempted / succeeded / failed files and rows inserted (B7, B9).
+    ``manifest`` needs ``file_pattern`` (relative to ``base``). ``parser``:
+    ``lenient`` (the keyword load), ``strict`` (5-group regex of the
+    full-history loader) or ``history`` (lenient tokens, no unknown-title
+    filter; with ``keywords=None, projects=None`` the unfiltered W3 load).
+    Returns counts of attempted / succeeded / failed files and rows inserted (B7, B9).
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     ledger = L.read_ledger(spark, ledger_path)

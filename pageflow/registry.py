@@ -10,9 +10,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from pageflow import oracle
+from pageflow.functions import parse as P
+from pageflow.operators import articles as A
+from pageflow.operators import dims as D
+from pageflow.operators import explore as EX
+from pageflow.operators import ingest_ops as I
+from pageflow.operators import ledger as LG
+from pageflow.operators import maintain as M
 from pageflow.operators import reports as R
+from pageflow.plans import dumpfiles as DF
 from pageflow.plans import fixtures as X
+from pageflow.sources import dumps as SD
+from pageflow.sources import manifest as MF
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +37,7 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
 
 
 def register(name: str):
@@ -79,8 +92,6 @@ def q_trailing_week_top(spark, sf):
 
 # --- maintenance (M1-M4) ---------------------------------------------------------------
 
-from pageflow.operators import maintain as M  # noqa: E402
-
 
 @register("collapse_sum")
 def q_collapse_sum(spark, sf):
@@ -121,11 +132,6 @@ def q_table_rebuild(spark, sf):
 
 # --- parsing (P1-P10) --------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from pageflow.functions import parse as P  # noqa: E402
-from pageflow.operators import ingest_ops as I  # noqa: E402
-
 
 @register("parse_lenient")
 def q_parse_lenient(spark, sf):
@@ -161,8 +167,6 @@ def q_file_quarantine(spark, sf):
 
 # --- keyword dimension (K1) ----------------------------------------------------------------
 
-from pageflow.operators import dims as D  # noqa: E402
-
 
 @register("keyword_seed")
 def q_keyword_seed(spark, sf):
@@ -177,8 +181,6 @@ def q_keyword_seed(spark, sf):
 
 # --- manifests (S7-S9) ----------------------------------------------------------------------
 
-from pageflow.sources import manifest as MF  # noqa: E402
-
 
 @register("file_manifest")
 def q_file_manifest(spark, sf):
@@ -195,8 +197,6 @@ def q_listing_manifest(spark, sf):
 
 # --- ledger (L5, L6, R8, R9, R12, J3) ---------------------------------------------------------
 
-from pageflow.operators import ledger as LG  # noqa: E402
-
 
 @register("ledger_latest")
 def q_ledger_latest(spark, sf):
@@ -242,7 +242,6 @@ def q_summary_snapshot(spark, sf):
 
 # --- article mining (A1-A6) ---------------------------------------------------------------
 
-from pageflow.operators import articles as A  # noqa: E402
 
 # Corpus-vocabulary topic set: the invented corpus rarely holds the reference
 # terms (one 'etl' at sf0.01), so top-N / export also run on a frequent word.
@@ -283,9 +282,6 @@ def q_article_export(spark, sf):
 
 # --- file-based: dump scans (S1-S5, P11-P14), batch ingest (L1-L4), stream (L7) -------------
 
-from pageflow.operators import explore as EX  # noqa: E402
-from pageflow.plans import dumpfiles as DF  # noqa: E402
-from pageflow.sources import dumps as SD  # noqa: E402
 
 # Titles and patterns for the exploratory filters, in the fixture's vocabulary
 # (the reference's own lists name real article titles absent from the fixture).
@@ -368,3 +364,15 @@ def q_load_stats(spark, sf):
     """Per-file load stats rows of run r1 over the dirty hours."""
     from pageflow.plans.pipeline import load_stats
     return load_stats(X.ledger_rows(spark, sf), "r1")
+
+
+@register("history_load")
+def q_history_load(spark, sf):
+    """Unfiltered full-history load (no keyword, project or unknown-title filter), read back."""
+    from pageflow.plans import ingest as IG
+    from pageflow.session import scratch_path
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, "history")
+    IG.ingest(spark, base, MF.hourly_manifest(X.event_bounds(spark, sf)), f"{root}/fact", f"{root}/ledger",
+              None, projects=None, parser="history", run_id="history-1")
+    return _fact_out(spark.read.parquet(f"{root}/fact"))
