@@ -77,7 +77,7 @@ def flag_lenient(lines: DataFrame, keywords: DataFrame | None, line_col: str = "
     if time_col is None:
         time_col = P.time_from_file_name(F.col("file_name"))
     cols = P.lenient_columns(line_col)
-    well_formed = P.lenient_keep(line_col) if drop_unknown_title else (P.n_tokens(line_col) >= 3)
+    well_formed = P.lenient_keep(line_col) if drop_unknown_title else P.has_tokens(line_col, 3)
     parsed = lines.select(*passthrough, time_col.alias("time"), well_formed.alias("well_formed"),
                           *[c.alias(n) for n, c in cols.items()])
     in_projects = F.col("project").isin(list(projects)) if projects is not None else F.lit(True)
