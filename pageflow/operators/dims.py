@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow import schemas as S
+from pageflow.plans.joins import checked_broadcast
 from pageflow.session import scratch_path
 
 # The reference's seed dimension (keyword, category), in its order.
@@ -55,7 +56,7 @@ def seed_frame(spark: SparkSession) -> DataFrame:
 def merge_seed(existing: DataFrame, seed: DataFrame) -> DataFrame:
     """K1: rows of ``seed`` whose keyword is not in ``existing`` (to append), with ``added_date``."""
     new = seed.select("keyword", "category").dropDuplicates(["keyword"])
-    return (new.join(existing.select("keyword"), "keyword", "left_anti")
+    return (new.join(checked_broadcast(existing.select("keyword")), "keyword", "left_anti")
             .withColumn("added_date", F.current_date()))
 
 

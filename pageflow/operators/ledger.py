@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pageflow import schemas as S
 from pageflow.operators.maintain import keep_latest
+from pageflow.plans.joins import checked_broadcast
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -39,8 +40,12 @@ def processed_files(ledger: DataFrame) -> DataFrame:
 
 
 def pending_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Manifest minus files already loaded successfully (failed ones are retried, B8)."""
-    return manifest.join(processed_files(ledger), "file_pattern", "left_anti")
+    """Manifest minus files already loaded successfully (failed ones are retried, B8).
+
+    The loaded-file set grows with the archive (one row per hour, ~9k a
+    year); it is broadcast while within the checked bound, else shuffled.
+    """
+    return manifest.join(checked_broadcast(processed_files(ledger)), "file_pattern", "left_anti")
 
 
 def status_rollup(ledger: DataFrame) -> DataFrame:
