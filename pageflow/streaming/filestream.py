@@ -45,17 +45,23 @@ def dump_stream(spark: SparkSession, base: str, glob: str = "pageviews-*.gz",
 def start_stream_load(spark: SparkSession, base: str, fact_path: str, ledger_path: str,
                       keywords: DataFrame, checkpoint: str | None = None,
                       projects: Iterable[str] | None = P.DEFAULT_PROJECTS,
-                      available_now: bool = True) -> StreamingQuery:
-    """Start the load stream; with ``available_now`` it stops after the files present now."""
+                      available_now: bool = True,
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the load stream; with ``available_now`` it stops after the files present now.
+
+    ``max_files_per_trigger`` bounds each micro-batch (a backlog of a year of
+    hours is then loaded as a series of bounded batches).
+    """
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
-    flagged = flag_lenient(dump_stream(spark, base), keywords, projects=projects,
-                           passthrough=("file_name", "file_path"))
+    stage_root = checkpoint.rstrip("/") + "-stage"
+    flagged = flag_lenient(dump_stream(spark, base, max_files_per_trigger=max_files_per_trigger), keywords,
+                           projects=projects, passthrough=("file_name", "file_path"))
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         run_id = f"stream-{epoch_id}"
         rel = F.regexp_extract("file_path", RELATIVE_PATTERN_REGEX, 1)
         # One pass over the micro-batch: stage its kept rows durably in the shared folder.
-        stage = f"{checkpoint}/_stage/epoch={epoch_id}"
+        stage = f"{stage_root}/epoch={epoch_id}"
         (batch.where("kept")
          .withColumn("file_pattern", F.when(rel != "", rel).otherwise(F.col("file_name")))
          .select(*STAGED_COLS, "file_pattern")
@@ -73,9 +79,11 @@ def start_stream_load(spark: SparkSession, base: str, fact_path: str, ledger_pat
 
 def run_stream_load(spark: SparkSession, base: str, fact_path: str, ledger_path: str,
                     keywords: DataFrame, checkpoint: str | None = None,
-                    projects: Iterable[str] | None = P.DEFAULT_PROJECTS) -> None:
+                    projects: Iterable[str] | None = P.DEFAULT_PROJECTS,
+                    max_files_per_trigger: int | None = None) -> None:
     """One scheduled run: load all newly arrived files, then return."""
-    q = start_stream_load(spark, base, fact_path, ledger_path, keywords, checkpoint, projects, True)
+    q = start_stream_load(spark, base, fact_path, ledger_path, keywords, checkpoint, projects, True,
+                          max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

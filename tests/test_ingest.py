@@ -180,3 +180,12 @@ def test_month_predicate_prunes_partitions(spark, workdir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ym" in plan and "(ym#" in plan, plan
     assert [r.path for r in df.collect()] == ["DuckDB", "Data_lake"]
+
+
+def test_stream_in_bounded_batches(spark, workdir):
+    base = _setup(workdir)
+    fact, led = f"{workdir}/f", f"{workdir}/l"
+    run_stream_load(spark, base, fact, led, _kw(spark), f"{workdir}/ck", max_files_per_trigger=1)
+    runs = {r.run_id for r in L.read_ledger(spark, led).collect()}
+    assert len(runs) == 3  # one micro-batch per file
+    assert spark.read.parquet(fact).count() == 3

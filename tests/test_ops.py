@@ -85,3 +85,19 @@ def test_reports_on_tiny_fact(spark):
     assert cb == {"x": (2, 6), "y": (1, 100)}
     snap = R.summary_snapshot(f, kw).first()
     assert snap.total_rows == 3 and snap.top_pages[0].path == "C" and snap.category_breakdown[0].category == "y"
+
+
+def test_hot_key_reports_and_dedup(spark):
+    # one page holds a third of all rows; every operator must stay exact
+    t = dt.datetime(2025, 1, 1, 1)
+    rows = [(t + dt.timedelta(hours=i % 5), "en", "", "HOT" if i % 3 == 0 else f"p{i % 11}", 1) for i in range(3000)]
+    f = spark.createDataFrame(rows, "time TIMESTAMP, project STRING, subproject STRING, path STRING, hits BIGINT")
+    top = R.top_pages(f, 1).first()
+    assert (top.path, top.total_hits, top.records) == ("HOT", 1000, 1000)
+    twice = (f.withColumn("ingestion_date", F.lit("2025-01-02").cast("date"))
+             .unionByName(f.withColumn("ingestion_date", F.lit("2025-01-03").cast("date"))))
+    d = M.dedup_loads(twice)
+    assert d.agg(F.sum("hits")).first()[0] == 3000
+    assert d.where(F.col("path") == "HOT").agg(F.sum("hits")).first()[0] == 1000
+    plan = M.dedup_loads(twice)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan  # map-side combine before the shuffle
