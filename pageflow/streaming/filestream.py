@@ -8,10 +8,8 @@ loader, so a replayed micro-batch (after a failure) rewrites the same hour
 partitions instead of duplicating them.
 
 Files that fail stay marked as seen by the stream checkpoint; their retry is
-the batch loader's job (its manifest anti-joins only ``success`` rows). The
-stream writes ledger rows for files that hold at least one kept row (the
-micro-batch is read once); a file with no kept row leaves no trace and is
-simply re-scanned, at no effect, by a later batch load.
+the batch loader's job (its manifest anti-joins only ``success`` rows). Every
+file of a micro-batch gets a ledger row, including files without a kept row.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from pageflow.functions import parse as P
 from pageflow.operators.ingest_ops import flag_lenient
@@ -60,17 +59,23 @@ def start_stream_load(spark: SparkSession, base: str, fact_path: str, ledger_pat
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         run_id = f"stream-{epoch_id}"
         rel = F.regexp_extract("file_path", RELATIVE_PATTERN_REGEX, 1)
-        # One pass over the micro-batch: stage its kept rows durably in the shared folder.
-        stage = f"{stage_root}/epoch={epoch_id}"
-        (batch.where("kept")
-         .withColumn("file_pattern", F.when(rel != "", rel).otherwise(F.col("file_name")))
-         .select(*STAGED_COLS, "file_pattern")
-         .write.mode("overwrite").parquet(stage))
-        staged = batch.sparkSession.read.parquet(stage)
-        attempts = (staged.select("file_pattern", "file_name").distinct()
-                    .withColumn("error_message", F.lit(None).cast("string")))
-        commit(batch.sparkSession, attempts, staged.drop("file_pattern"), fact_path, ledger_path,
-               "incremental", run_id)
+        # The micro-batch feeds two outputs (kept rows, per-file attempts), so a narrow
+        # projection of it is persisted and the files are decompressed once: unkept lines
+        # keep only their file name (dictionary-compressed in the cache) and two flags.
+        keep = F.col("kept")
+        slim = batch.select(
+            F.when(rel != "", rel).otherwise(F.col("file_name")).alias("file_pattern"), "file_name",
+            "kept", "bad", *[F.when(keep, F.col(c)).alias(c) for c in ("time", "project", "subproject", "path", "hits")])
+        slim.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stage = f"{stage_root}/epoch={epoch_id}"
+            slim.where("kept").select(*STAGED_COLS).write.mode("overwrite").parquet(stage)
+            staged = batch.sparkSession.read.parquet(stage)
+            attempts = (slim.select("file_pattern", "file_name").distinct()
+                        .withColumn("error_message", F.lit(None).cast("string")))
+            commit(batch.sparkSession, attempts, staged, fact_path, ledger_path, "incremental", run_id)
+        finally:
+            slim.unpersist()
 
     w = flagged.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -189,3 +189,14 @@ def test_stream_in_bounded_batches(spark, workdir):
     runs = {r.run_id for r in L.read_ledger(spark, led).collect()}
     assert len(runs) == 3  # one micro-batch per file
     assert spark.read.parquet(fact).count() == 3
+
+
+def test_stream_records_files_without_kept_rows(spark, workdir):
+    names = dict(GOOD)
+    names["pageviews-20250101-030000.gz"] = ["de Other 1 0", "en Unrelated 2 0"]
+    base = _setup(workdir, names)
+    run_stream_load(spark, base, f"{workdir}/f", f"{workdir}/l", _kw(spark), f"{workdir}/ck")
+    led = {r.file_pattern.rsplit("/", 1)[-1]: r for r in L.read_ledger(spark, f"{workdir}/l").collect()}
+    assert led["pageviews-20250101-030000.gz"].status == "success"
+    assert led["pageviews-20250101-030000.gz"].rows_inserted == 0
+    assert led["pageviews-20250101-010000.gz"].status == "failed"
