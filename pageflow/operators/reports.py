@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.plans.joins import checked_broadcast
+from pageflow.session import checkpoint_root
 
 
 def _month_bound(fact: DataFrame, lower_ts: Column) -> DataFrame:
@@ -29,6 +30,26 @@ def row_count(fact: DataFrame) -> DataFrame:
     return fact.agg(F.count(F.lit(1)).alias("total_rows"))
 
 
+def page_totals(fact: DataFrame) -> DataFrame:
+    """One row per page: ``path, total_hits, records, latest_time`` (the shared first aggregate)."""
+    return fact.groupBy("path").agg(F.sum("hits").alias("total_hits"), F.count(F.lit(1)).alias("records"),
+                                    F.max("time").alias("latest_time"))
+
+
+def _top(per_page: DataFrame, k: int) -> DataFrame:
+    return (per_page.select("path", "total_hits", "records")
+            .orderBy(F.desc("total_hits"), F.asc("path"))
+            .limit(k))
+
+
+def _categories(per_page: DataFrame, keywords: DataFrame) -> DataFrame:
+    kw = keywords.select("keyword", "category").distinct()
+    j = per_page.join(checked_broadcast(kw), per_page["path"] == kw["keyword"])
+    return (j.groupBy("category")
+            .agg(F.count(F.lit(1)).alias("unique_pages"), F.sum("total_hits").alias("total_hits"))
+            .orderBy(F.desc("total_hits"), F.asc("category")))
+
+
 def top_pages(fact: DataFrame, k: int = 10) -> DataFrame:
     """R2: pages by total hits, with the number of records, top ``k``."""
     return (fact.groupBy("path")
@@ -45,12 +66,7 @@ def category_breakdown(fact: DataFrame, keywords: DataFrame) -> DataFrame:
     equal to joining first because the category is a function of the
     page, and it means the join and the distinct count never see raw rows.
     """
-    per_page = fact.groupBy("path").agg(F.sum("hits").alias("page_hits"))
-    kw = keywords.select("keyword", "category").distinct()
-    j = per_page.join(checked_broadcast(kw), per_page["path"] == kw["keyword"])
-    return (j.groupBy("category")
-            .agg(F.count(F.lit(1)).alias("unique_pages"), F.sum("page_hits").alias("total_hits"))
-            .orderBy(F.desc("total_hits"), F.asc("category")))
+    return _categories(fact.groupBy("path").agg(F.sum("hits").alias("total_hits")), keywords)
 
 
 def trailing_top_pages(fact: DataFrame, as_of: Column | _dt.date | None = None,
@@ -99,21 +115,27 @@ def coverage(fact: DataFrame) -> DataFrame:
 
 
 def summary_snapshot(fact: DataFrame, keywords: DataFrame, k: int = 10,
-                     generated_at: Column | None = None) -> DataFrame:
+                     generated_at: Column | None = None, stamp_latest: bool = False) -> DataFrame:
     """One row ``total_rows, top_pages[], category_breakdown[], generated_at``.
 
-    The two arrays are bounded (``k`` pages; one entry per category of the
-    dimension), so collecting them into one row is safe. They are sorted
-    with the same keys as the flat reports.
+    All three parts come from one per-page aggregate (``page_totals``),
+    materialised once with a reliable ``checkpoint()`` in the shared
+    checkpoint folder, so the fact is read and aggregated a single time and
+    the three small parts read the checkpoint. The arrays are bounded (``k`` pages; one entry per category
+    of the dimension), so collecting them into one row is safe; they are
+    sorted with the same keys as the flat reports. ``stamp_latest`` stamps
+    the snapshot with the newest fact time instead of the clock.
     """
-    tp = (top_pages(fact, k)
+    checkpoint_root(fact.sparkSession)
+    per_page = page_totals(fact).checkpoint(eager=True)
+    tp = (_top(per_page, k)
           .agg(F.array_sort(F.collect_list(F.struct(
               (-F.col("total_hits")).alias("o1"), F.col("path").alias("o2"),
               F.col("path").alias("path"), F.col("total_hits").alias("hits"),
               F.col("records").alias("records")))).alias("a"))
           .select(F.transform("a", lambda s: F.struct(s["path"].alias("path"), s["hits"].alias("hits"),
                                                       s["records"].alias("records"))).alias("top_pages")))
-    cb = (category_breakdown(fact, keywords)
+    cb = (_categories(per_page, keywords)
           .agg(F.array_sort(F.collect_list(F.struct(
               (-F.col("total_hits")).alias("o1"), F.col("category").alias("o2"),
               F.col("category").alias("category"), F.col("unique_pages").alias("unique_pages"),
@@ -121,8 +143,14 @@ def summary_snapshot(fact: DataFrame, keywords: DataFrame, k: int = 10,
           .select(F.transform("a", lambda s: F.struct(s["category"].alias("category"),
                                                       s["unique_pages"].alias("unique_pages"),
                                                       s["hits"].alias("hits"))).alias("category_breakdown")))
-    total = row_count(fact)
-    gen = generated_at if generated_at is not None else F.current_timestamp()
+    total = per_page.agg(F.coalesce(F.sum("records"), F.lit(0)).cast("long").alias("total_rows"),
+                         F.max("latest_time").alias("_latest"))
+    if generated_at is not None:
+        gen = generated_at
+    elif stamp_latest:
+        gen = F.col("_latest")
+    else:
+        gen = F.current_timestamp()
     return (total.select(F.col("total_rows"),
                          tp.select("top_pages").scalar().alias("top_pages"),
                          cb.select("category_breakdown").scalar().alias("category_breakdown"),

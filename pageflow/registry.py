@@ -235,9 +235,7 @@ def q_table_census(spark, sf):
 @register("summary_snapshot")
 def q_summary_snapshot(spark, sf):
     """R10 with a fixed generation stamp (the newest fact hour) so runs compare."""
-    pv = X.pageviews(spark, sf)
-    gen = pv.agg(F.max("time")).scalar()
-    return R.summary_snapshot(pv, X.keyword_seed(spark, sf), generated_at=gen.cast("timestamp"))
+    return R.summary_snapshot(X.pageviews(spark, sf), X.keyword_seed(spark, sf), stamp_latest=True)
 
 
 # --- article mining (A1-A6) ---------------------------------------------------------------
