@@ -71,6 +71,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset conf raises on some versions
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(staging, checkpoints and fixtures are written there)")
+        # local mode only (tests): driver and executors share this machine
         conf_dir = tempfile.mkdtemp(prefix="pageflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     d = sc.getCheckpointDir() or conf_dir
