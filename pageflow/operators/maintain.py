@@ -78,6 +78,24 @@ def rebuild_and_swap(spark: SparkSession, src_path: str, dst_root: str,
     return out
 
 
+def compact_months(spark: SparkSession, fact_path: str, dst_root: str, months: Sequence[int],
+                   version: int = 1, rows_per_file: int = 5_000_000) -> str:
+    """M4 for small files: rewrite closed months of the hour-partitioned fact as ``ym`` partitions.
+
+    The ``ym IN (…)`` predicate prunes the read to those months; rows are
+    range-partitioned on ``(ym, path, time)`` into about ``rows / rows_per_file``
+    sorted files, so a month of ~720 tiny hour files becomes a few large ones
+    with tight row-group min/max on ``path``. Returns the new location.
+    """
+    src = spark.read.parquet(fact_path).where(F.col("ym").isin([int(m) for m in months])).drop("src_hour")
+    n = src.count()
+    files = max(1, -(-n // rows_per_file))
+    out = f"{dst_root.rstrip('/')}/v{version}"
+    (src.repartitionByRange(files, "ym", "path", "time").sortWithinPartitions("ym", "path", "time")
+     .write.mode("overwrite").partitionBy("ym").parquet(out))
+    return out
+
+
 def truncate(spark: SparkSession, path: str, schema) -> None:
     """W8 for an unpartitioned table: replace it by an empty one with the same schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

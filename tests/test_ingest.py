@@ -200,3 +200,15 @@ def test_stream_records_files_without_kept_rows(spark, workdir):
     assert led["pageviews-20250101-030000.gz"].status == "success"
     assert led["pageviews-20250101-030000.gz"].rows_inserted == 0
     assert led["pageviews-20250101-010000.gz"].status == "failed"
+
+
+def test_compact_month(spark, workdir):
+    from pageflow.operators import maintain as M
+    base = _setup(workdir)
+    IG.ingest(spark, base, _manifest(spark, 3), f"{workdir}/fact", f"{workdir}/l", _kw(spark))
+    out = M.compact_months(spark, f"{workdir}/fact", f"{workdir}/compact", [202501])
+    a = spark.read.parquet(f"{workdir}/fact").drop("src_hour")
+    b = spark.read.parquet(out)
+    key = lambda df: sorted(tuple(r) for r in df.select("time", "path", "hits", "ym").collect())
+    assert key(a) == key(b)
+    assert len([f for f in os.listdir(f"{out}/ym=202501") if f.endswith(".parquet")]) == 1
