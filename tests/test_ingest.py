@@ -180,6 +180,8 @@ def test_month_predicate_prunes_partitions(spark, workdir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ym" in plan and "(ym#" in plan, plan
     assert [r.path for r in df.collect()] == ["DuckDB", "Data_lake"]
+    tp = R.daily_trend(f, "DuckDB")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(path,DuckDB)" in tp and "ReadSchema: struct<time:timestamp,path:string,hits:bigint>" in tp, tp
 
 
 def test_stream_in_bounded_batches(spark, workdir):
