@@ -53,7 +53,9 @@ def dedup_loads(fact: DataFrame, keys: Sequence[str] = NATURAL_KEY,
 
     Distinct raw lines may decode to one key inside a single file, so
     row-level dedup would drop genuine hits; summing per load first keeps
-    them. Two aggregates on prefixes of the same key: Spark shuffles once.
+    them. Both steps are partial/final aggregates, so each of the two
+    shuffles moves rows already combined per task; a single shuffle on the
+    key alone would send a hot key's raw rows to one task.
     """
     per_load = fact.groupBy(*keys, load_col).agg(F.sum("hits").alias("hits"))
     return keep_latest(per_load, keys, load_col)
