@@ -37,8 +37,9 @@ def keep_latest(fact: DataFrame, keys: Sequence[str] = NATURAL_KEY,
                 version_col: str = "ingestion_date") -> DataFrame:
     """M3: the row with the highest ``version_col`` per key (ReplacingMergeTree FINAL).
 
-    ``max(struct(version, rest...))`` is an ordinary partial aggregate, so a
-    hot key is folded on the map side. Ties on the version are broken by the
+    ``max(struct(version, rest...))`` is an ordinary partial aggregate (a
+    struct buffer, so Spark runs it as a sort-based aggregate that spills
+    rather than a hash aggregate), so a hot key is folded on the map side. Ties on the version are broken by the
     remaining columns in order, which keeps the result deterministic.
     """
     rest = [c for c in fact.columns if c not in keys and c != version_col]
