@@ -101,3 +101,10 @@ def test_hot_key_reports_and_dedup(spark):
     assert d.where(F.col("path") == "HOT").agg(F.sum("hits")).first()[0] == 1000
     plan = M.dedup_loads(twice)._jdf.queryExecution().executedPlan().toString()
     assert "partial_" in plan  # map-side combine before the shuffle
+
+
+def test_default_job_is_six_files(spark):
+    from pageflow.config import JobConfig
+    m = JobConfig(base="/nowhere").manifest(spark).collect()
+    assert len(m) == 6 and m[0].file_pattern == "2025/2025-01/pageviews-20250101-000000.gz"
+    assert m[-1].file_pattern == "2025/2025-01/pageviews-20250103-010000.gz"
