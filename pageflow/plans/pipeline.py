@@ -55,6 +55,10 @@ def _ddl(schema) -> str:
 def create_tables(spark: SparkSession, layout: Layout, db: str = "pageflow") -> None:
     """``CREATE TABLE IF NOT EXISTS … USING parquet`` for every pipeline table (external, at ``layout``)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    jvm = spark._jvm
+    for path in (layout.fact, layout.keywords, layout.ledger, layout.load_stats, layout.summary):
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        hp.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hp)
     fact_cols = _ddl(S.PAGEVIEWS) + ", `ym` int, `src_hour` string"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.pageviews ({fact_cols}) USING parquet "
               f"PARTITIONED BY (ym, src_hour) LOCATION '{layout.fact}'")
