@@ -349,3 +349,16 @@ SELECT file_time AS time,
        url_decode(split_part(line, ' ', 2)) AS path,
        TRY_CAST(split_part(line, ' ', 3) AS BIGINT) AS hits
 FROM lines WHERE len(string_split(line, ' ')) >= 3"""
+
+QUERIES["strict_load"] = "WITH " + LINES + f"""
+SELECT file_time AS time,
+       regexp_extract(line, '{STRICT_RE}', 1) AS project,
+       regexp_extract(line, '{STRICT_RE}', 2) AS subproject,
+       regexp_extract(line, '{STRICT_RE}', 3) AS path,
+       TRY_CAST(regexp_extract(line, '{STRICT_RE}', 4) AS BIGINT) AS hits
+FROM lines WHERE regexp_matches(line, '{STRICT_RE}')"""
+
+QUERIES["append_twice"] = _fact("""
+SELECT time, project, subproject, path, hits FROM pageviews
+UNION ALL
+SELECT time, project, subproject, path, hits FROM pageviews""")

@@ -374,3 +374,30 @@ def q_history_load(spark, sf):
     IG.ingest(spark, base, MF.hourly_manifest(X.event_bounds(spark, sf)), f"{root}/fact", f"{root}/ledger",
               None, projects=None, parser="history", run_id="history-1")
     return _fact_out(spark.read.parquet(f"{root}/fact"))
+
+
+@register("strict_load")
+def q_strict_load(spark, sf):
+    """W3 strict: full-history load with the 5-group grammar (dotted subproject, encoded title)."""
+    from pageflow.plans import ingest as IG
+    from pageflow.session import scratch_path
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, "strict")
+    IG.ingest(spark, base, MF.hourly_manifest(X.event_bounds(spark, sf)), f"{root}/fact", f"{root}/ledger",
+              None, projects=None, parser="strict", run_id="strict-1")
+    return _fact_out(spark.read.parquet(f"{root}/fact"))
+
+
+@register("append_twice")
+def q_append_twice(spark, sf):
+    """The basic load run twice appends every file twice; an incremental third run adds nothing."""
+    from pageflow.plans import ingest as IG
+    from pageflow.session import scratch_path
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, "append")
+    manifest = MF.hourly_manifest(X.event_bounds(spark, sf))
+    kw = X.keyword_seed(spark, sf)
+    for i in range(2):
+        IG.ingest(spark, base, manifest, f"{root}/fact", f"{root}/ledger", kw, mode="append", run_id=f"basic-{i}")
+    IG.ingest(spark, base, manifest, f"{root}/fact", f"{root}/ledger", kw, mode="incremental", run_id="inc")
+    return _fact_out(spark.read.parquet(f"{root}/fact"))
