@@ -1,9 +1,12 @@
 """Join helpers: broadcast only a side whose size has been checked.
 
 A dimension is broadcast only after a bounded probe proves it small:
-``side.limit(max_rows + 1).count()`` stops reading as soon as the bound is
-passed, so the check costs at most ``max_rows + 1`` rows however big the side
-really is. Beyond the bound the side is returned untouched and Catalyst plans
+``take(max_rows + 1)`` of a one-int projection. ``take`` scans partitions
+incrementally (1, then more, scaled by ``spark.sql.limit.scaleUpFactor``) and
+stops once it holds ``max_rows + 1`` rows, so the check reads a bounded
+number of rows however big the side really is (a ``limit().count()`` would
+start a task on every partition), and brings at most that many ints to the
+driver. Beyond the bound the side is returned untouched and Catalyst plans
 a shuffle join (with AQE skew splitting) instead.
 
 Probe results are remembered per session for the same logical plan over the
@@ -37,7 +40,7 @@ def is_small(side: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> boo
     key = _probe_key(side, max_rows)
     if key is not None and key in _PROBES:
         return _PROBES[key]
-    small = side.limit(max_rows + 1).count() <= max_rows
+    small = len(side.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
     if key is not None:
         _PROBES[key] = small
     return small
