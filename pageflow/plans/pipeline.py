@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageflow import schemas as S
 from pageflow.operators import dims as D
@@ -95,6 +96,24 @@ def write_summary(spark: SparkSession, layout: Layout, keywords: DataFrame) -> N
     snap.write.mode("overwrite").parquet(layout.summary)
 
 
+def census(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Row count of every pipeline table (missing or empty tables count 0)."""
+    def read(path, schema):
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except Exception:  # noqa: BLE001 - table not written yet
+            return spark.createDataFrame([], schema)
+    fact_schema = T.StructType(list(S.PAGEVIEWS.fields) + [T.StructField("ym", T.IntegerType()),
+                                                           T.StructField("src_hour", T.StringType())])
+    return R.table_census(spark, {
+        "pageviews": read(layout.fact, fact_schema),
+        "keywords": read(layout.keywords, S.KEYWORDS),
+        "processed_files": read(layout.ledger, S.LEDGER),
+        "pageview_load_stats": read(layout.load_stats, S.LOAD_STATS),
+        "summary_statistics": read(layout.summary, S.SUMMARY),
+    })
+
+
 def _run(spark: SparkSession, base: str, layout: Layout, manifest: DataFrame, mode: str,
          run_id: str | None, now: _dt.datetime | None, write_empty_summary: bool) -> dict:
     D.seed_keywords(spark, layout.keywords)  # K1, idempotent

@@ -164,6 +164,9 @@ def test_pipeline_tables_backfill_and_truncate(spark, workdir):
     snap = spark.read.parquet(lay.summary).first()
     assert snap.total_rows == 3 and snap.top_pages[0].path == "DuckDB"
     assert spark.sql("SELECT count(*) FROM pf_test.keywords").first()[0] == 29
+    cen = {r.table_name: r.row_count for r in PL.census(spark, lay).collect()}
+    assert cen == {"pageviews": 3, "keywords": 29, "processed_files": 4, "pageview_load_stats": 4,
+                   "summary_statistics": 1}
     spark.sql("REFRESH TABLE pf_test.pageviews")
     spark.sql("MSCK REPAIR TABLE pf_test.pageviews")
     assert spark.sql("SELECT count(*) FROM pf_test.pageviews").first()[0] == 3
