@@ -84,3 +84,42 @@ def test_parse_never_throws_and_keeps_invariants(spark, toks):
         assert len(r.value.split(" ")) >= 3
         assert r.value.split(" ")[1] != "-"
     parse_strict(df).collect()
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["en", "en.m", "de", ".x", "A_b", "%41", "-", "12", "0", "007", "", "x.y.z"]),
+                         min_size=1, max_size=6), min_size=20, max_size=60))
+def test_strict_and_lenient_match_python_reference_model(spark, token_lists):
+    import re
+    import urllib.parse
+    lines = [" ".join(t) for t in token_lists]
+    df = spark.createDataFrame([(i, v, "pageviews-20250101-010000.gz", "/d/pageviews-20250101-010000.gz")
+                                for i, v in enumerate(lines)],
+                               "i INT, value STRING, file_name STRING, file_path STRING")
+    got_s = {r.i: (r.project, r.subproject, r.path, r.hits) for r in parse_strict(df, passthrough=["i"]).collect()}
+    got_l = {r.i: (r.project, r.subproject, r.path, r.hits) for r in parse_lenient(df, passthrough=["i"]).collect()}
+    rx = re.compile(P.STRICT_LINE_REGEX)
+    for i, v in enumerate(lines):
+        m = rx.fullmatch(v)
+        exp_s = None if not m else (m.group(1), m.group(2) or "", m.group(3),
+                                    int(m.group(4)) if int(m.group(4)) < 2**63 else None)
+        assert got_s.get(i) == exp_s, v
+        toks = v.split(" ")
+        if len(toks) < 3 or toks[1] == "-":
+            assert i not in got_l, v
+            continue
+        proj = toks[0].split(".")
+        raw = toks[1]
+        try:
+            path = urllib.parse.unquote(raw.replace("+", "%2B"), errors="strict") if "%" in raw else raw
+        except UnicodeDecodeError:
+            path = None
+        try:
+            hits = int(toks[2]) if toks[2].lstrip("-").isdigit() else None
+        except ValueError:
+            hits = None
+        exp = (proj[0], proj[1] if len(proj) > 1 else "", path, hits)
+        if path is None:  # undecodable bytes: only check the other fields
+            assert got_l[i][0:2] == exp[0:2] and got_l[i][3] == exp[3], v
+        else:
+            assert got_l[i] == exp, v
