@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from pageflow import oracle
@@ -23,8 +22,12 @@ from pageflow.operators import maintain as M
 from pageflow.operators import reports as R
 from pageflow.plans import dumpfiles as DF
 from pageflow.plans import fixtures as X
+from pageflow.plans import ingest as IG
+from pageflow.plans import pipeline as PL
+from pageflow.session import scratch_path
 from pageflow.sources import dumps as SD
 from pageflow.sources import manifest as MF
+from pageflow.streaming.filestream import run_stream_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,10 +123,8 @@ def q_dedup_loads(spark, sf):
 @register("table_rebuild")
 def q_table_rebuild(spark, sf):
     """M4: rebuild the (double-loaded) table into a new version with M2 and read it back."""
-    from pageflow.plans.ingest import write_fact
-    from pageflow.session import scratch_path
     src = scratch_path(spark, "rebuild-src")
-    write_fact(X.double_load(spark, sf).drop("ingestion_date"), src)
+    IG.write_fact(X.double_load(spark, sf).drop("ingestion_date"), src)
     out = M.rebuild_and_swap(spark, src, scratch_path(spark, "rebuild-dst"),
                              lambda df: M.collapse_sum(df, version_col="ingestion_date")
                              .withColumn("ym", (F.year("time") * 100 + F.month("time")).cast("int")))
@@ -273,7 +274,6 @@ def q_top_articles_ref(spark, sf):
 
 @register("article_export")
 def q_article_export(spark, sf):
-    from pageflow.session import scratch_path
     out = A.export_matching(X.articles(spark, sf), scratch_path(spark, "articles"), terms=VOCAB_TERMS)
     return spark.read.parquet(out).drop("text")
 
@@ -337,8 +337,6 @@ def _fact_out(df):
 @register("file_ingest")
 def q_file_ingest(spark, sf):
     """Incremental load of every hourly dump of the event span, read back."""
-    from pageflow.plans import ingest as IG
-    from pageflow.session import scratch_path
     base = DF.derived_dump_dir(spark, sf, "clean")
     root = scratch_path(spark, "ingest")
     IG.ingest(spark, base, MF.hourly_manifest(X.event_bounds(spark, sf)), f"{root}/fact", f"{root}/ledger",
@@ -349,8 +347,6 @@ def q_file_ingest(spark, sf):
 @register("stream_load")
 def q_stream_load(spark, sf):
     """Available-now file stream over the dump folder, read back."""
-    from pageflow.session import scratch_path
-    from pageflow.streaming.filestream import run_stream_load
     base = DF.derived_dump_dir(spark, sf, "clean")
     root = scratch_path(spark, "stream")
     run_stream_load(spark, base, f"{root}/fact", f"{root}/ledger", X.keyword_seed(spark, sf), f"{root}/ckpt")
@@ -360,15 +356,12 @@ def q_stream_load(spark, sf):
 @register("load_stats")
 def q_load_stats(spark, sf):
     """Per-file load stats rows of run r1 over the dirty hours."""
-    from pageflow.plans.pipeline import load_stats
-    return load_stats(X.ledger_rows(spark, sf), "r1")
+    return PL.load_stats(X.ledger_rows(spark, sf), "r1")
 
 
 @register("history_load")
 def q_history_load(spark, sf):
     """Unfiltered full-history load (no keyword, project or unknown-title filter), read back."""
-    from pageflow.plans import ingest as IG
-    from pageflow.session import scratch_path
     base = DF.derived_dump_dir(spark, sf, "clean")
     root = scratch_path(spark, "history")
     IG.ingest(spark, base, MF.hourly_manifest(X.event_bounds(spark, sf)), f"{root}/fact", f"{root}/ledger",
@@ -379,8 +372,6 @@ def q_history_load(spark, sf):
 @register("strict_load")
 def q_strict_load(spark, sf):
     """W3 strict: full-history load with the 5-group grammar (dotted subproject, encoded title)."""
-    from pageflow.plans import ingest as IG
-    from pageflow.session import scratch_path
     base = DF.derived_dump_dir(spark, sf, "clean")
     root = scratch_path(spark, "strict")
     IG.ingest(spark, base, MF.hourly_manifest(X.event_bounds(spark, sf)), f"{root}/fact", f"{root}/ledger",
@@ -391,8 +382,6 @@ def q_strict_load(spark, sf):
 @register("append_twice")
 def q_append_twice(spark, sf):
     """The basic load run twice appends every file twice; an incremental third run adds nothing."""
-    from pageflow.plans import ingest as IG
-    from pageflow.session import scratch_path
     base = DF.derived_dump_dir(spark, sf, "clean")
     root = scratch_path(spark, "append")
     manifest = MF.hourly_manifest(X.event_bounds(spark, sf))
