@@ -54,12 +54,15 @@ def dedup_loads(fact: DataFrame, keys: Sequence[str] = NATURAL_KEY,
 
     Distinct raw lines may decode to one key inside a single file, so
     row-level dedup would drop genuine hits; summing per load first keeps
-    them. Both steps are partial/final aggregates, so each of the two
+    them. Both steps are partial/final hash aggregates, so each of the two
     shuffles moves rows already combined per task; a single shuffle on the
-    key alone would send a hot key's raw rows to one task.
+    key alone would send a hot key's raw rows to one task. After the first
+    step a key has one row per load, so ``max_by(hits, load)`` is exact and
+    deterministic (no ties) and stays a fixed-width hash aggregate.
     """
     per_load = fact.groupBy(*keys, load_col).agg(F.sum("hits").alias("hits"))
-    return keep_latest(per_load, keys, load_col)
+    return per_load.groupBy(*keys).agg(F.max(load_col).alias(load_col),
+                                       F.max_by("hits", load_col).alias("hits"))
 
 
 def rebuild_and_swap(spark: SparkSession, src_path: str, dst_root: str,
