@@ -30,7 +30,7 @@ from pageflow import schemas as S
 from pageflow.functions import parse as P
 from pageflow.operators import ledger as L
 from pageflow.operators.ingest_ops import flag_lenient, parse_strict
-from pageflow.plans.joins import checked_broadcast
+from pageflow.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 from pageflow.session import scratch_path
 from pageflow.sources.dumps import read_named_lines
 
@@ -122,16 +122,18 @@ def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str,
         [(p, full[p].rsplit("/", 1)[-1], errors.get(full[p])) for p in patterns],
         "file_pattern STRING, file_name STRING, error_message STRING")
     staged = spark.read.parquet(*staged_dirs) if staged_dirs else None
-    return commit(spark, attempts, staged, fact_path, ledger_path, mode, run_id, now)
+    return commit(spark, attempts, staged, fact_path, ledger_path, mode, run_id, now, n_files=len(patterns))
 
 
 def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, fact_path: str,
            ledger_path: str, mode: str = "incremental", run_id: str | None = None,
-           now: _dt.datetime | None = None) -> dict:
+           now: _dt.datetime | None = None, n_files: int | None = None) -> dict:
     """Quarantine, fact write and ledger append for one run (batch or micro-batch).
 
     ``attempts``: ``file_pattern, file_name, error_message`` (one row per file
-    tried); ``staged``: kept rows with ``file_name`` and ``bad``.
+    tried); ``staged``: kept rows with ``file_name`` and ``bad``. When the
+    number of files ``n_files`` is known (batch runs), the per-file relations
+    are bounded by it by construction and are broadcast without a probe.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
@@ -160,9 +162,12 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
 
     if staged is not None:
         good_files = outcome.where(F.col("status") == "success").select("file_name")
-        good = staged.join(checked_broadcast(good_files), "file_name", "left_semi")
+        bounded = n_files is not None and n_files <= DEFAULT_MAX_BROADCAST_ROWS
+        small = F.broadcast if bounded else checked_broadcast
+        good = staged.join(small(good_files), "file_name", "left_semi")
         per_hour = outcome.where(F.col("status") == "success").select("file_name", F.col("rows_ok").alias("rows"))
-        write_fact(good.drop("bad"), fact_path, append=(mode == "append"), rows_per_hour=per_hour)
+        write_fact(good.drop("bad"), fact_path, append=(mode == "append"), rows_per_hour=per_hour,
+                   per_hour_bounded=bounded)
 
     L.append_ledger(outcome.select(
         "file_pattern",
@@ -184,7 +189,8 @@ ROWS_PER_FILE = 5_000_000
 
 
 def write_fact(rows: DataFrame, fact_path: str, append: bool = False, n_hours: int | None = None,
-               rows_per_hour: DataFrame | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
+               rows_per_hour: DataFrame | None = None, rows_per_file: int = ROWS_PER_FILE,
+               per_hour_bounded: bool = False) -> None:
     """Add ``ingestion_date``, ``ym``, ``src_hour``; sorted files per hour partition.
 
     Rows are hash-partitioned on ``(ym, src_hour, salt)`` into
@@ -204,7 +210,7 @@ def write_fact(rows: DataFrame, fact_path: str, append: bool = False, n_hours: i
         fan = rows_per_hour.select(
             "file_name", F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(rows_per_file))).cast("int").alias("_nf"))
         n_files = fan.agg(F.sum("_nf")).first()[0] or n_hours
-        out = (out.join(checked_broadcast(fan), "file_name", "left")
+        out = (out.join(F.broadcast(fan) if per_hour_bounded else checked_broadcast(fan), "file_name", "left")
                .withColumn("_salt", F.pmod(F.xxhash64("path", "time", "project", "subproject"),
                                            F.coalesce(F.col("_nf"), F.lit(1))))
                .drop("_nf", "file_name"))
