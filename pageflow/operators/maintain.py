@@ -37,12 +37,21 @@ def keep_latest(fact: DataFrame, keys: Sequence[str] = NATURAL_KEY,
                 version_col: str = "ingestion_date") -> DataFrame:
     """M3: the row with the highest ``version_col`` per key (ReplacingMergeTree FINAL).
 
-    ``max(struct(version, rest...))`` is an ordinary partial aggregate (a
-    struct buffer, so Spark runs it as a sort-based aggregate that spills
-    rather than a hash aggregate), so a hot key is folded on the map side. Ties on the version are broken by the
-    remaining columns in order, which keeps the result deterministic.
+    Ties on the version are broken by the remaining columns in order, which
+    keeps the result deterministic. With one remaining column (the fact's
+    ``hits``) this is two hash aggregates: the max of that column per
+    ``(key, version)``, then ``max_by(it, version)`` per key, exact because a
+    key has one row per version after the first step. Otherwise it is
+    ``max(struct(version, rest...))``: still a partial aggregate folded on the
+    map side, but with a struct buffer, so Spark runs it sort-based (spilling).
+    No key is ever gathered into one task by a window.
     """
     rest = [c for c in fact.columns if c not in keys and c != version_col]
+    if len(rest) == 1:
+        (r,) = rest
+        per_version = fact.groupBy(*keys, version_col).agg(F.max(r).alias(r))
+        return per_version.groupBy(*keys).agg(F.max(version_col).alias(version_col),
+                                              F.max_by(r, version_col).alias(r))
     best = F.max(F.struct(F.col(version_col), *[F.col(c) for c in rest])).alias("_best")
     return (fact.groupBy(*keys).agg(best)
             .select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [version_col, *rest]]))

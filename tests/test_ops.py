@@ -108,3 +108,21 @@ def test_default_job_is_six_files(spark):
     m = JobConfig(base="/nowhere").manifest(spark).collect()
     assert len(m) == 6 and m[0].file_pattern == "2025/2025-01/pageviews-20250101-000000.gz"
     assert m[-1].file_pattern == "2025/2025-01/pageviews-20250103-010000.gz"
+
+
+def test_keep_latest_hash_path_equals_struct_path(spark):
+    import random
+    rnd = random.Random(7)
+    t = dt.datetime(2025, 1, 1)
+    rows = [(t + dt.timedelta(hours=rnd.randint(0, 3)), "en", rnd.choice(["", "m"]), rnd.choice("ABCD"),
+             rnd.randint(0, 5), dt.date(2025, 2, rnd.randint(1, 3))) for _ in range(400)]
+    f = spark.createDataFrame(rows, "time TIMESTAMP, project STRING, subproject STRING, path STRING, hits BIGINT, "
+                                    "ingestion_date DATE")
+    fast = M.keep_latest(f)
+    slow = (f.groupBy("time", "project", "subproject", "path")
+            .agg(F.max(F.struct("ingestion_date", "hits")).alias("b"))
+            .select("time", "project", "subproject", "path", "b.ingestion_date", "b.hits"))
+    key = lambda df: sorted(tuple(r) for r in df.select("time", "project", "subproject", "path",
+                                                         "ingestion_date", "hits").collect())
+    assert key(fast) == key(slow)
+    assert "SortAggregate" not in fast._jdf.queryExecution().executedPlan().toString()
