@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 SLICE_BYTES = 4 << 20
 
@@ -29,7 +30,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYT
             start = stop
 
 
-def map_texts(df: DataFrame, columns: dict[str, Column | str], schema: str,
+def map_texts(df: DataFrame, columns: dict[str, Column | str], schema: str | StructType,
               fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], text: str = "text",
               size: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over only the named columns, with ``fn`` fed slices bounded by bytes of ``text``."""
@@ -46,3 +47,18 @@ def list_column(values: np.ndarray, ends: list[int] | np.ndarray, kind: pa.DataT
     offsets = np.zeros(len(ends) + 1, np.int32)
     offsets[1:] = ends
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def with_columns(df: DataFrame, keep: list[str], text_col: str, fields: list[StructField],
+                 fn: Callable[[list[str | None]], list[pa.Array]]) -> DataFrame:
+    """``keep`` columns of ``df`` (types unchanged) and new columns that ``fn`` makes from each slice's whole texts."""
+    names = {f"k{i}": F.col(f"`{c}`") for i, c in enumerate(keep)} | {"text": F.col(f"`{text_col}`")}
+    schema = StructType([StructField(f"k{i}", df.schema[c].dataType) for i, c in enumerate(keep)] + fields)
+    out = [f.name for f in schema]
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], *fn(b.column("text").to_pylist())], out)
+
+    made = map_texts(df, names, schema, run)
+    return made.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[f.name for f in fields])
