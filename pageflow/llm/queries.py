@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import bpe, quality_fm, quality_rules, secrets, url_filter
+from pageflow.llm import bpe, decontaminate, quality_fm, quality_rules, secrets, shards, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,6 +43,12 @@ def op3_bpe(spark, sf):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op5_decontaminate")
+def op5_decontaminate(spark, sf):
+    """Leaked passages; a document without one has no row."""
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @register("op6_secrets")
 def op6_secrets(spark, sf):
     found = secrets.scan(table(spark, sf, "documents"))
@@ -74,3 +80,10 @@ def op9_quality_fm(spark, sf):
     scored = quality_fm.score(docs, quality_fm.train(docs, table(spark, sf, "labels")))
     return scored.select("doc_id", quality_fm.held_out().alias("held_out"), "score",
                          (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op10_shards")
+def op10_shards(spark, sf):
+    placed = shards.shard(table(spark, sf, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
