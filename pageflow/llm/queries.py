@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import bpe, decontaminate, quality_fm, quality_rules, secrets, shards, url_filter
+from pageflow.llm import bpe, chunks, decontaminate, quality_fm, quality_rules, secrets, shards, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_chunks")
+def op1_chunks(spark, sf):
+    """Runs of repeated chunks; a document without one has no row."""
+    return chunks.repeats(table(spark, sf, "documents"))
+
+
 @register("op3_bpe")
 def op3_bpe(spark, sf):
     path = tokenizer_path()
