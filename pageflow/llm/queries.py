@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import bpe, chunks, decontaminate, quality_fm, quality_rules, secrets, shards, url_filter
+from pageflow.llm import bpe, chunks, decontaminate, jaccard, quality_fm, quality_rules, secrets, shards, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +40,11 @@ def op1_chunks(spark, sf):
     return chunks.repeats(table(spark, sf, "documents"))
 
 
+@register("op2_jaccard")
+def op2_jaccard(spark, sf):
+    return jaccard.near_duplicates(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @register("op3_bpe")
 def op3_bpe(spark, sf):
     path = tokenizer_path()
