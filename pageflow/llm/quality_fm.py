@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField
 
-from pageflow.llm.scan import list_column, map_texts
+from pageflow.llm.scan import list_column, map_texts, with_columns
 
 SAMPLE = 6000
 FOLDS, HELD_OUT = 4, 2
@@ -167,22 +168,14 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     return fit([(np.array(r["index"], np.int64), np.array(r["value"])) for r in rows], np.array([r["label"] for r in rows], float))
 
 
-def score(docs: DataFrame, model: FactorisationMachine, id_col: str = "doc_id", text_col: str = "text",
-          keep: list[str] | None = None) -> DataFrame:
-    """Per document: id and ``score``, or all columns ``keep`` and ``score``. The model has a fixed size."""
+def score(docs: DataFrame, model: FactorisationMachine, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` of every document and its ``score``. The model has a fixed size."""
     sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.vectors))
-    rest = [id_col] if keep is None else [c for c in keep if c != text_col]
-    out = [docs.schema[c] for c in rest] + ([docs.schema[text_col]] if keep and text_col in keep else [])
 
-    def run(batches):
-        machine = FactorisationMachine(*sent.value)
-        for b in batches:
-            found = [extract(t) for t in b.column("text").to_pylist()]
-            starts = np.concatenate([[0], np.cumsum([len(i) for i, _ in found])[:-1]]).astype(np.int64)
-            s = machine.score(np.concatenate([i for i, _ in found]), np.concatenate([v for _, v in found]), starts)
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(out)], pa.array(s)], [*[f.name for f in out], "score"])
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
+    def scores(texts):
+        found = [extract(t) for t in texts]
+        starts = np.concatenate([[0], np.cumsum([len(i) for i, _ in found])[:-1]]).astype(np.int64)
+        index, value = (np.concatenate(x) for x in zip(*found))
+        return [pa.array(FactorisationMachine(*sent.value).score(index, value, starts))]
 
-    narrow = {f"c{i}": c for i, c in enumerate(rest)} | {"text": text_col}
-    return map_texts(docs, narrow, StructType([*out, StructField("score", DoubleType())]), run)
+    return with_columns(docs, keep, text_col, [StructField("score", DoubleType())], scores)

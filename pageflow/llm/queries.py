@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import bpe, chunks, decontaminate, jaccard, quality_fm, quality_rules, secrets, shards, url_filter
+from pageflow.llm import bpe, chunks, decontaminate, html_crf, jaccard, quality_fm, quality_rules, secrets, shards, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +54,11 @@ def op3_bpe(spark, sf):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op4_html_crf")
+def op4_html_crf(spark, sf):
+    return html_crf.extract(table(spark, sf, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @register("op5_decontaminate")
 def op5_decontaminate(spark, sf):
     """Leaked passages; a document without one has no row."""
@@ -88,7 +93,7 @@ def op8_url_filter(spark, sf):
 @register("op9_quality_fm")
 def op9_quality_fm(spark, sf):
     docs = table(spark, sf, "documents")
-    scored = quality_fm.score(docs, quality_fm.train(docs, table(spark, sf, "labels")))
+    scored = quality_fm.score(docs, quality_fm.train(docs, table(spark, sf, "labels")), ["doc_id"])
     return scored.select("doc_id", quality_fm.held_out().alias("held_out"), "score",
                          (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"))
 

@@ -18,13 +18,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from pageflow.llm.scan import map_texts
+from pageflow.llm.scan import with_columns
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 12, 18, 16
@@ -99,38 +99,33 @@ def redact(text: str, spans: list[tuple[str, int, int]], mask: str = "[SECRET]")
     return "".join(out) + text[at:]
 
 
-def _secret_rows(make: Callable, names: list[str]):
-    def run(batches):
-        for b in batches:
-            made = [make(t, find_secrets(t)) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made, names[0])], [*b.schema.names[:-1], names[1]])
-    return run
-
-
-_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+_SPAN = ArrayType(StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())]))
+_ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id and ``spans``, an array of (kind, start, end)."""
-    run = _secret_rows(lambda _, spans: [dict(zip(("kind", "start", "end"), x)) for x in spans], [_SPANS, "spans"])
-    return map_texts(docs, {"doc_id": F.col(f"`{id_col}`").cast("long"), "text": text_col},
-                     "doc_id long, spans array<struct<kind:string,start:long,end:long>>", run)
 
+    def spans(texts):
+        found = [[dict(zip(("kind", "start", "end"), x)) for x in find_secrets(t)] for t in texts]
+        return [pa.array(found, _ARROW_SPANS)]
 
-def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every secret in ``text_col`` masked; rows, columns and their order stay (null stays null)."""
-    rest = [c for c in docs.columns if c != text_col]
-    schema = [docs.schema[c] for c in rest] + [docs.schema[text_col]]
-    from pyspark.sql.types import StructType
+    named = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return with_columns(named, ["doc_id"], "text", [StructField("spans", _SPAN)], spans)
 
-    inner = _secret_rows(lambda t, spans: redact(t, spans) if spans else t, [pa.string(), "text"])
 
-    def run(batches):
-        for b in inner(batches):
-            yield pa.RecordBatch.from_arrays(b.columns, [*rest, text_col])
+def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with every secret in ``text_col`` masked, and ``n_secrets``, the number of spans; null stays null."""
+
+    def masked(texts):
+        found = [find_secrets(t) for t in texts]
+        return [pa.array([redact(t, s) if s else t for t, s in zip(texts, found)], pa.string()),
+                pa.array([len(s) for s in found], pa.int64())]
 
-    narrow = {f"c{i}": c for i, c in enumerate(rest)} | {"text": text_col}
-    return map_texts(docs, narrow, StructType(schema), run).select(*[f"`{c}`" for c in docs.columns])
+    rest = [c for c in docs.columns if c != text_col]
+    fields = [StructField("masked_text", StringType()), StructField("n_secrets", LongType())]
+    made = with_columns(docs, rest, text_col, fields, masked)
+    return made.select(*[F.col("masked_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], "n_secrets")
 
 
 def joined(spans: Column) -> Column:
