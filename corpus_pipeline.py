@@ -12,19 +12,65 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import quality_fm, secrets
-from pageflow.llm.queries import table
+from pageflow.llm import bpe, decontaminate, jaccard, quality_fm, secrets
+from pageflow.llm.components import stored
+from pageflow.llm.queries import table, tokenizer_path
 from pageflow.session import scratch_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    model = quality_fm.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    scored = quality_fm.score(docs, model, keep=docs.columns)
+    model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_fm.score(docs, model, docs.columns)
     return scored.where(F.col("score") >= quality_fm.THRESHOLD).select(*docs.columns)
 
 
-STAGES = [("quality classifier", keep_quality)]
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: the one with the smallest id.
+
+    Ids name documents: of rows that share id and text one stays, and rows
+    without an id, which no component can name, all stay.
+    """
+    near = jaccard.near_duplicates(docs)
+    by_id = near.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("stands"), F.count("*").alias("n"))
+    by_id = stored(by_id, "near-ids")
+    gone = by_id.where(~F.col("stands")).select("doc_id")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if by_id.where((F.col("n") > 1) & F.col("stands")).isEmpty():
+        return kept
+    unnamed = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return kept.withColumn("unnamed", unnamed).dropDuplicates(["doc_id", "text", "unnamed"]).select(*docs.columns)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    flagged = decontaminate.flag(docs, table(spark, sf_dir, "benchmark"), docs.columns)
+    return flagged.where(F.size("leaks") == 0).select(*docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked in the text and n_chars set anew where that changed it."""
+    masked = secrets.redacted(docs)
+    return masked.withColumn("n_chars", F.when(F.col("n_secrets") > 0, F.length("text")).otherwise(F.col("n_chars"))
+                             .cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: id, number of tokens, token ids and the digest of the decoded text."""
+    path = tokenizer_path()
+    coded = bpe.decode(bpe.encode(docs, path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("secret scans", mask_secrets),
+    ("BPE encoding and decoding", tokens),
+]
 ORACLE_SQL = None
 
 
