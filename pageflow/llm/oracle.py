@@ -1,7 +1,5 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-_WORDS = r"[^\x20\x09-\x0D]+"
-
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["op8_url_filter"] = r"""
@@ -21,3 +19,57 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(r_verdict, 'allow') AS verdict
 FROM urls LEFT JOIN (SELECT * FROM fits WHERE k = 1) USING (rn)
 """
+
+ORACLE_SQL["op2_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i+4])) END AS s
+  FROM words),
+tokens AS (SELECT doc_id, unnest(s) AS t FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+  WHERE 100 * n >= 75 * (len(a.s) + len(b.s) - n)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION
+  SELECT reach.doc_id, y FROM reach JOIN edges ON other = x)
+SELECT doc_id, len(any_value(s))::BIGINT AS n_shingles, min(other) AS component_id
+FROM sets JOIN reach USING (doc_id) GROUP BY doc_id
+"""
+
+#: The rule of the shards: a group of equal texts goes where its middle byte lies, a large group row by row.
+ORACLE_SQL["op10_shards"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
+docs AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS h,
+         strlen(coalesce(text, ''))::BIGINT + 1 AS size
+  FROM documents),
+summed AS (
+  SELECT rn, doc_id, t, h, size, sum(size) OVER () AS total, sum(size) OVER (PARTITION BY h) AS gb,
+         sum(size) OVER (ORDER BY h RANGE UNBOUNDED PRECEDING) AS g_end,
+         sum(size) OVER (ORDER BY h, doc_id NULLS FIRST, rn ROWS UNBOUNDED PRECEDING) AS r_end
+  FROM docs),
+placed AS (
+  SELECT rn, doc_id, t, h, size,
+         least(15, CASE WHEN gb <= 0.01::DOUBLE * total / 16 THEN (2 * (g_end - gb) + gb) * 16 // (2 * total)
+                        ELSE (2 * (r_end - size) + size) * 16 // (2 * total) END)::INTEGER AS shard
+  FROM summed)
+SELECT doc_id, size,
+       xor(list_reduce(list_transform(regexp_extract_all(hex(encode(t)), '..'),
+             lambda p: 16 * (instr('0123456789ABCDEF', p[1]) - 1) + instr('0123456789ABCDEF', p[2]) - 1),
+           lambda acc, b: xor(acc >> 8, tab[xor(acc, b) % 256 + 1]), 4294967295), 4294967295)::BIGINT AS text_crc32,
+       'bytes' AS law, shard,
+       (row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, rn) - 1)::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard
+FROM placed, crc
+"""

@@ -1,19 +1,21 @@
 """Sharding by histogram sort (operator 10), with DataFrame functions only.
 
-Rows are ordered by a key of their text's hash, so equal texts lie together,
-then id, then a row number that the written key table keeps. The key is a hex
-string and a candidate boundary is a key prefix. Each round counts, across all
-partitions, the exact bytes and rows below the candidate boundaries; a bucket
-between two of them is refined by more of the key as long as a splitter may
-have to fall inside it (its nearest edge misses the wanted bytes by more than
-``TOLERANCE`` of a shard) or it holds more than ``1 / MAX_BUCKETS`` of the
-rows. A group of equal texts is thus cut only where a shard would otherwise
-be over or under by more than the tolerance. Then rows are exchanged once, by
-bucket; a row's slot is its bucket's exact offset in the shard plus its place
-in the bucket, so no task holds a whole shard.
-
-Edge cases: a null text counts as no bytes and sorts as the empty text; null
-ids sort first; rows equal in all columns get different slots; an empty table
+Rows are ordered by a key of their text's digest, so equal texts lie together,
+then id, then a row number that the written key table keeps. Shards are to have
+equal bytes: a group of equal texts goes whole to the shard in which its middle
+byte lies, and a group of more than ``TOLERANCE`` of a shard is cut between
+rows by the same rule.
+
+The key is a hex string and a candidate boundary is a key prefix. Each round
+counts, across all partitions, the exact bytes and rows below the candidate
+boundaries; a bucket between two of them is refined by more of the key while a
+splitter falls inside it and it can still be cut, or while it holds more than
+``1 / MAX_BUCKETS`` of the rows. Then rows are exchanged once, by bucket; a
+row's slot is its bucket's exact offset in the shard plus its place in the
+bucket, so no task holds a whole shard.
+
+Edge cases: a null text counts as no bytes and as the empty text; null ids sort
+first; rows equal in all columns get different slots; an empty table
 gives an empty result; with fewer rows than shards some shards stay empty.
 """
 
@@ -31,7 +33,7 @@ SHARDS = 16
 TOLERANCE = 0.01
 FIRST_HEX, STEP_HEX = 3, 1
 MAX_BUCKETS = 2048
-KEY_HEX = 64
+GROUP_HEX, KEY_HEX = 32, 65
 
 
 @dataclass
@@ -42,6 +44,10 @@ class Bucket:
     low: str
     high: str
 
+    def one_group(self) -> bool:
+        """Whether all rows have the same text."""
+        return self.low[:GROUP_HEX] == self.high[:GROUP_HEX]
+
     def deeper(self) -> int:
         """Prefix length that splits this bucket: past what its smallest and largest key share."""
         same = next((i for i, (a, b) in enumerate(zip(self.low, self.high)) if a != b), KEY_HEX)
@@ -49,15 +55,14 @@ class Bucket:
 
 
 def key_of(text: Column, doc_id: Column, number: Column) -> Column:
-    """64 hex digits that sort as (text hash, id with nulls first, number)."""
-    text = F.coalesce(text, F.lit(""))
+    """65 hex digits that sort as (text digest, id with nulls first, number)."""
     unsigned = F.coalesce(doc_id, F.lit(0).cast("long")).bitwiseXOR(F.lit(-(1 << 63)))
 
     def digits(number: Column) -> Column:
-        return F.lpad(F.hex(number), 16, "0")
+        return F.lpad(F.lower(F.hex(number)), 16, "0")
 
-    return F.concat(digits(F.xxhash64(text)), F.substring(digits(F.xxhash64(text, F.length(text))), 1, 15),
-                    F.when(doc_id.isNull(), F.lit("0")).otherwise(F.lit("1")), digits(unsigned), digits(number))
+    return F.concat(F.md5(F.coalesce(text, F.lit(""))), F.when(doc_id.isNull(), F.lit("0")).otherwise(F.lit("1")),
+                    digits(unsigned), digits(number))
 
 
 def _bucket_of(cuts: dict[str, int]) -> Column:
@@ -88,12 +93,15 @@ def histogram(keys: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     cuts: dict[str, int] = {}
     while True:
         total, rows = sum(b.bytes for b in buckets), sum(b.rows for b in buckets)
-        slack, below, refine = tolerance * total / shards, 0, {}
+        below, refine = 0, {}
+        groups: dict[str, int] = {}
+        for b in buckets:
+            if b.one_group():
+                groups[b.low[:GROUP_HEX]] = groups.get(b.low[:GROUP_HEX], 0) + b.bytes
         for b in buckets:
-            first, last = below * shards // max(1, total) + 1, (below + b.bytes) * shards // max(1, total)
-            off = any(min(total * k / shards - below, below + b.bytes - total * k / shards) > slack
-                      for k in {first, first + 1, last} if 1 <= k < shards and below < total * k / shards < below + b.bytes)
-            if b.rows > 1 and len(b.prefix) < KEY_HEX and (off or b.rows > max(rows / MAX_BUCKETS, 1000)):
+            split = (below + b.bytes) * shards // max(1, total) * total > below * shards  # a splitter is inside
+            whole = b.one_group() and groups[b.low[:GROUP_HEX]] <= tolerance * total / shards
+            if b.rows > 1 and ((split and not whole) or b.rows > max(rows / MAX_BUCKETS, 1000)):
                 refine[b.prefix] = b.deeper()
             below += b.bytes
         if not refine:
@@ -107,16 +115,25 @@ def histogram(keys: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
         buckets = sorted([b for b in buckets if b.prefix not in refine] + finer, key=lambda b: b.prefix)
 
 
-def assign(buckets: list[Bucket], shards: int = SHARDS) -> list[tuple[str, int, int]]:
-    """(prefix, shard, slots used before it in the shard) of each bucket: splitters go to the nearest bucket edges."""
-    total, below, out = sum(b.bytes for b in buckets), 0, []
-    used = [0] * shards
+def assign(buckets: list[Bucket], shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[tuple[str, int, int]]:
+    """(prefix, shard, slots used before it in the shard) of each bucket, in key order."""
+    total = max(1, sum(b.bytes for b in buckets))
+    used, out, below = [0] * shards, [], 0
+    units: list[list[Bucket]] = []  # buckets that stay together
     for b in buckets:
-        # the splitter k lies at total * k / shards; a bucket belongs where its middle lies
-        shard = min(shards - 1, (2 * below + b.bytes) * shards // max(1, 2 * total))
-        out.append((b.prefix, shard, used[shard]))
-        used[shard] += b.rows
-        below += b.bytes
+        if units and b.one_group() and units[-1][0].one_group() and units[-1][0].low[:GROUP_HEX] == b.low[:GROUP_HEX]:
+            units[-1].append(b)
+        else:
+            units.append([b])
+    for unit in units:
+        size = sum(b.bytes for b in unit)
+        for part in [unit] if size <= tolerance * total / shards else [[b] for b in unit]:
+            size = sum(b.bytes for b in part)
+            shard = min(shards - 1, (2 * below + size) * shards // (2 * total))
+            for b in part:
+                out.append((b.prefix, shard, used[shard]))
+                used[shard] += b.rows
+            below += size
     return out
 
 
