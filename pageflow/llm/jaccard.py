@@ -11,10 +11,11 @@ the distinct sets, so copies are handled once.
    the sketch says are rare first. Prefix tokens travel in packed arrays by
    hash range; those of one class only are dropped there. Very frequent tokens
    skip that step, so no range gathers them.
-3. Groups: classes that share much of their prefix with the same class form a
-   group, cut into blocks of bounded size. Blocks that share a prefix token
-   are candidates; for two single classes, their shared count and the tokens
-   left after the last shared one must still allow a link.
+3. Groups: many classes that share much of their prefix with the same class
+   form a group, cut into blocks of bounded size; the others are blocks of their
+   own. Blocks that share a prefix token are candidates; for two single classes,
+   their shared count and the tokens left after the last shared one must still
+   allow a link.
 4. Matrix: the sets of candidate blocks are read once more. Each block keeps the
    union of its tokens; a set of one block is opened against the other only if
    enough of its tokens lie in that union. Overlaps of what is opened come from
@@ -51,7 +52,7 @@ HOT = 2000                # tokens counted this often over the usual noise are n
 RANGE_TOKENS = 1_000_000
 BUFFER_TOKENS = 2_000_000
 BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 18
-GROUP_SHARE = 0.25
+GROUP_SHARE, GROUP_SETS = 0.4, 16
 BITMAP_BITS = 27
 COLUMNS = 4096
 
@@ -221,7 +222,8 @@ def blocks(tokens: DataFrame, classes: DataFrame) -> DataFrame:
 
     A class joins the group of the class with which it shares the most prefix
     tokens among those that are the smallest of a token, if that is at least
-    ``GROUP_SHARE`` of its prefix; else it is a group of its own.
+    ``GROUP_SHARE`` of its prefix. Groups of fewer than ``GROUP_SETS`` fall
+    apart again: their few pairs are bounded more sharply one by one.
     """
     smallest = tokens.groupBy("token").agg(F.min("class").alias("lead"))
     votes = (tokens.join(smallest, "token").where(F.col("class") != F.col("lead"))
@@ -232,13 +234,13 @@ def blocks(tokens: DataFrame, classes: DataFrame) -> DataFrame:
         F.col("votes") >= GROUP_SHARE * (F.col("n") / 4), F.col("lead")).otherwise(F.col("class")).alias("group"))
     sizes = grouped.groupBy("group").agg(F.count("*").alias("sets"), F.sum("n").alias("total"))
     parts = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_TOKENS))
-    return (grouped.join(sizes.select("group", parts.alias("parts"), (F.col("sets") == 1).alias("single")), "group")
-            .select("class", "n", "single", F.when(F.col("parts") == 1, F.col("group")).otherwise(
+    return (grouped.join(sizes.select("group", parts.alias("parts"), (F.col("sets") < GROUP_SETS).alias("single")), "group")
+            .select("class", "n", "single", F.when(F.col("single"), F.col("class")).otherwise(
                 F.xxhash64("group", F.pmod(F.xxhash64("class"), "parts"))).alias("block")))
 
 
 def candidates(tokens: DataFrame, placed: DataFrame) -> DataFrame:
-    """(a, b) blocks, a <= b, in which a link is possible."""
+    """(a, b) blocks between or (a = b) within which a link is possible, each pair once."""
     by_block = (tokens.join(placed, "class").groupBy("token", "block")
                 .agg(F.max("rest").alias("rest"), F.max("n").alias("n"), F.min("single").alias("single")))
     left = by_block.select("token", *[F.col(c).alias(f"a_{c}") for c in ("block", "rest", "n", "single")])
@@ -247,8 +249,11 @@ def candidates(tokens: DataFrame, placed: DataFrame) -> DataFrame:
              .where("NOT (a_single AND b_single) OR 4 * least(a_n, b_n) >= 3 * greatest(a_n, b_n)")
              .groupBy(F.col("a_block").alias("a"), F.col("b_block").alias("b"))
              .agg(F.count("*").alias("s"), F.min(F.least("a_rest", "b_rest")).alias("rest"), F.min("a_n").alias("a_n"),
-                  F.min("b_n").alias("b_n"), F.min(F.col("a_single") & F.col("b_single")).alias("single")))
-    possible = pairs.where("NOT single OR 7 * (s + rest) >= 3 * (a_n + b_n)").select("a", "b")
+                  F.min("b_n").alias("b_n"), F.min("a_single").alias("a_single"),
+                  F.min(F.col("a_single") & F.col("b_single")).alias("single")))
+    # the sets of ``a`` travel to those of ``b``: a single one, if there is one
+    a, b = (F.when(F.col("a_single"), F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("b", "a")))
+    possible = pairs.where("NOT single OR 7 * (s + rest) >= 3 * (a_n + b_n)").select(a.alias("a"), b.alias("b"))
     within = placed.where("NOT single").select(F.col("block").alias("a"), F.col("block").alias("b")).distinct()
     return possible.union(within)
 
