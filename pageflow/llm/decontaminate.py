@@ -1,9 +1,9 @@
 """Benchmark decontamination (operator 5).
 
 Every ``SEED_WORDS``-word run of a test item is a possible seed. One pass over
-the corpus counts in how many documents each occurs; the rarer half of an
-item's own runs become its seeds, so an item that leaked everywhere keeps
-seeds too. A second pass joins passages to items: where enough distinct seeds
+the corpus counts in how many documents each occurs; of an item's runs that
+occur at all the rarer half become its seeds, so an item that leaked
+everywhere keeps seeds too. A second pass joins passages to items: where enough distinct seeds
 of an item lie close together, the words around them are aligned with the item
 by Smith-Waterman, which scores exact, edited and paraphrased copies.
 
@@ -107,7 +107,7 @@ class Items:
         seeds: dict[int, list[int]] = {}
         needed = []
         for k, runs in enumerate(own):
-            runs.sort(key=lambda r: (counts.get(r, 0), r))
+            runs = sorted((r for r in runs if counts.get(r)), key=lambda r: (counts[r], r))  # others occur nowhere
             chosen = runs[:max(MIN_SEEDS, math.ceil(SEED_SHARE * len(runs)))]
             needed.append(min(MIN_HITS, len(chosen)))
             for r in chosen:
@@ -212,8 +212,8 @@ def _counts(docs: DataFrame, text_col: str, sent) -> dict[int, int]:
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", item_id_col: str = "item_id",
-         item_text_col: str = "text") -> DataFrame:
-    """``keep`` columns of every document and ``leaks``, an array of (item_id, start_word, end_word, matches, score)."""
+         item_text_col: str = "text", name: str = "leaks") -> DataFrame:
+    """``keep`` columns of every document and ``name``, an array of (item_id, start_word, end_word, matches, score)."""
     sc = docs.sparkSession.sparkContext
     sent = []
     for block in _blocks(benchmark, item_id_col, item_text_col):
@@ -228,7 +228,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str =
                                                     ("end_word", pa.int64()), ("matches", pa.int64()),
                                                     ("score", pa.float64())])))]
 
-    return with_columns(docs, keep, text_col, [StructField("leaks", ArrayType(LEAK))], leaks)
+    return with_columns(docs, keep, text_col, [StructField(name, ArrayType(LEAK))], leaks)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
