@@ -168,8 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     return fit([(np.array(r["index"], np.int64), np.array(r["value"])) for r in rows], np.array([r["label"] for r in rows], float))
 
 
-def score(docs: DataFrame, model: FactorisationMachine, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of every document and its ``score``. The model has a fixed size."""
+def score(docs: DataFrame, model: FactorisationMachine, keep: list[str], text_col: str = "text",
+          name: str = "score") -> DataFrame:
+    """The columns ``keep`` of every document and its score, called ``name``. The model has a fixed size."""
     sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.vectors))
 
     def scores(texts):
@@ -178,4 +179,4 @@ def score(docs: DataFrame, model: FactorisationMachine, keep: list[str], text_co
         index, value = (np.concatenate(x) for x in zip(*found))
         return [pa.array(FactorisationMachine(*sent.value).score(index, value, starts))]
 
-    return with_columns(docs, keep, text_col, [StructField("score", DoubleType())], scores)
+    return with_columns(docs, keep, text_col, [StructField(name, DoubleType())], scores)

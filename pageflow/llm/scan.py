@@ -49,6 +49,14 @@ def list_column(values: np.ndarray, ends: list[int] | np.ndarray, kind: pa.DataT
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores appended until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_columns(df: DataFrame, keep: list[str], text_col: str, fields: list[StructField],
                  fn: Callable[[list[str | None]], list[pa.Array]]) -> DataFrame:
     """``keep`` columns of ``df`` (types unchanged) and new columns that ``fn`` makes from each slice's whole texts."""

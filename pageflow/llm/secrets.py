@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from pageflow.llm.scan import with_columns
+from pageflow.llm.scan import free_name, with_columns
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 12, 18, 16
@@ -114,8 +114,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return with_columns(named, ["doc_id"], "text", [StructField("spans", _SPAN)], spans)
 
 
-def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every secret in ``text_col`` masked, and ``n_secrets``, the number of spans; null stays null."""
+def redacted(docs: DataFrame, text_col: str = "text", name: str = "n_secrets") -> DataFrame:
+    """``docs`` with every secret in ``text_col`` masked, and ``name``, the number of spans; null stays null."""
 
     def masked(texts):
         found = [find_secrets(t) for t in texts]
@@ -123,9 +123,10 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 pa.array([len(s) for s in found], pa.int64())]
 
     rest = [c for c in docs.columns if c != text_col]
-    fields = [StructField("masked_text", StringType()), StructField("n_secrets", LongType())]
+    new_text = free_name(docs, "masked_text")
+    fields = [StructField(new_text, StringType()), StructField(name, LongType())]
     made = with_columns(docs, rest, text_col, fields, masked)
-    return made.select(*[F.col("masked_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], "n_secrets")
+    return made.select(*[F.col(new_text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], name)
 
 
 def joined(spans: Column) -> Column:
