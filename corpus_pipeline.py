@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 from pageflow.llm import bpe, decontaminate, jaccard, quality_fm, secrets
 from pageflow.llm.components import stored
 from pageflow.llm.queries import table, tokenizer_path
+from pageflow.llm.scan import free_name
 from pageflow.session import scratch_path
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality_fm.score(docs, model, docs.columns)
-    return scored.where(F.col("score") >= quality_fm.THRESHOLD).select(*docs.columns)
+    score = free_name(docs, "score")
+    scored = quality_fm.score(docs, model, docs.columns, name=score)
+    return scored.where(F.col(score) >= quality_fm.THRESHOLD).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,20 +41,23 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if by_id.where((F.col("n") > 1) & F.col("stands")).isEmpty():
         return kept
-    unnamed = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return kept.withColumn("unnamed", unnamed).dropDuplicates(["doc_id", "text", "unnamed"]).select(*docs.columns)
+    unnamed = free_name(docs, "unnamed")
+    numbered = kept.withColumn(unnamed, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return numbered.dropDuplicates(["doc_id", "text", unnamed]).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    flagged = decontaminate.flag(docs, table(spark, sf_dir, "benchmark"), docs.columns)
-    return flagged.where(F.size("leaks") == 0).select(*docs.columns)
+    leaks = free_name(docs, "leaks")
+    flagged = decontaminate.flag(docs, table(spark, sf_dir, "benchmark"), docs.columns, name=leaks)
+    return flagged.where(F.size(leaks) == 0).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked in the text and n_chars set anew where that changed it."""
-    masked = secrets.redacted(docs)
-    return masked.withColumn("n_chars", F.when(F.col("n_secrets") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    found = free_name(docs, "n_secrets")
+    masked = secrets.redacted(docs, name=found)
+    return masked.withColumn("n_chars", F.when(F.col(found) > 0, F.length("text")).otherwise(F.col("n_chars"))
                              .cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
