@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from xxhash import xxh3_64_intdigest as digest
 
+from pageflow.llm.components import stored
 from pageflow.llm.scan import map_texts
 
 CUT_BITS = 5            # a border each 32 bytes on average
@@ -125,6 +126,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     chunks = chunk(docs, id_col, text_col)
     again = (chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id"))
              .where("n > 1").select("digest", "first_doc_id"))
+    again = stored(again, "chunk-digests")  # so that the join's sides are both shuffled, and a hot one can be split
     marked = chunks.join(again, "digest").withColumn("own", F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
     place = F.row_number().over(Window.partitionBy("row", "digest").orderBy("start"))
     kept = marked.repartition("row").withColumn("removed", ~F.col("own") | (place > 1))
