@@ -59,9 +59,10 @@ def project_part(project_token, i: int) -> Column:
 
 
 def url_decode_lenient(raw) -> Column:
-    """Percent-decode a title, keeping '+' and malformed escapes unchanged."""
+    """Percent-decode a title, keeping '+' and each malformed escape unchanged."""
     raw = _c(raw)
-    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
+    literal = F.regexp_replace(F.replace(raw, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(literal), raw)
 
 
 def to_hits(s) -> Column:
@@ -118,12 +119,16 @@ def strict_match(line="value") -> Column:
 
 
 def strict_columns(line="value") -> dict[str, Column]:
-    """Columns of the strict parse: subproject keeps its dot, title not decoded (P10)."""
-    line = _c(line)
-    g = lambda i: F.regexp_extract(line, STRICT_LINE_REGEX, i)
+    """Columns of the strict parse of a line that matches: subproject keeps its dot, title not decoded (P10).
+
+    The grammar leaves no spaces inside the fields, so the fields of a matching
+    line are cut without running the expression again.
+    """
+    fields = F.split(_c(line), " +")
+    project = F.substring_index(fields[0], ".", 1)
     return {
-        "project": g(1),
-        "subproject": g(2),
-        "path": g(3),
-        "hits": to_hits(g(4)),
+        "project": project,
+        "subproject": F.substr(fields[0], F.length(project) + 1),
+        "path": fields[1],
+        "hits": to_hits(fields[2]),
     }

@@ -42,15 +42,17 @@ def top_articles(articles: DataFrame, terms: Sequence[str] = TOPIC_TERMS,
                  mentions: dict[str, str] = MENTION_TERMS, sep: str = PARAGRAPH_SEP) -> DataFrame:
     """A5: the ``n`` longest matching articles with mention counts and summary (ties by id).
 
-    The order and limit come before the mention counts and the summary, so
-    Catalyst plans one ``TakeOrderedAndProject`` whose projection (four
-    whole-text replace passes and a split) runs on the ``n`` winners only,
-    not on every matching article.
+    Only ids and lengths meet in the one task that merges the partitions' top
+    ``n``; those ``n`` rows are broadcast, and the texts of the winners alone
+    are counted and summed up where they are read.
     """
     f = flag_articles(articles, terms, title_pattern).where(F.col("is_data_engineering") == 1)
-    top = f.orderBy(F.desc("article_length"), F.asc("id")).limit(n)
-    return top.select("title", "url", "article_length", *mention_columns(mentions),
-                      first_paragraph(sep).alias("summary"))
+    order = [F.desc("article_length"), F.asc("id")]
+    top = f.select("id", "article_length").orderBy(*order).limit(n)
+    winners = f.join(F.broadcast(top), ["id", "article_length"], "left_semi")
+    return (winners.select("id", "title", "url", "article_length", *mention_columns(mentions),
+                           first_paragraph(sep).alias("summary"))
+            .orderBy(*order).limit(n).drop("id"))
 
 
 def export_matching(articles: DataFrame, path: str, terms: Sequence[str] = TOPIC_TERMS,

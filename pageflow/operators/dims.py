@@ -1,7 +1,7 @@
 """Keyword dimension.
 
-Seeding is idempotent: only keywords not yet present are appended, so
-running setup twice leaves one row per keyword (the reference appended the
+Seeding is idempotent: only (keyword, category) pairs not yet present are
+appended, so running setup twice leaves one row per pair (the reference appended the
 whole seed on every run and multiplied later joins).
 """
 
@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow import schemas as S
-from pageflow.plans.joins import checked_broadcast
-from pageflow.session import scratch_path
+from pageflow.session import read_or_empty, scratch_path
 
 # The reference's seed dimension (keyword, category), in its order.
 SEED_KEYWORDS = [
@@ -54,19 +53,16 @@ def seed_frame(spark: SparkSession) -> DataFrame:
 
 
 def merge_seed(existing: DataFrame, seed: DataFrame) -> DataFrame:
-    """K1: rows of ``seed`` whose keyword is not in ``existing`` (to append), with ``added_date``."""
-    new = seed.select("keyword", "category").dropDuplicates(["keyword"])
-    return (new.join(checked_broadcast(existing.select("keyword")), "keyword", "left_anti")
+    """K1: (keyword, category) rows of ``seed`` that ``existing`` lacks (to append), with ``added_date``."""
+    new = seed.select("keyword", "category").distinct()
+    return (new.join(existing.select("keyword", "category"), ["keyword", "category"], "left_anti")
             .withColumn("added_date", F.current_date()))
 
 
 def seed_keywords(spark: SparkSession, path: str, seed: DataFrame | None = None) -> int:
     """Append the missing seed keywords to the Parquet dimension at ``path``; returns rows added."""
     seed = seed if seed is not None else seed_frame(spark)
-    try:
-        existing = spark.read.schema(S.KEYWORDS).parquet(path)
-    except Exception:  # noqa: BLE001 - first run
-        existing = spark.createDataFrame([], S.KEYWORDS)
+    existing = read_or_empty(spark, path, S.KEYWORDS)
     add = merge_seed(existing, seed).select(*[F.col(f.name).cast(f.dataType) for f in S.KEYWORDS.fields])
     # Stage first: the anti join reads the table that is being appended to.
     stage = scratch_path(spark, "kw-seed")

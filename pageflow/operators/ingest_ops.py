@@ -1,7 +1,7 @@
 """Row-level ingest operators: lenient/strict parse, keyword filter, bad-row flags.
 
 These are narrow transformations (no shuffle) except the keyword filter,
-which is a left-semi join against a size-checked broadcast dimension, so the
+which is a left-semi join against a dimension that Spark broadcasts while it is small, so the
 dump side is never shuffled.
 """
 
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions import parse as P
-from pageflow.plans.joins import checked_broadcast
 
 
 def parse_lenient(lines: DataFrame, line_col: str = "value", time_col: Column | None = None,
@@ -48,13 +47,13 @@ def keep_keywords(parsed: DataFrame, keywords: DataFrame,
     """Rows whose decoded title is a keyword (J1) and whose project is listed.
 
     A left-semi join never multiplies rows, even if the dimension holds a
-    keyword twice (B1). The dimension is broadcast after a size check.
+    keyword twice (B1). Spark broadcasts the dimension while it is small.
     """
     df = parsed
     if projects is not None:
         df = df.where(F.col("project").isin(list(projects)))
     kw = keywords.select(F.col("keyword")).where(F.col("keyword").isNotNull())
-    return df.join(checked_broadcast(kw), df["path"] == kw["keyword"], "left_semi")
+    return df.join(kw, df["path"] == kw["keyword"], "left_semi")
 
 
 def with_bad_flag(parsed: DataFrame) -> DataFrame:
@@ -69,7 +68,7 @@ def flag_lenient(lines: DataFrame, keywords: DataFrame | None, line_col: str = "
 
     ``bad`` is evaluated only on kept rows, as the reference casts after its
     keyword and project filters (D3): garbage on unrelated pages does not fail
-    a file. A left join on the (checked, broadcast, de-duplicated) keyword set
+    a file. A left join on the (de-duplicated) keyword set
     gives the keyword flag without dropping lines. ``keywords=None``,
     ``projects=None`` and ``drop_unknown_title=False`` give the unfiltered
     full-history load (W3), which keeps every line with >= 3 tokens.
@@ -85,7 +84,7 @@ def flag_lenient(lines: DataFrame, keywords: DataFrame | None, line_col: str = "
         j, in_keywords = parsed, F.lit(True)
     else:
         kw = keywords.select(F.col("keyword").alias("_kw")).where(F.col("_kw").isNotNull()).distinct()
-        j, in_keywords = parsed.join(checked_broadcast(kw), parsed["path"] == kw["_kw"], "left"), \
+        j, in_keywords = parsed.join(kw, parsed["path"] == kw["_kw"], "left"), \
             F.col("_kw").isNotNull()
     kept = F.col("well_formed") & in_projects & in_keywords
     out = (j.withColumn("kept", kept)

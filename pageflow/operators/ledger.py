@@ -13,15 +13,12 @@ from pyspark.sql import functions as F
 
 from pageflow import schemas as S
 from pageflow.operators.maintain import keep_latest
-from pageflow.plans.joins import checked_broadcast
+from pageflow.session import read_or_empty
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table, or an empty one with the fixed schema if absent."""
-    try:
-        return spark.read.schema(S.LEDGER).parquet(path)
-    except Exception:  # noqa: BLE001 - missing path on first run
-        return spark.createDataFrame([], S.LEDGER)
+    return read_or_empty(spark, path, S.LEDGER)
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
@@ -43,9 +40,9 @@ def pending_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
     """Manifest minus files already loaded successfully (failed ones are retried, B8).
 
     The loaded-file set grows with the archive (one row per hour, ~9k a
-    year); it is broadcast while within the checked bound, else shuffled.
+    year); Spark broadcasts it while it measures small, else shuffles.
     """
-    return manifest.join(checked_broadcast(processed_files(ledger)), "file_pattern", "left_anti")
+    return manifest.join(processed_files(ledger), "file_pattern", "left_anti")
 
 
 def status_rollup(ledger: DataFrame) -> DataFrame:

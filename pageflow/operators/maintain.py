@@ -75,34 +75,36 @@ def dedup_loads(fact: DataFrame, keys: Sequence[str] = NATURAL_KEY,
 
 
 def rebuild_and_swap(spark: SparkSession, src_path: str, dst_root: str,
-                     transform: Callable[[DataFrame], DataFrame],
-                     partition_by: Sequence[str] = ("ym",), version: int = 1) -> str:
-    """M4: CTAS into a new versioned location; the caller repoints readers to it.
+                     transform: Callable[[DataFrame], DataFrame], version: int = 1, table: str | None = None) -> str:
+    """M4: rebuild into a new versioned location and, with ``table``, point the catalog's table there.
 
     Spark cannot overwrite a table it is reading, so the rebuilt table goes
-    to ``{dst_root}/v{version}``, sorted by ``(path, time)`` inside each
-    partition for row-group skipping.
+    to ``{dst_root}/v{version}``, in the layout of the load, so that further
+    loads can follow it there. Rows are range-partitioned by month, dump and
+    page, without a fixed count: Spark sizes the tasks by their bytes.
     """
+    from pageflow.plans.ingest import read_fact, write_fact
+
     out = f"{dst_root.rstrip('/')}/v{version}"
-    df = transform(spark.read.parquet(src_path))
-    parts = [c for c in partition_by if c in df.columns]
-    w = (df.repartition(*parts) if parts else df).sortWithinPartitions("path", "time").write.mode("overwrite")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(out)
+    rebuilt = transform(read_fact(spark, src_path)).drop("ym", "src_file")
+    write_fact(rebuilt.repartitionByRange("time", "path"), out)
+    if table:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{out}'")
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.sql(f"REFRESH TABLE {table}")
     return out
 
 
 def compact_months(spark: SparkSession, fact_path: str, dst_root: str, months: Sequence[int],
                    version: int = 1, rows_per_file: int = 5_000_000) -> str:
-    """M4 for small files: rewrite closed months of the hour-partitioned fact as ``ym`` partitions.
+    """M4 for small files: rewrite closed months of the file-partitioned fact as ``ym`` partitions.
 
     The ``ym IN (…)`` predicate prunes the read to those months; rows are
     range-partitioned on ``(ym, path, time)`` into about ``rows / rows_per_file``
     sorted files, so a month of ~720 tiny hour files becomes a few large ones
     with tight row-group min/max on ``path``. Returns the new location.
     """
-    src = spark.read.parquet(fact_path).where(F.col("ym").isin([int(m) for m in months])).drop("src_hour")
+    src = spark.read.parquet(fact_path).where(F.col("ym").isin([int(m) for m in months])).drop("src_file")
     n = src.count()
     files = max(1, -(-n // rows_per_file))
     out = f"{dst_root.rstrip('/')}/v{version}"

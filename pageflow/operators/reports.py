@@ -14,7 +14,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.plans.joins import checked_broadcast
 from pageflow.session import checkpoint_root
 
 
@@ -44,7 +43,7 @@ def _top(per_page: DataFrame, k: int) -> DataFrame:
 
 def _categories(per_page: DataFrame, keywords: DataFrame) -> DataFrame:
     kw = keywords.select("keyword", "category").distinct()
-    j = per_page.join(checked_broadcast(kw), per_page["path"] == kw["keyword"])
+    j = per_page.join(kw, per_page["path"] == kw["keyword"])
     return (j.groupBy("category")
             .agg(F.count(F.lit(1)).alias("unique_pages"), F.sum("total_hits").alias("total_hits"))
             .orderBy(F.desc("total_hits"), F.asc("category")))

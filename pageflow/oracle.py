@@ -8,6 +8,8 @@ decode expression in Spark).
 
 from __future__ import annotations
 
+from pageflow.functions.text import MENTION_TERMS, TITLE_PATTERN, TOPIC_TERMS
+
 LINES = """
 lines AS (
   SELECT date_trunc('hour', e.ts) AS file_time,
@@ -18,15 +20,14 @@ lines AS (
                     ELSE replace(p.p_name, ' ', CASE WHEN e.event_id % 3 = 0 THEN '%5F' ELSE '_' END) END)
          || (CASE WHEN e.event_id % 53 = 0 THEN ''
                   ELSE ' ' || CAST(e.user_id + 1 AS VARCHAR) || ' 0' END) AS line
-  FROM events e JOIN part p ON p.p_partkey = e.event_id % 200
+  FROM events e JOIN part p ON p.p_partkey = e.event_id % (SELECT max(p_partkey) + 1 FROM part)
 )"""
 
 KEYWORDS = """
 keywords AS (
   SELECT DISTINCT replace(p_name, ' ', '_') AS keyword, split_part(p_name, ' ', 2) AS category
   FROM part
-  WHERE p_partkey < 200
-    AND (p_name LIKE '%widget%' OR p_name LIKE '%gear%' OR p_name LIKE '%rod%')
+  WHERE p_name LIKE '%widget%' OR p_name LIKE '%gear%' OR p_name LIKE '%rod%'
 )"""
 
 PARSED = """
@@ -105,7 +106,7 @@ dlines AS (
                   ELSE ' ' || (CASE WHEN e.event_id % 97 = 0 THEN 'n/a'
                                     WHEN e.event_id % 89 = 0 THEN '-' || CAST(e.user_id + 1 AS VARCHAR)
                                     ELSE CAST(e.user_id + 1 AS VARCHAR) END) || ' 0' END) AS line
-  FROM events e JOIN part p ON p.p_partkey = e.event_id % 200
+  FROM events e JOIN part p ON p.p_partkey = e.event_id % (SELECT max(p_partkey) + 1 FROM part)
 ),
 dflag0 AS (
   SELECT file_name, file_time,
@@ -156,15 +157,16 @@ WITH articles AS (
 )
 """
 
-REF_FLAG = """CASE WHEN lower(text) LIKE '%data engineering%' OR lower(text) LIKE '%data pipeline%'
-  OR lower(text) LIKE '%etl%' OR lower(text) LIKE '%data warehouse%' OR lower(text) LIKE '%data lake%'
-  OR lower(text) LIKE '%apache spark%' OR lower(text) LIKE '%apache kafka%' OR lower(text) LIKE '%dbt%'
-  OR lower(text) LIKE '%airflow%' OR lower(title) LIKE '%data%engineering%' THEN 1 ELSE 0 END"""
-VOCAB_FLAG = "CASE WHEN lower(text) LIKE '%the%' OR lower(title) LIKE '%data%engineering%' THEN 1 ELSE 0 END"
-MENTIONS = """(length(text) - length(replace(lower(text), 'data engineering', ''))) / length('data engineering') AS de_mentions,
-  (length(text) - length(replace(lower(text), 'etl', ''))) / length('etl') AS etl_mentions,
-  (length(text) - length(replace(lower(text), 'data pipeline', ''))) / length('data pipeline') AS pipeline_mentions,
-  (length(text) - length(replace(lower(text), 'apache spark', ''))) / length('apache spark') AS spark_mentions"""
+def _flag(terms: list[str]) -> str:
+    """1 if the lower-cased text holds any of the terms or the lower-cased title is like the title pattern."""
+    return (f"(CAST(list_bool_or([contains(lower(text), t) FOR t IN {terms}]) AS BOOLEAN)"
+            f" OR lower(title) LIKE '{TITLE_PATTERN}')::INTEGER")
+
+
+REF_FLAG = _flag(TOPIC_TERMS)
+VOCAB_FLAG = _flag(["the"])
+MENTIONS = ", ".join(f"(length(text) - length(replace(lower(text), '{t}', ''))) / {len(t)} AS {name}"
+                     for name, t in MENTION_TERMS.items())
 
 STRICT_RE = r"^([^ .]+)(\.[^ ]+)? +([^ ]+) +(\d+) +(\d+)$"
 
@@ -257,7 +259,7 @@ SELECT DISTINCT file_name,
                       'https://dumps.example/pageviews/\1/\1-\2/\0') AS url
 FROM (SELECT unnest(regexp_extract_all(value, 'pageviews-[0-9]+-[0-9]+\.gz')) AS file_name FROM listing)""",
 
-    "ledger_latest": _dirty("SELECT file_pattern, processed_at, rows_inserted, status, run_id FROM ledger_latest"),
+    "ledger_latest": _dirty("SELECT file_pattern, processed_at, rows_inserted, status, error_message, run_id FROM ledger_latest"),
 
     "ledger_status": _dirty("""
 SELECT status, count(*) AS files, CAST(sum(rows_inserted) AS BIGINT) AS total_rows
@@ -301,7 +303,7 @@ SELECT (SELECT count(*) FROM pageviews) AS total_rows,
     "top_articles_reference_terms": _top_articles(REF_FLAG),
 
     "article_export": ARTICLES + f"""
-SELECT id, title, url, length(text) AS article_length, {VOCAB_FLAG} AS is_data_engineering
+SELECT id, title, text, url, length(text) AS article_length, {VOCAB_FLAG} AS is_data_engineering
 FROM articles WHERE ({VOCAB_FLAG}) = 1""",
 })
 
@@ -362,3 +364,18 @@ QUERIES["append_twice"] = _fact("""
 SELECT time, project, subproject, path, hits FROM pageviews
 UNION ALL
 SELECT time, project, subproject, path, hits FROM pageviews""")
+
+for _name in ("top_pages", "daily_trend", "trailing_week_top"):
+    QUERIES[f"fact_{_name}"] = QUERIES[_name]
+
+QUERIES["replay_load"] = _fact("""
+SELECT time, project, subproject, path, hits, CAST(strftime(time, '%Y%m') AS INTEGER) AS ym,
+       'pageviews-' || strftime(time, '%Y%m%d-%H') || '0000.gz' AS src_file
+FROM pageviews""")
+
+# A column is an int if all its values are; a missing field has none.
+QUERIES["schema_profile"] = _dump(" UNION ALL ".join(
+    f"""SELECT {k} AS ordinal, '_c{k}' AS column_name,
+       CASE WHEN count({c}) > 0 AND bool_and({c} IS NULL OR TRY_CAST({c} AS INTEGER) IS NOT NULL) THEN 'int' ELSE 'string' END
+         AS data_type FROM dump"""
+    for k, c in enumerate(["project", "page_title", "view_count_text", "bytes_served_text"])))

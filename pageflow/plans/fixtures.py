@@ -13,13 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions import parse as P
-from pageflow.plans.joins import checked_broadcast
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 # Fixed values of the fixture derivation (FIXTURES §4).
-PART_KEY_MODULUS = 200
 PROJECT_BY_MOD6 = ["en", "en.m", "de", "en", "fr.m", "en.b"]
 UNKNOWN_TITLE_EVERY = 41
 ESCAPED_SPACE_EVERY = 3
@@ -30,6 +28,7 @@ DIRTY_NEG_EVERY = 89
 
 
 _SCHEMAS: dict[str, object] = {}
+_PART_KEYS: dict[str, int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def part_keys(spark: SparkSession, sf_dir: str) -> int:
+    """One more than the largest part key, so that ``event_id`` modulo it reaches every part (read once per path)."""
+    if sf_dir not in _PART_KEYS:
+        _PART_KEYS[sf_dir] = table(spark, sf_dir, "part").agg(F.max("p_partkey") + 1).first()[0]
+    return _PART_KEYS[sf_dir]
+
+
 def hour_file_name(ts: Column) -> Column:
     """Dump file name of the hour holding ``ts``: pageviews-YYYYMMDD-HH0000.gz."""
     return F.concat(F.lit("pageviews-"), F.date_format(ts, "yyyyMMdd-HH"), F.lit("0000.gz"))
@@ -57,14 +63,11 @@ def lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     ``dirty=True`` makes some counts unusable (``n/a`` or negative), as a
     damaged dump would have them; files holding such a kept row get quarantined.
 
-    ``part`` is filtered to the 200 join keys and broadcast after a bounded
-    size check, so the (huge) events side is never shuffled for this join.
+    Events meet the whole of ``part``, so titles grow with the table.
     """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    p = (table(spark, sf_dir, "part")
-         .where((F.col("p_partkey") > -PART_KEY_MODULUS) & (F.col("p_partkey") < PART_KEY_MODULUS))
-         .select("p_partkey", "p_name"))
-    j = e.join(checked_broadcast(p), F.col("p_partkey") == F.col("event_id") % PART_KEY_MODULUS)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = e.join(p, F.col("p_partkey") == F.col("event_id") % part_keys(spark, sf_dir))
     eid = F.col("event_id")
     proj = F.element_at(F.array(*[F.lit(x) for x in PROJECT_BY_MOD6]),
                         (eid % len(PROJECT_BY_MOD6)).cast("int") + 1)
@@ -93,7 +96,7 @@ def keyword_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyword_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword rows before de-duplication; enough for semi joins, which ignore repeats."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") < PART_KEY_MODULUS)
+    p = table(spark, sf_dir, "part")
     like_any = None
     for pat in KEYWORD_NOUNS_LIKE:
         c = F.col("p_name").like(pat)

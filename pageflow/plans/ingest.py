@@ -1,25 +1,28 @@
 """Set-based load of hourly dumps with a ledger.
 
-One Spark job reads **all** pending files of a run (parallelism = number of
-gzip files), parses and filters them where they are read, and stages only
-the kept rows (the keyword filter shrinks the data by orders of magnitude)
-in the shared checkpoint folder. Everything after the scan — per-file
-outcomes, quarantine, the fact write and the ledger rows — runs on that small
-staged table, so a lost executor never forces a re-read of the dumps.
-
-Idempotent replay (B6): the fact is partitioned by ``ym`` and ``src_hour``
-and written with dynamic partition overwrite, so re-loading a file replaces
-exactly its hour. ``mode='append'`` keeps the reference's basic behaviour of
-plain appends (B3).
+A run reads its pending files in batches of one folder (a month), each batch
+in one Spark job (parallelism = number of gzip files), parses and filters them
+where they are read, and stages only the kept rows in the shared checkpoint
+folder. Per-file outcomes, quarantine, the fact write and the ledger rows run
+on those staged rows, so a lost executor never forces a re-read of the dumps;
+the stage is removed when the run is over.
+
+Idempotent replay (B6): the fact is partitioned by month ``ym`` and source file
+``src_file`` and the writer itself asks for dynamic overwrite, so re-loading a
+file replaces exactly its rows, whatever the session says, and a replay that
+keeps nothing removes them. ``mode='append'`` keeps the reference's basic
+behaviour of plain appends (B3).
 
 Failure isolation (L4): a file fails when any kept row has an unusable count
-or its name carries no hour; missing files fail alone; a corrupt gzip fails
-the read job, so the file list is bisected until the bad file is alone.
+or its name carries no hour; missing files fail alone; a file that Spark says it
+can't read is set aside with Spark's message and the rest of its batch goes
+on. Any other error stops the run: it is not the files' fault.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 from collections.abc import Iterable
 
@@ -30,8 +33,7 @@ from pageflow import schemas as S
 from pageflow.functions import parse as P
 from pageflow.operators import ledger as L
 from pageflow.operators.ingest_ops import flag_lenient, parse_strict
-from pageflow.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
-from pageflow.session import scratch_path
+from pageflow.session import drop_path, path_exists, read_or_empty, scratch_path
 from pageflow.sources.dumps import read_named_lines
 
 STAGED_COLS = ["file_name", "time", "project", "subproject", "path", "hits", "bad"]
@@ -63,7 +65,7 @@ def _stage(spark: SparkSession, paths: list[str], keywords: DataFrame | None, ou
             "bad", F.col("hits").isNull() | F.col("time").isNull())
         if keywords is not None:
             kw = keywords.select(F.col("keyword")).distinct()
-            rows = rows.join(checked_broadcast(kw), rows["path"] == kw["keyword"], "left_semi")
+            rows = rows.join(kw, rows["path"] == kw["keyword"], "left_semi")
         if projects is not None:
             rows = rows.where(F.col("project").isin(list(projects)))
     elif parser == "history":
@@ -74,21 +76,32 @@ def _stage(spark: SparkSession, paths: list[str], keywords: DataFrame | None, ou
     return spark.read.parquet(out)
 
 
+#: How Spark names the file of a failed read.
+UNREADABLE = re.compile(r"FAILED_READ_FILE.*?while reading file \S*?([^/\s]+?)\.?\s", re.S)
+
+
 def _stage_isolating(spark, paths, keywords, root, projects, parser, errors: dict[str, str]) -> list[str]:
-    """Stage ``paths``; on a read failure split the list until each bad file is alone."""
-    if not paths:
-        return []
-    out = f"{root}/s-{uuid.uuid4().hex[:8]}"
-    try:
-        _stage(spark, paths, keywords, out, projects, parser)
-        return [out]
-    except Exception as e:  # noqa: BLE001 - corrupt input surfaces as a job failure
-        if len(paths) == 1:
-            errors[paths[0]] = (str(e).strip().splitlines() or ["read failed"])[0][:500]
-            return []
-        mid = len(paths) // 2
-        return (_stage_isolating(spark, paths[:mid], keywords, root, projects, parser, errors)
-                + _stage_isolating(spark, paths[mid:], keywords, root, projects, parser, errors))
+    """Stage ``paths`` folder by folder; a file that can't be read is put into ``errors`` and left out."""
+    folders: dict[str, list[str]] = {}
+    for p in paths:
+        folders.setdefault(p.rsplit("/", 1)[0], []).append(p)
+    out = []
+    for batch in folders.values():
+        while batch:
+            stage = f"{root}/s-{uuid.uuid4().hex[:8]}"
+            try:
+                _stage(spark, batch, keywords, stage, projects, parser)
+                out.append(stage)
+                break
+            except Exception as e:  # noqa: BLE001 - raised again unless it names one of the files
+                said = str(e)
+                named = UNREADABLE.search(said)
+                bad = [p for p in batch if named and p.endswith("/" + named[1])]
+                if not bad:
+                    raise
+                errors.update({p: said.strip() for p in bad})
+                batch = [p for p in batch if p not in bad]
+    return out
 
 
 def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str, ledger_path: str,
@@ -114,26 +127,28 @@ def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str,
     root = base.rstrip("/")
     full = {p: f"{root}/{p}" for p in patterns}
     present, missing = _existing(spark, list(full.values()))
-    errors = {p: "file not found" for p in missing}
-    staged_dirs = _stage_isolating(spark, present, keywords, scratch_path(spark, f"stage-{run_id}"),
-                                   projects, parser, errors)
+    errors = {p: "file not found" for p in missing}  # by full path
+    stage_root = scratch_path(spark, f"stage-{run_id}")
+    staged_dirs = _stage_isolating(spark, present, keywords, stage_root, projects, parser, errors)
+    errors = {p: errors[full[p]] for p in patterns if full[p] in errors}
 
     attempts = spark.createDataFrame(
-        [(p, full[p].rsplit("/", 1)[-1], errors.get(full[p])) for p in patterns],
+        [(p, full[p].rsplit("/", 1)[-1], errors.get(p)) for p in patterns],
         "file_pattern STRING, file_name STRING, error_message STRING")
     staged = spark.read.parquet(*staged_dirs) if staged_dirs else None
-    return commit(spark, attempts, staged, fact_path, ledger_path, mode, run_id, now, n_files=len(patterns))
+    try:
+        return commit(spark, attempts, staged, fact_path, ledger_path, mode, run_id, now)
+    finally:
+        drop_path(spark, stage_root)
 
 
 def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, fact_path: str,
            ledger_path: str, mode: str = "incremental", run_id: str | None = None,
-           now: _dt.datetime | None = None, n_files: int | None = None) -> dict:
-    """Quarantine, fact write and ledger append for one run (batch or micro-batch).
+           now: _dt.datetime | None = None) -> dict:
+    """Quarantine, fact write and ledger append for one run.
 
     ``attempts``: ``file_pattern, file_name, error_message`` (one row per file
-    tried); ``staged``: kept rows with ``file_name`` and ``bad``. When the
-    number of files ``n_files`` is known (batch runs), the per-file relations
-    are bounded by it by construction and are broadcast without a probe.
+    tried); ``staged``: kept rows with ``file_name`` and ``bad``.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
@@ -160,14 +175,13 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
     outcome.write.mode("overwrite").parquet(out_path)
     outcome = spark.read.parquet(out_path)
 
+    done = outcome.where(F.col("status") == "success")
     if staged is not None:
-        good_files = outcome.where(F.col("status") == "success").select("file_name")
-        bounded = n_files is not None and n_files <= DEFAULT_MAX_BROADCAST_ROWS
-        small = F.broadcast if bounded else checked_broadcast
-        good = staged.join(small(good_files), "file_name", "left_semi")
-        per_hour = outcome.where(F.col("status") == "success").select("file_name", F.col("rows_ok").alias("rows"))
-        write_fact(good.drop("bad"), fact_path, append=(mode == "append"), rows_per_hour=per_hour,
-                   per_hour_bounded=bounded)
+        good = staged.join(done.select("file_name"), "file_name", "left_semi")
+        write_fact(good.drop("bad"), fact_path, append=(mode == "append"))
+    if mode != "append":
+        for r in done.where(F.col("rows_ok") == 0).select("file_name").collect():  # file names, not data
+            _drop_file_rows(spark, fact_path, r["file_name"])
 
     L.append_ledger(outcome.select(
         "file_pattern",
@@ -179,53 +193,42 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
                           F.count_if(F.col("status") == "failed").alias("failed"),
                           F.sum(F.when(F.col("status") == "success", F.col("rows_ok")).otherwise(0))
                           .alias("rows_inserted")).first()
+    drop_path(spark, out_path)
     return {"run_id": run_id, **{k: int(summary[k] or 0) for k in
                                  ("attempted", "succeeded", "failed", "rows_inserted")}}
 
 
-# Rows per output file of one hour partition; a larger hour is split over
-# several tasks/files so a hot hour (even a third of all rows) is written in parallel.
-ROWS_PER_FILE = 5_000_000
+FACT_PARTITIONS = ["ym", "src_file"]
 
 
-def write_fact(rows: DataFrame, fact_path: str, append: bool = False, n_hours: int | None = None,
-               rows_per_hour: DataFrame | None = None, rows_per_file: int = ROWS_PER_FILE,
-               per_hour_bounded: bool = False) -> None:
-    """Add ``ingestion_date``, ``ym``, ``src_hour``; sorted files per hour partition.
+def _drop_file_rows(spark: SparkSession, fact_path: str, file_name: str) -> None:
+    """Removes what an earlier load of the file left, when a replay keeps no row of it."""
+    stamp = re.search(P.FILE_STAMP_REGEX, file_name)
+    if stamp:
+        folder = f"{fact_path}/ym={stamp[1][:6]}/src_file={file_name}"
+        if path_exists(spark, folder):
+            drop_path(spark, folder)
 
-    Rows are hash-partitioned on ``(ym, src_hour, salt)`` into
-    ``min(files, defaultParallelism)`` tasks (an explicit count, which AQE
-    keeps). ``salt`` is 0 for ordinary hours; when ``rows_per_hour``
-    (``file_name, rows``, one row per loaded file) says an hour holds more
-    than ``rows_per_file`` rows, its rows are spread by a hash of the row over
-    ``ceil(rows / rows_per_file)`` salts, so no single task writes a hot hour.
-    Dynamic overwrite still replaces the whole hour partition on replay.
+
+def write_fact(rows: DataFrame, fact_path: str, append: bool = False) -> None:
+    """Add ``ingestion_date``, ``ym``, ``src_file``; files sorted by ``path, time`` in each partition.
+
+    Rows are written by the tasks that hold them, without a shuffle: staged
+    rows of one dump come from one task's file, and a large one is read, and so
+    written, in several splits. The sort leads with the partition columns, as
+    the partitioned writer wants it, so it does not sort again and files stay
+    ordered by ``path`` for row-group skipping. Rows without a ``file_name``
+    are filed under the dump of their hour.
     """
-    sc = rows.sparkSession.sparkContext
-    out = (rows.withColumn("ingestion_date", F.current_date())
-           .withColumn("ym", P.ym(F.col("time")))
-           .withColumn("src_hour", F.date_format("time", "yyyyMMddHH")))
-    n_files = n_hours
-    if rows_per_hour is not None:
-        fan = rows_per_hour.select(
-            "file_name", F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(rows_per_file))).cast("int").alias("_nf"))
-        n_files = fan.agg(F.sum("_nf")).first()[0] or n_hours
-        out = (out.join(F.broadcast(fan) if per_hour_bounded else checked_broadcast(fan), "file_name", "left")
-               .withColumn("_salt", F.pmod(F.xxhash64("path", "time", "project", "subproject"),
-                                           F.coalesce(F.col("_nf"), F.lit(1))))
-               .drop("_nf", "file_name"))
-    else:
-        out = out.withColumn("_salt", F.lit(0))
-    keys = ["ym", "src_hour", "_salt"]
-    n = min(int(n_files), sc.defaultParallelism) if n_files else sc.defaultParallelism
-    parts = out.repartition(max(1, n), *keys)
-    (parts.drop("_salt").sortWithinPartitions("path", "time")
-     .write.mode("append" if append else "overwrite").partitionBy("ym", "src_hour").parquet(fact_path))
+    named = F.col("file_name") if "file_name" in rows.columns else F.concat(
+        F.lit("pageviews-"), F.date_format("time", P.FILE_STAMP_FORMAT), F.lit(".gz"))
+    out = (rows.withColumn("ingestion_date", F.current_date()).withColumn("ym", P.ym(F.col("time")))
+           .withColumn("src_file", named).drop("file_name"))
+    (out.sortWithinPartitions(*FACT_PARTITIONS, "path", "time")
+     .write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*FACT_PARTITIONS).parquet(fact_path))
 
 
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame:
-    """The fact table with its partition columns (empty with the fixed schema if absent)."""
-    try:
-        return spark.read.parquet(fact_path)
-    except Exception:  # noqa: BLE001 - nothing loaded yet
-        return spark.createDataFrame([], S.PAGEVIEWS)
+    """The fact table with its partition columns (empty if nothing is loaded yet)."""
+    return read_or_empty(spark, fact_path, S.FACT)

@@ -14,13 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pageflow import schemas as S
 from pageflow.operators import dims as D
 from pageflow.operators import ledger as L
 from pageflow.operators import reports as R
 from pageflow.plans import ingest as IG
+from pageflow.session import read_or_empty
 
 
 @dataclass(frozen=True)
@@ -60,9 +60,8 @@ def create_tables(spark: SparkSession, layout: Layout, db: str = "pageflow") ->
     for path in (layout.fact, layout.keywords, layout.ledger, layout.load_stats, layout.summary):
         hp = jvm.org.apache.hadoop.fs.Path(path)
         hp.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hp)
-    fact_cols = _ddl(S.PAGEVIEWS) + ", `ym` int, `src_hour` string"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.pageviews ({fact_cols}) USING parquet "
-              f"PARTITIONED BY (ym, src_hour) LOCATION '{layout.fact}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.pageviews ({_ddl(S.FACT)}) USING parquet "
+              f"PARTITIONED BY ({', '.join(IG.FACT_PARTITIONS)}) LOCATION '{layout.fact}'")
     for name, schema, path in [("keywords", S.KEYWORDS, layout.keywords),
                                ("processed_files", S.LEDGER, layout.ledger),
                                ("pageview_load_stats", S.LOAD_STATS, layout.load_stats),
@@ -70,6 +69,16 @@ def create_tables(spark: SparkSession, layout: Layout, db: str = "pageflow") ->
         spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} ({_ddl(schema)}) USING parquet LOCATION '{path}'")
 
 
+def show_partitions(spark: SparkSession, layout: Layout, db: str | None) -> None:
+    """Tells the catalog which partitions of the fact there are, so that SQL on the table's name sees them."""
+    name = f"{db}.pageviews"
+    if db and spark.catalog.tableExists(name):
+        where = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()
+        if where["data_type"].split(":", 1)[-1].rstrip("/").endswith(layout.fact.split(":", 1)[-1].rstrip("/")):
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+            spark.sql(f"REFRESH TABLE {name}")
+
+
 def truncate_fact(spark: SparkSession, layout: Layout, db: str | None = "pageflow") -> None:
     """Empty the fact table; pair with a fresh ledger to reprocess.
 
@@ -78,8 +87,7 @@ def truncate_fact(spark: SparkSession, layout: Layout, db: str | None = "pageflo
     """
     from pageflow.operators.maintain import empty_folder
     empty_folder(spark, layout.fact)
-    if db:
-        spark.sql(f"REFRESH TABLE {db}.pageviews")
+    show_partitions(spark, layout, db)
 
 
 def load_stats(ledger: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -90,23 +98,18 @@ def load_stats(ledger: DataFrame, run_id: str | None = None) -> DataFrame:
 
 
 def write_summary(spark: SparkSession, layout: Layout, keywords: DataFrame) -> None:
-    """Replace the summary snapshot (R10) computed over the whole fact."""
+    """Replace the summary snapshot (R10) computed over the whole fact; an empty fact leaves the last one."""
     fact = IG.read_fact(spark, layout.fact)
-    snap = R.summary_snapshot(fact, keywords)
-    snap.write.mode("overwrite").parquet(layout.summary)
+    if not fact.isEmpty():
+        R.summary_snapshot(fact, keywords).write.mode("overwrite").parquet(layout.summary)
 
 
 def census(spark: SparkSession, layout: Layout) -> DataFrame:
     """Row count of every pipeline table (missing or empty tables count 0)."""
     def read(path, schema):
-        try:
-            return spark.read.schema(schema).parquet(path)
-        except Exception:  # noqa: BLE001 - table not written yet
-            return spark.createDataFrame([], schema)
-    fact_schema = T.StructType(list(S.PAGEVIEWS.fields) + [T.StructField("ym", T.IntegerType()),
-                                                           T.StructField("src_hour", T.StringType())])
+        return read_or_empty(spark, path, schema)
     return R.table_census(spark, {
-        "pageviews": read(layout.fact, fact_schema),
+        "pageviews": read(layout.fact, S.FACT),
         "keywords": read(layout.keywords, S.KEYWORDS),
         "processed_files": read(layout.ledger, S.LEDGER),
         "pageview_load_stats": read(layout.load_stats, S.LOAD_STATS),
@@ -115,7 +118,7 @@ def census(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def _run(spark: SparkSession, base: str, layout: Layout, manifest: DataFrame, mode: str,
-         run_id: str | None, now: _dt.datetime | None, write_empty_summary: bool) -> dict:
+         run_id: str | None, now: _dt.datetime | None, db: str | None) -> dict:
     D.seed_keywords(spark, layout.keywords)  # K1, idempotent
     keywords = spark.read.parquet(layout.keywords)
     res = IG.ingest(spark, base, manifest, layout.fact, layout.ledger, keywords, mode=mode,
@@ -124,19 +127,22 @@ def _run(spark: SparkSession, base: str, layout: Layout, manifest: DataFrame, mo
         stats = load_stats(L.read_ledger(spark, layout.ledger), res["run_id"])
         stats.select(*[F.col(f.name).cast(f.dataType) for f in S.LOAD_STATS.fields]) \
             .write.mode("append").parquet(layout.load_stats)
-    if res["attempted"] or write_empty_summary:
         write_summary(spark, layout, keywords)
+        show_partitions(spark, layout, db)
     res["total_rows"] = IG.read_fact(spark, layout.fact).count()
     return res
 
 
 def run_basic(spark: SparkSession, base: str, layout: Layout, manifest: DataFrame,
-              run_id: str | None = None, now: _dt.datetime | None = None) -> dict:
+              run_id: str | None = None, now: _dt.datetime | None = None, db: str | None = "pageflow") -> dict:
     """L2: load every manifest file (always append), stats, summary."""
-    return _run(spark, base, layout, manifest, "append", run_id, now, True)
+    return _run(spark, base, layout, manifest, "append", run_id, now, db)
 
 
 def run_incremental(spark: SparkSession, base: str, layout: Layout, manifest: DataFrame,
-                    run_id: str | None = None, now: _dt.datetime | None = None) -> dict:
-    """Load only files not yet loaded successfully; a wider manifest backfills missing hours."""
-    return _run(spark, base, layout, manifest, "incremental", run_id, now, True)
+                    run_id: str | None = None, now: _dt.datetime | None = None, db: str | None = "pageflow") -> dict:
+    """Load only files not yet loaded successfully; a wider manifest backfills missing hours.
+
+    With nothing pending the run ends there: no stats, no new summary.
+    """
+    return _run(spark, base, layout, manifest, "incremental", run_id, now, db)

@@ -12,6 +12,9 @@ PAGEVIEWS = T.StructType([
     T.StructField("ingestion_date", T.DateType()),
 ])
 
+# The stored fact: partitioned by month and source file.
+FACT = T.StructType(PAGEVIEWS.fields + [T.StructField("ym", T.IntegerType()), T.StructField("src_file", T.StringType())])
+
 # Natural key of one fact row.
 NATURAL_KEY = ["time", "project", "subproject", "path"]
 

@@ -12,16 +12,17 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # No broadcast from static size estimates: a side is broadcast only after a
-    # checked row bound (plans.joins) or by AQE from a measured shuffle size.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # A side is broadcast only if its size in bytes is within the bound: the files'
+    # size times a factor for what compression hides, or AQE's measured shuffle size.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -81,6 +82,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists; an unreachable or unknown file system raises."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet table at ``path``, or an empty one if nothing is there; other errors are not hidden."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes a scratch or partition folder, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/pageflow-{name}-{uuid.uuid4().hex[:12]}"

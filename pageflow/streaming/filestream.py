@@ -1,11 +1,12 @@
 """Recurring load of newly arrived dump files with Structured Streaming.
 
-``readStream.format('text')`` tracks which files were seen in its checkpoint;
-``trigger(availableNow=True)`` processes everything that has arrived and
-stops, so a scheduled run loads exactly the new hours. Each micro-batch goes
-through the same quarantine / dynamic-overwrite / ledger commit as the batch
-loader, so a replayed micro-batch (after a failure) rewrites the same hour
-partitions instead of duplicating them.
+The stream is one of file names: a ``binaryFile`` source whose content is never
+read tells in its checkpoint which files were seen, and each micro-batch hands
+its file list to the batch loader (``plans.ingest``). So quarantine, files that
+can't be read, replay and the ledger work as in a batch run: a corrupt file is
+recorded and the others load, and a micro-batch that is run again finds its
+files done in the ledger. ``trigger(availableNow=True)`` takes everything that
+has arrived and stops, so a scheduled run loads exactly the new hours.
 
 Files that fail stay marked as seen by the stream checkpoint; their retry is
 the batch loader's job (its manifest anti-joins only ``success`` rows). Every
@@ -14,31 +15,34 @@ file of a micro-batch gets a ledger row, including files without a kept row.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from pageflow.functions import parse as P
-from pageflow.operators.ingest_ops import flag_lenient
-from pageflow.plans.ingest import STAGED_COLS, commit
+from pageflow.plans.ingest import ingest
 from pageflow.session import scratch_path
 
 # Fixed value: archive-relative location of a dump inside any base folder.
 RELATIVE_PATTERN_REGEX = r"(\d{4}/\d{4}-\d{2}/pageviews-[^/]+)$"
 
+# Fixed value: the columns of Spark's binaryFile source.
+BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def dump_stream(spark: SparkSession, base: str, glob: str = "pageviews-*.gz",
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming lines of every dump below ``base`` with their file name and path."""
-    r = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+    """Streaming names of the dumps below ``base``: ``file_pattern``, relative to it."""
+    r = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
          .option("pathGlobFilter", glob))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(base).select("value", F.col("_metadata.file_name").alias("file_name"),
-                               F.col("_metadata.file_path").alias("file_path"))
+    path = F.col("path")
+    rel = F.regexp_extract(path, RELATIVE_PATTERN_REGEX, 1)
+    return r.load(base).select(F.when(rel != "", rel).otherwise(F.substring_index(path, "/", -1)).alias("file_pattern"))
 
 
 def start_stream_load(spark: SparkSession, base: str, fact_path: str, ledger_path: str,
@@ -52,32 +56,13 @@ def start_stream_load(spark: SparkSession, base: str, fact_path: str, ledger_pat
     hours is then loaded as a series of bounded batches).
     """
     checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
-    stage_root = checkpoint.rstrip("/") + "-stage"
-    flagged = flag_lenient(dump_stream(spark, base, max_files_per_trigger=max_files_per_trigger), keywords,
-                           projects=projects, passthrough=("file_name", "file_path"))
+    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:8]
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        run_id = f"stream-{epoch_id}"
-        rel = F.regexp_extract("file_path", RELATIVE_PATTERN_REGEX, 1)
-        # The micro-batch feeds two outputs (kept rows, per-file attempts), so a narrow
-        # projection of it is persisted and the files are decompressed once: unkept lines
-        # keep only their file name (dictionary-compressed in the cache) and two flags.
-        keep = F.col("kept")
-        slim = batch.select(
-            F.when(rel != "", rel).otherwise(F.col("file_name")).alias("file_pattern"), "file_name",
-            "kept", "bad", *[F.when(keep, F.col(c)).alias(c) for c in ("time", "project", "subproject", "path", "hits")])
-        slim.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stage = f"{stage_root}/epoch={epoch_id}"
-            slim.where("kept").select(*STAGED_COLS).write.mode("overwrite").parquet(stage)
-            staged = batch.sparkSession.read.parquet(stage)
-            attempts = (slim.select("file_pattern", "file_name").distinct()
-                        .withColumn("error_message", F.lit(None).cast("string")))
-            commit(batch.sparkSession, attempts, staged, fact_path, ledger_path, "incremental", run_id)
-        finally:
-            slim.unpersist()
-
-    w = flagged.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+        ingest(batch.sparkSession, base, batch, fact_path, ledger_path, keywords, mode="incremental",
+               projects=projects, run_id=f"stream-{name}-{epoch_id}")
+
+    w = dump_stream(spark, base, max_files_per_trigger=max_files_per_trigger).writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 

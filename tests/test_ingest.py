@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pageflow.operators import ledger as L
@@ -129,19 +130,104 @@ def test_strict_parser_load(spark, workdir):
     assert sorted(x.subproject for x in f.where(F.col("path") == "DuckDB").collect()) == ["", "", ".m"]
 
 
-def test_hot_hour_is_split_over_files(spark, workdir):
-    import datetime as dt
-    rows = [(dt.datetime(2025, 1, 1, 0), "en", "", f"P{i % 7}", i, "pageviews-20250101-000000.gz") for i in range(40)]
-    rows += [(dt.datetime(2025, 1, 1, 1), "en", "", "Q", 1, "pageviews-20250101-010000.gz")]
+def test_fact_files_are_sorted(spark, workdir):
+    import pyarrow.parquet as pq
+    rows = [(dt.datetime(2025, 1, 1, i % 3), "en", "", f"P{(i * 37) % 101:03d}", i, f"pageviews-20250101-0{i % 3}0000.gz")
+            for i in range(600)]
     df = spark.createDataFrame(rows, "time TIMESTAMP, project STRING, subproject STRING, path STRING, hits BIGINT, "
-                                     "file_name STRING")
-    per = spark.createDataFrame([("pageviews-20250101-000000.gz", 40), ("pageviews-20250101-010000.gz", 1)],
-                                "file_name STRING, rows BIGINT")
-    IG.write_fact(df, f"{workdir}/fact", rows_per_hour=per, rows_per_file=10)
-    files = [f for f in os.listdir(f"{workdir}/fact/ym=202501/src_hour=2025010100") if f.endswith(".parquet")]
-    assert len(files) >= 2
-    back = spark.read.parquet(f"{workdir}/fact")
-    assert back.count() == 41 and back.agg(F.sum("hits")).first()[0] == sum(range(40)) + 1
+                                     "file_name STRING").repartition(4)
+    IG.write_fact(df, f"{workdir}/fact")
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{workdir}/fact") for f in names if f.endswith(".parquet")]
+    assert len(files) >= 3
+    for f in files:
+        paths = pq.ParquetFile(f).read(columns=["path"]).column("path").to_pylist()
+        assert paths == sorted(paths)
+    assert IG.read_fact(spark, f"{workdir}/fact").count() == 600
+
+
+def test_replay_is_safe_in_a_session_without_settings(spark, workdir):
+    base = _setup(workdir)
+    bare = spark.newSession()
+    for k in spark.sparkContext.getConf().getAll():
+        if k[0] == "spark.sql.sources.partitionOverwriteMode":
+            bare.conf.set(k[0], "static")
+    first = MF.hourly_manifest_between(bare, dt.datetime(2025, 1, 1, 0), dt.datetime(2025, 1, 1, 0))
+    IG.ingest(bare, base, first, f"{workdir}/fact", f"{workdir}/l", _kw(bare))
+    IG.ingest(bare, base, _manifest(bare, 3), f"{workdir}/fact", f"{workdir}/l", _kw(bare))
+    assert IG.read_fact(bare, f"{workdir}/fact").count() == 3
+
+
+def test_two_files_of_one_hour_and_a_replay_that_keeps_nothing(spark, workdir):
+    base = _setup(workdir, {"pageviews-20250101-000000.gz": ["en DuckDB 1 0"], "pageviews-20250101-003000.gz": ["en DuckDB 2 0"]})
+    fact = f"{workdir}/fact"
+    for k, name in enumerate(["000000", "003000"]):
+        m = spark.createDataFrame([(f"2025/2025-01/pageviews-20250101-{name}.gz",)], "file_pattern STRING")
+        IG.ingest(spark, base, m, fact, f"{workdir}/l{k}", _kw(spark))
+    assert sorted(r.hits for r in IG.read_fact(spark, fact).collect()) == [1, 2]
+    _write(base, "pageviews-20250101-003000.gz", ["en Other 5 0"])
+    r = IG.ingest(spark, base, m, fact, f"{workdir}/l2", _kw(spark))
+    assert (r["succeeded"], r["rows_inserted"]) == (1, 0)
+    assert [r.hits for r in IG.read_fact(spark, fact).collect()] == [1]
+
+
+def test_other_failures_are_not_blamed_on_files(spark, workdir, monkeypatch):
+    base = _setup(workdir)
+    def full(*_):
+        raise OSError("no space left on device")
+    monkeypatch.setattr(IG, "_stage", full)
+    with pytest.raises(OSError, match="no space"):
+        IG.ingest(spark, base, _manifest(spark, 3), f"{workdir}/fact", f"{workdir}/l", _kw(spark))
+    assert L.read_ledger(spark, f"{workdir}/l").count() == 0
+
+
+def test_unreadable_tables_are_not_empty(spark, workdir):
+    with pytest.raises(Exception, match="nosuchfs"):
+        L.read_ledger(spark, "nosuchfs://x/ledger").count()
+    os.makedirs(f"{workdir}/fact/ym=202501/src_file=a")
+    with open(f"{workdir}/fact/ym=202501/src_file=a/part-0.parquet", "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):
+        IG.read_fact(spark, f"{workdir}/fact").collect()
+    assert IG.read_fact(spark, f"{workdir}/nothing").count() == 0
+
+
+def test_empty_run_keeps_the_summary(spark, workdir):
+    from pageflow.plans import pipeline as PL
+    base = _setup(workdir)
+    lay = PL.Layout(f"{workdir}/tables")
+    PL.run_incremental(spark, base, lay, _manifest(spark, 1), run_id="a", db=None)
+    stamp = os.stat(f"{lay.summary}/_SUCCESS").st_mtime_ns
+    r = PL.run_incremental(spark, base, lay, _manifest(spark, 1), run_id="b", db=None)
+    assert r["attempted"] == 0 and os.stat(f"{lay.summary}/_SUCCESS").st_mtime_ns == stamp
+    PL.truncate_fact(spark, lay, db=None)
+    PL.write_summary(spark, lay, _kw(spark))
+    assert spark.read.parquet(lay.summary).first().total_rows == 2
+
+
+def test_stream_with_a_corrupt_file(spark, workdir):
+    base = _setup(workdir)
+    _write(base, "pageviews-20250101-030000.gz", [], raw=b"this is not gzip")
+    for _ in range(2):  # the restart finds nothing to do
+        run_stream_load(spark, base, f"{workdir}/f", f"{workdir}/l", _kw(spark), f"{workdir}/ck")
+        led = {r.file_pattern.rsplit("/", 1)[-1]: r for r in L.read_ledger(spark, f"{workdir}/l").collect()}
+        assert len(led) == 4 and L.read_ledger(spark, f"{workdir}/l").count() == 4
+        assert led["pageviews-20250101-030000.gz"].status == "failed"
+        assert "pageviews-20250101-030000.gz" in led["pageviews-20250101-030000.gz"].error_message
+        assert IG.read_fact(spark, f"{workdir}/f").count() == 3
+
+
+def test_rebuilt_table_takes_further_loads(spark, workdir):
+    from pageflow.operators import maintain as M
+    from pageflow.plans import pipeline as PL
+    base = _setup(workdir)
+    lay = PL.Layout(f"{workdir}/tables")
+    PL.create_tables(spark, lay, db="pf_swap")
+    for k in range(2):
+        IG.ingest(spark, base, _manifest(spark, 1), lay.fact, f"{workdir}/l{k}", _kw(spark), mode="append")
+    out = M.rebuild_and_swap(spark, lay.fact, f"{workdir}/rebuilt", M.collapse_sum, table="pf_swap.pageviews")
+    assert sorted(r.hits for r in spark.sql("SELECT hits FROM pf_swap.pageviews").collect()) == [14, 24]
+    IG.ingest(spark, base, _manifest(spark, 3), out, f"{workdir}/l9", _kw(spark))
+    assert sorted(r.hits for r in IG.read_fact(spark, out).collect()) == [3, 7, 12]  # hour 0 is replaced, hour 2 added
 
 
 def test_pipeline_tables_backfill_and_truncate(spark, workdir):
@@ -152,10 +238,10 @@ def test_pipeline_tables_backfill_and_truncate(spark, workdir):
     PL.create_tables(spark, lay, db="pf_test")  # idempotent
     # the run seeds the reference keywords; this fixture names three of them
     m2 = MF.hourly_manifest_between(spark, dt.datetime(2025, 1, 1, 0), dt.datetime(2025, 1, 1, 1))
-    r1 = PL.run_incremental(spark, base, lay, m2, run_id="a")
+    r1 = PL.run_incremental(spark, base, lay, m2, run_id="a", db="pf_test")
     assert (r1["attempted"], r1["failed"]) == (2, 1)
     # backfill: widen the calendar, only the new hour is loaded
-    r2 = PL.run_incremental(spark, base, lay, _manifest(spark, 3), run_id="b")
+    r2 = PL.run_incremental(spark, base, lay, _manifest(spark, 3), run_id="b", db="pf_test")
     assert (r2["attempted"], r2["succeeded"]) == (2, 1)
     assert r2["total_rows"] == 3
     stats = spark.read.parquet(lay.load_stats)
@@ -167,8 +253,6 @@ def test_pipeline_tables_backfill_and_truncate(spark, workdir):
     cen = {r.table_name: r.row_count for r in PL.census(spark, lay).collect()}
     assert cen == {"pageviews": 3, "keywords": 29, "processed_files": 4, "pageview_load_stats": 4,
                    "summary_statistics": 1}
-    spark.sql("REFRESH TABLE pf_test.pageviews")
-    spark.sql("MSCK REPAIR TABLE pf_test.pageviews")
     assert spark.sql("SELECT count(*) FROM pf_test.pageviews").first()[0] == 3
     PL.truncate_fact(spark, lay, db="pf_test")
     assert IG.read_fact(spark, lay.fact).count() == 0
@@ -212,7 +296,7 @@ def test_compact_month(spark, workdir):
     base = _setup(workdir)
     IG.ingest(spark, base, _manifest(spark, 3), f"{workdir}/fact", f"{workdir}/l", _kw(spark))
     out = M.compact_months(spark, f"{workdir}/fact", f"{workdir}/compact", [202501])
-    a = spark.read.parquet(f"{workdir}/fact").drop("src_hour")
+    a = spark.read.parquet(f"{workdir}/fact").drop("src_file")
     b = spark.read.parquet(out)
     key = lambda df: sorted(tuple(r) for r in df.select("time", "path", "hits", "ym").collect())
     assert key(a) == key(b)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pageflow.operators import dims as D
 from pageflow.operators import maintain as M
 from pageflow.operators import reports as R
-from pageflow.plans import joins as J
 from pageflow.sources import manifest as MF
 
 
@@ -66,10 +65,31 @@ def test_listing_and_location(spark):
         ("pageviews-20251001-000000.gz", "https://h/p/2025/2025-10/pageviews-20251001-000000.gz")]
 
 
-def test_checked_broadcast_falls_back(spark):
-    big = spark.range(50).toDF("keyword")
-    assert not J.is_small(big, max_rows=10)
-    assert J.is_small(big, max_rows=100)
+def test_seed_keeps_every_category(spark, workdir):
+    from pageflow.operators import dims as D
+    seed = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "x")], "keyword STRING, category STRING")
+    assert D.seed_keywords(spark, f"{workdir}/kw", seed) == 2 and D.seed_keywords(spark, f"{workdir}/kw", seed) == 0
+    assert {(r.keyword, r.category) for r in spark.read.parquet(f"{workdir}/kw").collect()} == {("a", "x"), ("a", "y")}
+
+
+def test_lines_reach_every_part(spark):
+    """The derived lines and keywords use the whole part table at every size."""
+    from pageflow.plans import fixtures as X
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        names = {r[0].replace(" ", "_") for r in X.table(spark, sf, "part").select("p_name").distinct().collect()}
+        kw = {r.keyword for r in X.keyword_seed(spark, sf).collect()}
+        assert kw == {n for n in names if any(x in n for x in ("widget", "gear", "rod"))}
+        assert X.part_keys(spark, sf) == X.table(spark, sf, "part").count()
+
+
+def test_no_text_meets_in_the_top_articles_task(spark):
+    from pageflow.operators import articles as A
+    df = spark.createDataFrame([(str(i), "t", "etl " * i, "u") for i in range(5)], "id STRING, title STRING, text STRING, url STRING")
+    top = A.top_articles(df, n=2)
+    assert [r.article_length for r in top.collect()] == [16, 12]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    first = [x for x in plan.splitlines() if "TakeOrderedAndProject" in x][-1]
+    assert "text" not in first
 
 
 def test_reports_on_tiny_fact(spark):

@@ -16,6 +16,7 @@ GOLDEN = [
     ("de DuckDB 9 0", (True, "de", "", "DuckDB", 9), ("de", "", "DuckDB", 9)),
     ("en - 100 0", (False,), ("en", "", "-", 100)),
     ("en Bad%ZZ 1 0", (True, "en", "", "Bad%ZZ", 1), ("en", "", "Bad%ZZ", 1)),
+    ("en 100%_DuckDB%20x%zz%4 1 0", (True, "en", "", "100%_DuckDB x%zz%4", 1), ("en", "", "100%_DuckDB%20x%zz%4", 1)),
     ("en A+B 2 0", (True, "en", "", "A+B", 2), ("en", "", "A+B", 2)),
     ("en x", (False,), None),
     ("en Data_lake notnum 0", (True, "en", "", "Data_lake", None), None),
