@@ -42,11 +42,12 @@ def main(argv=None) -> None:
         run_stream_load(spark, a.base, layout.fact, layout.ledger, spark.read.parquet(layout.keywords),
                         checkpoint=f"{a.root}/_stream_checkpoint")
         PL.write_summary(spark, layout, spark.read.parquet(layout.keywords))
+        PL.show_partitions(spark, layout, a.db)
         res = {"mode": "stream"}
     else:
         job = C.JobConfig(a.base, a.year, a.month, a.days, a.hours)
         run = PL.run_incremental if a.mode == "incremental" else PL.run_basic
-        res = run(spark, a.base, layout, job.manifest(spark))
+        res = run(spark, a.base, layout, job.manifest(spark), db=a.db)
     snap = spark.read.parquet(layout.summary).select(
         "total_rows", F.to_json("top_pages").alias("top_pages"),
         F.to_json("category_breakdown").alias("category_breakdown")).first()

@@ -275,7 +275,7 @@ def q_top_articles_ref(spark, sf):
 @register("article_export")
 def q_article_export(spark, sf):
     out = A.export_matching(X.articles(spark, sf), scratch_path(spark, "articles"), terms=VOCAB_TERMS)
-    return spark.read.parquet(out)
+    return SD.read_articles(spark, out)
 
 
 # --- file-based: dump scans (S1-S5, P11-P14), batch ingest (L1-L4), stream (L7) -------------

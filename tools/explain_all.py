@@ -16,11 +16,11 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from pageflow.registry import QUERIES
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/explain_all.py` at `{sf}` (local[8]); the tree part of `explain('formatted')`, "
            "plus scan pushdown lines. AQE re-plans at run time (final plans may coalesce or convert joins).", ""]
-    for k, fn in E.queries().items():
+    for k, fn in QUERIES.items():
         df = fn(spark, sf)
         txt = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         lines = txt.splitlines()
