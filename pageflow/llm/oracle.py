@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from pageflow.llm import quality_rules as Q
+
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["op8_url_filter"] = r"""
@@ -73,3 +75,56 @@ SELECT doc_id, size,
        NULL::INTEGER AS grown_shard
 FROM placed, crc
 """
+
+
+def _quality_sql() -> str:
+    """Counts, references and Jensen-Shannon distances; a bin without a document's share adds the reference's whole share."""
+    common = list(dict.fromkeys(" ".join(Q.LANGUAGES.values()).split()))
+    classes = {"lower": "[^a-z]", "upper": "[^A-Z]", "digit": "[^0-9]", "stop": r"[^.,;:!?''\"()-]", "symbol": "[^#*$%&|<>]",
+               "space": r"[^\x20\x09-\x0D]", "wide": r"[\x00-\x7F]"}
+    counts = ", ".join(f"length(regexp_replace(t, '{drop}', '', 'g')) AS {name}" for name, drop in classes.items())
+    other = " - ".join(["length(t)", *classes])
+    bins = "\n  UNION ALL ".join(f"SELECT rn, 'char' AS kind, '{name}' AS bin, {name}::BIGINT AS n FROM chars" for name in [*classes, "other"])
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rn, doc_id, lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (SELECT rn, i, count(*) OVER (PARTITION BY rn, w[i:i+4]) AS found
+            FROM (SELECT rn, w, unnest(range(1, len(w) - 3)) AS i FROM docs)),
+repeats AS (SELECT rn, count(DISTINCT j) AS n FROM (SELECT rn, unnest(range(i, i + 5)) AS j FROM windows WHERE found > 1) GROUP BY rn),
+base AS (
+  SELECT docs.rn, doc_id, lang, t, w, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         coalesce(n, 0) AS n_repeat_words
+  FROM docs LEFT JOIN repeats USING (rn)),
+judged AS (
+  SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         n_words < {Q.MIN_BASE_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM base),
+chars AS (SELECT *, ({other}) AS other FROM (SELECT rn, t, {counts} FROM judged)),
+bins AS (
+  {bins}
+  UNION ALL
+  SELECT rn, 'word', CASE WHEN x IN {tuple(common)} THEN x ELSE '' END, count(*) FROM (
+    SELECT rn, trim(translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?''"()-') AS x FROM judged)
+  GROUP BY ALL),
+shares AS (SELECT rn, kind, bin, n / sum(n) OVER (PARTITION BY rn, kind) AS p FROM bins WHERE n > 0),
+refs AS (
+  SELECT lang, kind, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q
+  FROM bins JOIN judged USING (rn) WHERE NOT base_failed AND lang IN {tuple(Q.LANGUAGES)} GROUP BY lang, kind, bin),
+langs AS (SELECT DISTINCT lang, kind FROM refs),
+far AS (
+  SELECT rn, kind, sqrt(greatest(0, (sum(p * log2(2 * p / (p + coalesce(q, 0))))
+             + sum(CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) + 1 - sum(coalesce(q, 0))) / 2)) AS d
+  FROM shares JOIN langs USING (kind) LEFT JOIN refs USING (lang, kind, bin) GROUP BY rn, kind, lang),
+nearest AS (SELECT rn, min(d) FILTER (WHERE kind = 'char') AS c, min(d) FILTER (WHERE kind = 'word') AS v FROM far GROUP BY rn)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (word_chars >= {Q.MIN_CHARS} AND coalesce(c, 0) > {Q.MAX_CHAR_DISTANCE})
+       AND NOT (n_words >= {Q.MIN_WORDS} AND coalesce(v, 0) > {Q.MAX_WORD_DISTANCE}) AS kept
+FROM judged LEFT JOIN nearest USING (rn)
+"""
+
+
+ORACLE_SQL["op7_quality_rules"] = _quality_sql()
