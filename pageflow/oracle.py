@@ -17,7 +17,9 @@ lines AS (
          (CASE e.event_id % 6 WHEN 0 THEN 'en' WHEN 1 THEN 'en.m' WHEN 2 THEN 'de'
                               WHEN 3 THEN 'en' WHEN 4 THEN 'fr.m' ELSE 'en.b' END)
          || ' ' || (CASE WHEN e.event_id % 41 = 0 THEN '-'
-                    ELSE replace(p.p_name, ' ', CASE WHEN e.event_id % 3 = 0 THEN '%5F' ELSE '_' END) END)
+                    ELSE replace(p.p_name, ' ', CASE WHEN e.event_id % 3 = 0 THEN '%5F' ELSE '_' END)
+                      || CASE WHEN e.event_id % 29 = 0 THEN '%20x+y%C3%A9' WHEN e.event_id % 31 = 0 THEN '100%_"q"%zz%20y'
+                              ELSE '' END END)
          || (CASE WHEN e.event_id % 53 = 0 THEN ''
                   ELSE ' ' || CAST(e.user_id + 1 AS VARCHAR) || ' 0' END) AS line
   FROM events e JOIN part p ON p.p_partkey = e.event_id % (SELECT max(p_partkey) + 1 FROM part)
@@ -101,7 +103,9 @@ dlines AS (
          (CASE e.event_id % 6 WHEN 0 THEN 'en' WHEN 1 THEN 'en.m' WHEN 2 THEN 'de'
                               WHEN 3 THEN 'en' WHEN 4 THEN 'fr.m' ELSE 'en.b' END)
          || ' ' || (CASE WHEN e.event_id % 41 = 0 THEN '-'
-                    ELSE replace(p.p_name, ' ', CASE WHEN e.event_id % 3 = 0 THEN '%5F' ELSE '_' END) END)
+                    ELSE replace(p.p_name, ' ', CASE WHEN e.event_id % 3 = 0 THEN '%5F' ELSE '_' END)
+                      || CASE WHEN e.event_id % 29 = 0 THEN '%20x+y%C3%A9' WHEN e.event_id % 31 = 0 THEN '100%_"q"%zz%20y'
+                              ELSE '' END END)
          || (CASE WHEN e.event_id % 53 = 0 THEN ''
                   ELSE ' ' || (CASE WHEN e.event_id % 97 = 0 THEN 'n/a'
                                     WHEN e.event_id % 89 = 0 THEN '-' || CAST(e.user_id + 1 AS VARCHAR)

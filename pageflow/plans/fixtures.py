@@ -22,6 +22,9 @@ PROJECT_BY_MOD6 = ["en", "en.m", "de", "en", "fr.m", "en.b"]
 UNKNOWN_TITLE_EVERY = 41
 ESCAPED_SPACE_EVERY = 3
 SHORT_LINE_EVERY = 53
+# Endings of some titles: escapes and a plus; bare percent signs, quotes and an escape that is none.
+ESCAPES_EVERY, ESCAPES = 29, "%20x+y%C3%A9"
+MALFORMED_EVERY, MALFORMED = 31, '100%_"q"%zz%20y'
 KEYWORD_NOUNS_LIKE = ["%widget%", "%gear%", "%rod%"]
 DIRTY_NA_EVERY = 97
 DIRTY_NEG_EVERY = 89
@@ -72,8 +75,10 @@ def lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
     proj = F.element_at(F.array(*[F.lit(x) for x in PROJECT_BY_MOD6]),
                         (eid % len(PROJECT_BY_MOD6)).cast("int") + 1)
     title = (F.when(eid % UNKNOWN_TITLE_EVERY == 0, F.lit("-"))
-             .otherwise(F.replace(F.col("p_name"), F.lit(" "),
-                                  F.when(eid % ESCAPED_SPACE_EVERY == 0, F.lit("%5F")).otherwise(F.lit("_")))))
+             .otherwise(F.concat(F.replace(F.col("p_name"), F.lit(" "),
+                                           F.when(eid % ESCAPED_SPACE_EVERY == 0, F.lit("%5F")).otherwise(F.lit("_"))),
+                                 F.when(eid % ESCAPES_EVERY == 0, F.lit(ESCAPES))
+                                 .when(eid % MALFORMED_EVERY == 0, F.lit(MALFORMED)).otherwise(F.lit("")))))
     count = (F.col("user_id") + 1).cast("string")
     if dirty:
         count = (F.when(eid % DIRTY_NA_EVERY == 0, F.lit("n/a"))
