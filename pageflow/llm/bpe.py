@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.llm.scan import list_column, map_texts
+from pageflow.llm.scan import list_column, map_texts, release
 
 CACHED_CHARS = 48
-CACHE_WORDS = 300_000
-CACHE_PAIRS = 300_000
+CACHE_WORDS = 100_000
+CACHE_PAIRS = 100_000
 
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # the tokenizer file's own split pattern
 _PLAIN = re.compile("[^\\x00-\\x1b\\x20-\\u024f]")  # beyond these: look at the code points one by one
@@ -73,12 +73,11 @@ class BpeEncoder:
     def __init__(self, spec: str):
         import ahocorasick
         import regex
-        from tokenizers import Tokenizer
 
         raw = json.loads(spec)
         model, suffix = raw["model"], raw["model"]["end_of_word_suffix"]
         vocab: dict[str, int] = model["vocab"]
-        self.library = Tokenizer.from_str(spec)
+        self.spec, self.library = spec, None
         self.find = regex.compile(_PIECES).findall
         chars = _byte_chars()
         self.inner = bytes(vocab[chars[b]] for b in range(256))  # the 256 plain symbols have ids below 256
@@ -179,6 +178,10 @@ class BpeEncoder:
 
     def _plain(self, text: str, parts: list[bytes]) -> None:
         if self._unusual(text):
+            if self.library is None:
+                from tokenizers import Tokenizer
+
+                self.library = Tokenizer.from_str(self.spec)
             split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             back = {c: b for b, c in _byte_chars().items()}
             for mapped, _ in split:
@@ -233,7 +236,7 @@ _made: dict[tuple[type, str], object] = {}
 
 
 def _coder(kind, spec):
-    """One coder of each kind per Python worker and broadcast file."""
+    """One coder of a kind per task; tasks drop it when they end, so that idle workers hold none."""
     key = (kind, spec.id)
     if key not in _made:
         _made.clear()
@@ -268,6 +271,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             values = np.concatenate(found) if found else np.zeros(0, np.int32)
             ids = list_column(values, np.cumsum([len(x) for x in found]), pa.int32())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], ["doc_id", "ids"])
+        _made.clear()
 
     return map_texts(docs, {"doc_id": F.col(f"`{id_col}`").cast("long"), "text": text_col},
                      "doc_id long, ids array<int>", run)
@@ -280,11 +284,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         codec = _coder(BpeDecoder, spec)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                b = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                b = batch.slice(at, 256)
                 lists = b.column("ids")
                 texts = [codec.decode(x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)) for x in lists]
                 decoded = pa.array(texts, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists, decoded], ["doc_id", "ids", "decoded"])
+        _made.clear()
+        release()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")

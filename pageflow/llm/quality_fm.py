@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType, StructField
 
 from pageflow.llm.scan import list_column, map_texts, with_columns
 
-SAMPLE = 6000
+SAMPLE = 5000
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 WORD_BUCKETS = 1 << 15
@@ -162,10 +162,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     wanted = docs.sparkSession.createDataFrame(known, "w_id long, label long")
     joined = (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
               .join(F.broadcast(wanted), F.col("doc_id") == F.col("w_id")))  # at most ``sample`` narrow rows
-    rows = (_extracted(joined, {"doc_id": "doc_id", "label": "label", "text": "text"})
-            .dropDuplicates(["doc_id"]).collect())
-    rows.sort(key=lambda r: r["doc_id"])
-    return fit([(np.array(r["index"], np.int64), np.array(r["value"])) for r in rows], np.array([r["label"] for r in rows], float))
+    found = _extracted(joined, {"doc_id": "doc_id", "label": "label", "text": "text"}).dropDuplicates(["doc_id"]).toArrow()
+    order = np.argsort(found.column("doc_id").to_numpy())
+    index, value = (found.column(c).combine_chunks() for c in ("index", "value"))
+    rows = [(index[int(k)].values.to_numpy().astype(np.int64), value[int(k)].values.to_numpy()) for k in order]
+    return fit(rows, found.column("label").to_numpy()[order].astype(float))
 
 
 def score(docs: DataFrame, model: FactorisationMachine, keep: list[str], text_col: str = "text",

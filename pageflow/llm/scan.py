@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Between the JVM and Python, so that a batch of long texts stays small.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -30,14 +34,29 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYT
             start = stop
 
 
+def release() -> None:
+    """Gives freed memory back at the end of a task; Spark keeps the worker process for other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def map_texts(df: DataFrame, columns: dict[str, Column | str], schema: str | StructType,
               fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], text: str = "text",
               size: int = SLICE_BYTES) -> DataFrame:
-    """``mapInArrow`` over only the named columns, with ``fn`` fed slices bounded by bytes of ``text``."""
+    """``mapInArrow`` over only the named columns, with ``fn`` fed slices bounded by bytes of ``text``.
+
+    Sets the session's Arrow batch size, by rows and bytes.
+    """
+    for k, v in BATCH_CONF.items():
+        df.sparkSession.conf.set(k, v)
     narrow = df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
 
     def run(batches):
         yield from fn(slices(batches, text, size))
+        release()
 
     return narrow.mapInArrow(run, schema)
 
