@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,9 @@ from pageflow.llm.shingles import shingle_sets
 SKETCH_BITS = 21
 BLOCK_BITS = 14
 HOT = 2000                # tokens counted this often over the usual noise are not gathered by range
-RANGE_TOKENS = 1_000_000
-BUFFER_TOKENS = 2_000_000
+RANGE_TOKENS = 500_000
+BUFFER_TOKENS = 500_000
+SLICE = 1 << 20
 BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 18
 GROUP_SHARE, GROUP_SETS = 0.4, 16
 BITMAP_BITS = 27
@@ -75,7 +77,7 @@ def _digests(s: np.ndarray) -> tuple[int, int]:
 class _Seen:
     """Classes a task has had; forgets when full, which only costs repeated work."""
 
-    def __init__(self, size: int = 500_000):
+    def __init__(self, size: int = 100_000):
         self.size, self.ids = size, set()
 
     def first(self, key: int) -> bool:
@@ -127,7 +129,7 @@ def census(docs: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([k], pa.int32()),
                                               pa.array([zlib.compress(parts[k].tobytes(), 1)], pa.binary())], names)
 
-    return map_texts(docs, {"doc_id": F.col(f"`{id_col}`").cast("long"), "text": text_col}, schema, run)
+    return map_texts(docs, {"doc_id": F.col(f"`{id_col}`").cast("long"), "text": text_col}, schema, run, size=SLICE)
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -161,9 +163,12 @@ def _levels(sketch: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray, hot: int, ranges: int) -> DataFrame:
-    """(token, class, rest) for the prefix tokens that more than one class has; rest: tokens of the set after it."""
+    """(token, class, rest, lead) for the prefix tokens that more than one class has.
+
+    rest: tokens of the set after this one; lead: the smallest class that the token's range has met with it.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(levels)  # 2**SKETCH_BITS bytes
-    names = ["range", "tokens", "classes", "rests"]
+    names = ["range", "tokens", "rests", "classes", "runs"]
 
     def packed(waiting) -> Iterator[pa.RecordBatch]:
         if not waiting:
@@ -174,11 +179,14 @@ def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray,
         at = np.where(level >= hot, ranges + TaskContext.get().partitionId() % ranges, at)
         order = np.argsort(at, kind="stable")
         at, token, cls, rest = at[order], token[order], cls[order], rest[order]
-        cuts = np.flatnonzero(np.diff(at)) + 1
-        rows = [(int(r[0]), t.tobytes(), c.tobytes(), n.tobytes()) for r, t, c, n in
-                zip(*(np.split(x, cuts) for x in (at, token, cls, rest)))]
+        rows = []
+        for start, end in zip(cuts := [0, *(np.flatnonzero(np.diff(at)) + 1).tolist()], [*cuts[1:], len(at)]):
+            own = cls[start:end]  # a class's tokens of a range lie together
+            runs = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
+            rows.append((int(at[start]), token[start:end].tobytes(), rest[start:end].tobytes(),
+                         own[runs[:-1]].tobytes(), np.diff(runs).astype(np.int32).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(
-            zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names)
+            zip(*rows), (pa.int32(), *[pa.binary()] * 4))], names)
 
     def pack(batches):
         levels, seen, waiting, held = sent.value, _Seen(), [], 0
@@ -201,8 +209,9 @@ def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray,
         yield from packed(waiting)
 
     def shared(table: pa.Table) -> pa.Table:
-        token, cls, rest = (np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
-                            for c, kind in (("tokens", np.int64), ("classes", np.int64), ("rests", np.int32)))
+        token, rest, cls, runs = (np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+                                  for c, kind in zip(names[1:], (np.int64, np.int32, np.int64, np.int32)))
+        cls = np.repeat(cls, runs)
         order = np.lexsort((cls, token))
         token, cls, rest = token[order], cls[order], rest[order]
         same = np.concatenate([[False], token[1:] == token[:-1]])
@@ -211,22 +220,22 @@ def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray,
         if table.column("range")[0].as_py() < ranges:
             use = same | np.concatenate([same[1:], [False]])
             token, cls, rest = token[use], cls[use], rest[use]
-        return pa.table({"token": token, "class": cls, "rest": rest})
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
+        lead = np.repeat(cls[first], np.diff(np.append(first, len(token))))
+        return pa.table({"token": token, "class": cls, "rest": rest, "lead": lead})
 
-    tokens = map_texts(docs, {"text": text_col}, "range int, tokens binary, classes binary, rests binary", pack)
-    return tokens.groupBy("range").applyInArrow(shared, "token long, class long, rest int")
+    tokens = map_texts(docs, {"text": text_col}, ", ".join(["range int", *[f"{c} binary" for c in names[1:]]]), pack, size=SLICE)
+    return tokens.groupBy("range").applyInArrow(shared, "token long, class long, rest int, lead long")
 
 
 def blocks(tokens: DataFrame, classes: DataFrame) -> DataFrame:
     """(class, block, n, single) of every class in ``tokens``: groups of similar classes, cut into blocks.
 
-    A class joins the group of the class with which it shares the most prefix
-    tokens among those that are the smallest of a token, if that is at least
-    ``GROUP_SHARE`` of its prefix. Groups of fewer than ``GROUP_SETS`` fall
+    A class joins the group of the lead with which it shares the most prefix
+    tokens, if they are at least ``GROUP_SHARE`` of its prefix. Groups of fewer than ``GROUP_SETS`` fall
     apart again: their few pairs are bounded more sharply one by one.
     """
-    smallest = tokens.groupBy("token").agg(F.min("class").alias("lead"))
-    votes = (tokens.join(smallest, "token").where(F.col("class") != F.col("lead"))
+    votes = (tokens.where(F.col("class") != F.col("lead"))
              .groupBy("class", "lead").agg(F.count("*").alias("votes")))
     best = votes.groupBy("class").agg(F.max(F.struct("votes", "lead")).alias("b")).select("class", "b.votes", "b.lead")
     active = tokens.select("class").distinct().join(classes.select("class", "n"), "class").join(best, "class", "left")
@@ -240,8 +249,11 @@ def blocks(tokens: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def candidates(tokens: DataFrame, placed: DataFrame) -> DataFrame:
-    """(a, b) blocks between or (a = b) within which a link is possible, each pair once."""
-    by_block = (tokens.join(placed, "class").groupBy("token", "block")
+    """(a, b) blocks between or (a = b) within which a link is possible, each pair once, and which are single classes.
+
+    If only one is single, it is ``a``.
+    """
+    by_block = (tokens.drop("lead").join(placed, "class").groupBy("token", "block")
                 .agg(F.max("rest").alias("rest"), F.max("n").alias("n"), F.min("single").alias("single")))
     left = by_block.select("token", *[F.col(c).alias(f"a_{c}") for c in ("block", "rest", "n", "single")])
     right = by_block.select("token", *[F.col(c).alias(f"b_{c}") for c in ("block", "rest", "n", "single")])
@@ -249,12 +261,17 @@ def candidates(tokens: DataFrame, placed: DataFrame) -> DataFrame:
              .where("NOT (a_single AND b_single) OR 4 * least(a_n, b_n) >= 3 * greatest(a_n, b_n)")
              .groupBy(F.col("a_block").alias("a"), F.col("b_block").alias("b"))
              .agg(F.count("*").alias("s"), F.min(F.least("a_rest", "b_rest")).alias("rest"), F.min("a_n").alias("a_n"),
-                  F.min("b_n").alias("b_n"), F.min("a_single").alias("a_single"),
+                  F.min("b_n").alias("b_n"), F.min("a_single").alias("a_single"), F.min("b_single").alias("b_single"),
                   F.min(F.col("a_single") & F.col("b_single")).alias("single")))
     # the sets of ``a`` travel to those of ``b``: a single one, if there is one
     a, b = (F.when(F.col("a_single"), F.col(x)).otherwise(F.col(y)) for x, y in (("a", "b"), ("b", "a")))
-    possible = pairs.where("NOT single OR 7 * (s + rest) >= 3 * (a_n + b_n)").select(a.alias("a"), b.alias("b"))
-    within = placed.where("NOT single").select(F.col("block").alias("a"), F.col("block").alias("b")).distinct()
+    # the shared tokens are ``s`` and, at most, those behind the last shared one, or behind the prefix that ends first
+    behind = F.least("rest", F.expr("(3 * greatest(a_n, b_n) + 3) div 4 - 1"))
+    possible = pairs.where(~F.col("single") | (7 * (F.col("s") + behind) >= 3 * (F.col("a_n") + F.col("b_n"))))
+    possible = possible.select(a.alias("a"), b.alias("b"), F.expr("a_single OR b_single").alias("a_single"), F.col("single").alias("b_single"))
+    no = F.lit(False)
+    within = placed.where("NOT single").select(F.col("block").alias("a"), F.col("block").alias("b"), no.alias("a_single"),
+                                               no.alias("b_single")).distinct()
     return possible.union(within)
 
 
@@ -289,7 +306,7 @@ def sets_of(docs: DataFrame, text_col: str, seed: int, classes: DataFrame) -> Da
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["class", "tokens"])
 
-    return map_texts(docs, {"text": text_col}, "class long, tokens binary", run)
+    return map_texts(docs, {"text": text_col}, "class long, tokens binary", run, size=SLICE)
 
 
 def _forest(linked: np.ndarray, left: list[int], right: list[int]) -> list[tuple[int, int]]:
@@ -354,14 +371,29 @@ def block_links(a: Block, b: Block) -> list[tuple[int, int]]:
     return _forest(linked, [a.classes[k] for k in opened[0]], [b.classes[k] for k in opened[1]])
 
 
-def links(pairs: DataFrame, sets: DataFrame, placed: DataFrame) -> DataFrame:
-    """(u, v): edges that connect exactly the classes which links connect."""
-    members = (sets.join(placed, "class").dropDuplicates(["class"])
-               .groupBy("block").agg(F.collect_list(F.struct("class", "tokens")).alias("members")))
-    packed = stored(members, "jaccard-blocks")
-    rows = (pairs.join(packed.select(F.col("block").alias("a"), F.col("members").alias("left")), "a")
-            .join(packed.select(F.col("block").alias("b"), F.col("members").alias("right")), "b")
-            .select("a", "b", "left", "right"))
+def links(docs: DataFrame, text_col: str, seed: int, pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """(u, v): edges that connect exactly the classes which links connect.
+
+    Single classes are their own blocks: their sets are shuffled once, by class,
+    and travel once more to the other side of a pair. Only the sets of large
+    groups are gathered into blocks.
+    """
+    used = placed.join(pairs.select(F.explode(F.array("a", "b")).alias("block")).distinct(), "block", "left_semi")
+    one = (sets_of(docs, text_col, seed, used.where("single")).groupBy("class").agg(F.first("tokens").alias("tokens"))
+           .select(F.col("class").alias("block"), F.array(F.struct("class", "tokens")).alias("members")))
+    groups = used.where("NOT single").select("class", "block")
+    many = (sets_of(docs, text_col, seed, groups).join(groups, "class").dropDuplicates(["class"])
+            .groupBy("block").agg(F.collect_list(F.struct("class", "tokens")).alias("members")))
+
+    def side(rows: DataFrame, at: str, sets: DataFrame, name: str) -> DataFrame:
+        return rows.join(sets.select(F.col("block").alias(at), F.col("members").alias(name)), at)
+
+    singles = side(pairs.where("a_single"), "a", one, "left")
+    kinds = [side(singles.where("b_single"), "b", one, "right")]
+    if not groups.isEmpty():
+        kinds += [side(singles.where("NOT b_single"), "b", many, "right"),
+                  side(side(pairs.where("NOT a_single"), "a", many, "left"), "b", many, "right")]
+    rows = reduce(DataFrame.unionByName, [k.select("a", "b", "left", "right") for k in kinds])
 
     def run(batches):
         for b in batches:
@@ -397,9 +429,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tokens = stored(shared_tokens(docs, text_col, seed, levels, hot, ranges), "jaccard-tokens")
     placed = stored(blocks(tokens, classes), "jaccard-placed")
     pairs = stored(candidates(tokens, placed), "jaccard-pairs")
-    wanted = placed.join(pairs.select(F.explode(F.array("a", "b")).alias("block")).distinct(), "block", "left_semi")
-    found = links(pairs, sets_of(docs, text_col, seed, wanted), wanted)
-    tied = components(found)
+    tied = components(links(docs, text_col, seed, pairs, placed))
     named = (classes.join(tied, classes["class"] == tied["node"], "left")
              .select("class", "least", F.coalesce("component", "class").alias("component")))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
