@@ -338,6 +338,18 @@ class Block:
         self.sets = [np.frombuffer(m["tokens"], np.uint64) for m in members]
         self.sizes = np.array([len(s) for s in self.sets])
         self.union = np.unique(np.concatenate(self.sets)) if len(self.sets) > 1 else self.sets[0]
+        self._parts: np.ndarray | None = None
+
+    def parts(self) -> np.ndarray:
+        """For each set, the number of the part of the block that links inside it connect (found once)."""
+        if self._parts is None:
+            place = {c: k for k, c in enumerate(self.classes)}
+            parts = np.arange(len(self.sets))
+            if len(self.sets) > 1:
+                for u, v in block_links(self, self):
+                    parts[parts == parts[place[v]]] = parts[place[u]]
+            self._parts = parts
+        return self._parts
 
     def bounds(self, other: Block) -> np.ndarray:
         """For each set, how many of its tokens the other block's union has."""
@@ -368,7 +380,13 @@ def block_links(a: Block, b: Block) -> list[tuple[int, int]]:
         overlap += sides[0] @ sides[1].T
     total = a.sizes[opened[0]][:, None] + b.sizes[opened[1]][None, :]
     linked = 7 * overlap.astype(np.int64) >= 3 * total
-    return _forest(linked, [a.classes[k] for k in opened[0]], [b.classes[k] for k in opened[1]])
+    if a is b:
+        return _forest(linked, [a.classes[k] for k in opened[0]], [b.classes[k] for k in opened[1]])
+    # what is connected inside a block counts as one: an edge between two such parts is enough
+    at = np.argwhere(linked)
+    parts = [x.parts()[use[at[:, side]]] for side, (x, use) in enumerate(zip((a, b), opened))]
+    _, first = np.unique(parts[0] * (len(b.sets) + 1) + parts[1], return_index=True)
+    return [(a.classes[opened[0][i]], b.classes[opened[1][j]]) for i, j in at[first].tolist()]
 
 
 def links(docs: DataFrame, text_col: str, seed: int, pairs: DataFrame, placed: DataFrame) -> DataFrame:
@@ -396,11 +414,18 @@ def links(docs: DataFrame, text_col: str, seed: int, pairs: DataFrame, placed: D
     rows = reduce(DataFrame.unionByName, [k.select("a", "b", "left", "right") for k in kinds])
 
     def run(batches):
-        for b in batches:
-            for k in range(b.num_rows):
-                one = b.slice(k, 1)
-                left = Block(one.column("left")[0].as_py())
-                right = left if one.column("a")[0].as_py() == one.column("b")[0].as_py() else Block(one.column("right")[0].as_py())
+        last: dict[str, tuple[int, Block]] = {}  # rows come sorted by their right side, and often repeat it
+
+        def block(name: str, key: int, column) -> Block:
+            if name not in last or last[name][0] != key:
+                last[name] = key, Block(column.as_py())
+            return last[name][1]
+
+        for batch in batches:
+            keys = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())
+            for k, (a, b) in enumerate(keys):
+                right = block("right", b, batch.column("right")[k])
+                left = right if a == b else block("left", a, batch.column("left")[k])
                 found = [(u, v) for u, v in block_links(left, right) if u != v]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
