@@ -18,6 +18,9 @@ from pageflow.llm.queries import table, tokenizer_path
 from pageflow.llm.scan import free_name
 from pageflow.session import scratch_path
 
+#: Ids of documents to drop that are broadcast at most (some 32 bytes each).
+BROADCAST_IDS = 1_000_000
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -38,6 +41,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
         F.max(F.col("doc_id") == F.col("component_id")).alias("stands"), F.count("*").alias("n"))
     by_id = stored(by_id, "near-ids")
     gone = by_id.where(~F.col("stands")).select("doc_id")
+    if gone.count() <= BROADCAST_IDS:  # else the texts are shuffled to the ids
+        gone = F.broadcast(gone)
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if by_id.where((F.col("n") > 1) & F.col("stands")).isEmpty():
         return kept
