@@ -1,21 +1,26 @@
 """Benchmark decontamination (operator 5).
 
-Every ``SEED_WORDS``-word run of a test item is a possible seed. One pass over
-the corpus counts in how many documents each occurs; of an item's runs that
-occur at all the rarer half become its seeds, so an item that leaked
-everywhere keeps seeds too. A second pass joins passages to items: where enough distinct seeds
-of an item lie close together, the words around them are aligned with the item
-by Smith-Waterman, which scores exact, edited and paraphrased copies.
+Passages are aligned with items by Smith-Waterman over words, which scores
+exact, edited and paraphrased copies. Two bounds that no alignment can exceed
+say where to align, so every passage over the bars is found, whatever the
+corpus holds besides and however often the item leaked:
 
-Items are taken in blocks of about ``BLOCK_WORDS`` words, so what each pass
-carries is bounded however many items there are; all documents meet all items.
+* a word of the text adds at most ``MATCH`` to a score if the item has it and
+  costs at least ``-GAP`` if not, so a leak lies in a stretch whose running sum
+  reaches the bar;
+* without the few words of an item that are most common in the benchmark, that
+  sum is lower by at most ``MATCH - GAP`` for each, so an index of the other
+  words and a lower bar name the items to try.
+
+Items are taken in blocks of about ``BLOCK_WORDS`` words; all documents meet
+all items.
 
 A passage is a leak if its alignment scores at least ``MIN_SHARE`` of the
 item's full score with ``MIN_MATCHES`` equal words (all words of a shorter
 item), or if it scores as much as ``LONG_COPY`` equal words in a row.
 
 Edge cases: null and empty texts and items have no leaks; an item of fewer
-words than a seed is its own seed and must be found whole; equal items are
+than ``WHOLE_WORDS`` words must be found whole; equal items are
 reported each; a document that repeats an item has one leak a passage; words
 are compared with A-Z in lower case, split at ASCII white space.
 """
@@ -31,14 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from pageflow.llm.scan import map_texts, with_columns
+from pageflow.llm.scan import with_columns
 
-SEED_WORDS = 3
-SEED_SHARE = 0.5
-MIN_SEEDS, MIN_HITS = 8, 2
+WHOLE_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE, MIN_MATCHES, LONG_COPY = 0.4, 8, 13
 BLOCK_WORDS = 500_000
+#: The index may leave out one in so many of the words that a leak must hold.
+LEFT_OUT = 2
 
 LEAK = StructType([StructField("item_id", LongType()), StructField("start_word", LongType()),
                    StructField("end_word", LongType()), StructField("matches", LongType()),
@@ -49,8 +54,14 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers starts[k] to starts[k] + counts[k] - 1 of every k, one after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Items:
-    """One block of test items as word numbers, with the corpus counts of their runs once known."""
+    """One block of test items as word numbers, with an index from words to items."""
 
     def __init__(self, rows: list[tuple[int, str | None]]):
         self.number: dict[bytes, int] = {}
@@ -58,73 +69,73 @@ class Items:
         split = [(i, w) for i, w in split if w]
         self.ids = [i for i, _ in split]
         self.words = [np.array([self.number.setdefault(x, len(self.number)) for x in w], np.int64) for _, w in split]
-        self.base = max(2, len(self.number))
-        runs: dict[tuple[int, int], list[int]] = {}
-        for k, w in enumerate(self.words):
-            n = min(SEED_WORDS, len(w))
-            for code in np.unique(self.codes(w, n)).tolist():
-                runs.setdefault((n, code), []).append(k)
-        self.run_keys = sorted(runs)
-        self.run_items = [runs[key] for key in self.run_keys]
-        self.tables = {n: (np.array([c for m, c in self.run_keys if m == n], np.int64),
-                           np.array([at for at, (m, _) in enumerate(self.run_keys) if m == n], np.int64))
-                       for n in {m for m, _ in self.run_keys}}
-
-    def codes(self, words: np.ndarray, n: int) -> np.ndarray:
-        """Numbers of the n-word runs; -1 where a word is no item's word. ``base`` ** SEED_WORDS is below 2**63."""
-        count = len(words) - n + 1
-        if count <= 0:
-            return np.zeros(0, np.int64)
-        code, known = np.zeros(count, np.int64), np.ones(count, bool)
-        for k in range(n):
-            part = words[k:k + count]
-            known &= part >= 0
-            code = code * self.base + part
-        return np.where(known, code, -1)
+        lengths = [len(w) for w in self.words]
+        self.bars = np.array([bar(n) for n in lengths])
+        self.least = np.array([least(n) for n in lengths], np.int64)
+        own = [np.unique(w, return_counts=True) for w in self.words]
+        self.own_words = np.concatenate([w for w, _ in own]) if own else np.zeros(0, np.int64)
+        self.own_counts = np.array([len(w) for w, _ in own], np.int64)
+        self.own_starts = np.cumsum(self.own_counts) - self.own_counts
+        common = np.bincount(self.own_words, minlength=len(self.number))
+        self.index_bars = self.bars.copy()
+        pairs = []
+        for k, (words, counts) in enumerate(own):
+            order = np.lexsort((words, -common[words]))
+            left_out = np.searchsorted(np.cumsum(counts[order]), self.least[k] // LEFT_OUT, side="right")
+            self.index_bars[k] -= (MATCH - GAP) * counts[order[:left_out]].sum()
+            pairs += [(w, k) for w in words[order[left_out:]].tolist()]
+        pairs = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.index = pairs[:, 1]
+        self.index_counts = np.bincount(pairs[:, 0], minlength=len(self.number))
+        self.index_starts = np.cumsum(self.index_counts) - self.index_counts
 
     def numbered(self, text: str | None) -> np.ndarray:
         w = words_of(text)
         return np.fromiter(map(self.number.get, w, repeat(-1)), np.int64, len(w))
 
-    def found(self, words: np.ndarray, tables: dict) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, run numbers) of the runs of ``tables`` in a text."""
-        places, runs = [], []
-        for n, (codes, numbers) in tables.items():
-            own = self.codes(words, n)
-            at = np.flatnonzero(own >= 0)
-            spot = np.minimum(np.searchsorted(codes, own[at]), len(codes) - 1)
-            hit = codes[spot] == own[at]
-            places.append(at[hit])
-            runs.append(numbers[spot[hit]])
-        return np.concatenate(places), np.concatenate(runs)
-
-    def choose(self, counts: dict[int, int]) -> tuple[dict, dict[int, list[int]], list[int]]:
-        """(seed tables, items by seed, hits that each item needs), given the documents of each run."""
-        own: list[list[int]] = [[] for _ in self.words]
-        for run, items in enumerate(self.run_items):
-            for k in items:
-                own[k].append(run)
-        seeds: dict[int, list[int]] = {}
-        needed = []
-        for k, runs in enumerate(own):
-            runs = sorted((r for r in runs if counts.get(r)), key=lambda r: (counts[r], r))  # others occur nowhere
-            chosen = runs[:max(MIN_SEEDS, math.ceil(SEED_SHARE * len(runs)))]
-            needed.append(min(MIN_HITS, len(chosen)))
-            for r in chosen:
-                seeds.setdefault(r, []).append(k)
-        tables = {}
-        for n, (codes, numbers) in self.tables.items():
-            use = np.isin(numbers, list(seeds))
-            if use.any():
-                tables[n] = codes[use], numbers[use]
-        return tables, seeds, needed
+    def stretches(self, words: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, start, end) of every part of a text that may hold leaks of an item, ordered."""
+        at = np.flatnonzero(words >= 0)
+        known = words[at]
+        counts = self.index_counts[known]
+        met = np.sort(self.index[expand(self.index_starts[known], counts)] * len(words) + np.repeat(at, counts))
+        if not len(met):
+            return []
+        item, place = np.divmod(met, len(words))
+        first, _, peak = running_sums(item, place)
+        near = np.unique(item[first[peak >= self.index_bars[item[first]]]])
+        if not len(near):
+            return []
+        order = np.argsort(known, kind="stable")
+        wanted = self.own_words[expand(self.own_starts[near], self.own_counts[near])]
+        low = np.searchsorted(known[order], wanted)
+        found = np.searchsorted(known[order], wanted, side="right") - low
+        rank = np.repeat(np.repeat(np.arange(len(near)), self.own_counts[near]), found)
+        rank, place = np.divmod(np.sort(rank * len(words) + at[order[expand(low, found)]]), len(words))
+        first, last, peak = running_sums(rank, place)
+        item = near[rank[first]]
+        good = (peak >= self.bars[item]) & (last - first + 1 >= self.least[item])
+        return list(zip(item[good].tolist(), place[first[good]].tolist(), (place[last[good]] + 1).tolist()))
+
+
+def running_sums(item: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches where the sum of ``MATCH`` a listed word and ``GAP`` for any other stays above 0: (first, last, peak).
+
+    ``place`` rises within each ``item``, and items rise.
+    """
+    apart = (MATCH - GAP) * (len(item) + 1) - GAP * (int(place.max()) + 1)
+    rise = (MATCH - GAP) * np.arange(len(item)) + GAP * place - item * apart
+    lowest = np.minimum.accumulate(rise)
+    first = np.flatnonzero(np.concatenate([[True], rise[1:] <= lowest[:-1]]))
+    last = np.concatenate([first[1:], [len(item)]]) - 1
+    return first, last, np.maximum.reduceat(rise - lowest, first) + MATCH
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
     """Smith-Waterman over words: (score, equal words, start, end) of the best local alignment in ``passage``."""
     m, w = len(item), len(passage)
-    table = np.zeros((m + 1, w + 1), np.int64)
-    slope = -GAP * np.arange(w + 1)
+    table = np.zeros((m + 1, w + 1), np.int32)
+    slope = -GAP * np.arange(w + 1, dtype=np.int32)
     for i in range(1, m + 1):
         row = np.maximum(table[i - 1] + GAP, 0)
         row[1:] = np.maximum(row[1:], table[i - 1, :-1] + np.where(passage == item[i - 1], MATCH, MISMATCH))
@@ -143,49 +154,57 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
     return best, equal, int(j), end
 
 
+def bar(length: int) -> float:
+    """The least score of a leak."""
+    return MATCH * length if length < WHOLE_WORDS else min(MIN_SHARE * MATCH * length, LONG_COPY * MATCH)
+
+
+def least(length: int) -> int:
+    """The least number of equal words of a leak."""
+    return max(math.ceil(bar(length) / MATCH), min(MIN_MATCHES, length, LONG_COPY))
+
+
 def is_leak(score: int, equal: int, length: int) -> bool:
     return ((score >= MIN_SHARE * MATCH * length and equal >= min(MIN_MATCHES, length))
             or score >= LONG_COPY * MATCH)
 
 
-def leaks_of(items: Items, chosen: tuple, text: str | None) -> list[dict]:
-    """All leaks of the block's items in a text, ordered by item and place."""
-    tables, by_seed, needed = chosen
-    words = items.numbered(text)
-    if not tables or not len(words):
-        return []
-    places, runs = items.found(words, tables)
-    by_item: dict[int, list[tuple[int, int]]] = {}
-    for p, r in sorted(zip(places.tolist(), runs.tolist())):
-        for k in by_seed[r]:
-            by_item.setdefault(k, []).append((p, r))
-    out = []
-    for k in sorted(by_item):
-        item, hits = items.words[k], by_item[k]
-        near = 2 * len(item)
-        first = 0
-        for last in range(1, len(hits) + 1):
-            if last < len(hits) and hits[last][0] - hits[last - 1][0] <= near:
+def possible(item: np.ndarray, passage: np.ndarray) -> int:
+    """A score that no alignment exceeds: the best sum over a part of the item, whose words count if ``passage`` has them."""
+    sums = np.concatenate([[0], np.cumsum(np.where(np.isin(item, passage), MATCH, max(MISMATCH, GAP)))])
+    return int((sums - np.minimum.accumulate(sums)).max())
+
+
+def copies(item: np.ndarray, passage: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(start, end, equal words, score) of all leaks in ``passage`` that do not overlap, the best first taken, in order."""
+    n, size, longest = len(passage), max(8 * len(item), 4096), 3 * len(item)
+    out, low = [], 0
+    while low < n:  # one part of bounded size after the other; what may go on after its end is left to the next
+        high = min(n, low + size)
+        found, open_parts = [], [(low, high)]
+        while open_parts:
+            a, b = open_parts.pop()
+            if b - a < least(len(item)) or possible(item, passage[a:b]) < bar(len(item)):
                 continue
-            cluster, first = hits[first:last], last
-            if len({r for _, r in cluster}) < needed[k]:
+            score, equal, start, end = align(item, passage[a:b])
+            if score < bar(len(item)):
                 continue
-            start = max(0, cluster[0][0] - len(item))
-            passage = words[start:cluster[-1][0] + len(item) + SEED_WORDS]
-            for low, high in _stretches(len(passage), len(item)):
-                score, equal, a, b = align(item, passage[low:high])
-                if is_leak(score, equal, len(item)):
-                    out.append({"item_id": items.ids[k], "start_word": start + low + a, "end_word": start + low + b,
-                                "matches": equal, "score": score / (MATCH * len(item))})
+            if is_leak(score, equal, len(item)) and (high == n or a + start < high - longest):
+                found.append((a + start, a + end, equal, score))
+        out += sorted(found)
+        low = n if high == n else max([high - longest, *(x[1] for x in found)])
     return out
 
 
-def _stretches(passage: int, item: int) -> list[tuple[int, int]]:
-    """Overlapping stretches of a long passage, so that one alignment stays small; any copy lies whole in one."""
-    size = max(64 * item, 4096)
-    if passage <= size:
-        return [(0, passage)]
-    return [(low, min(passage, low + size)) for low in range(0, passage - 2 * item, size - 2 * item)]
+def leaks_of(items: Items, text: str | None) -> list[dict]:
+    """All leaks of the block's items in a text, ordered by item and place."""
+    words = items.numbered(text)
+    out = []
+    for k, low, high in items.stretches(words):
+        item = items.words[k]
+        out += [{"item_id": items.ids[k], "start_word": low + a, "end_word": low + b, "matches": equal,
+                 "score": score / (MATCH * len(item))} for a, b, equal, score in copies(item, words[low:high])]
+    return out
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
@@ -195,22 +214,6 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
-def _counts(docs: DataFrame, text_col: str, sent) -> dict[int, int]:
-    """Documents that hold each run of the block (at most one row for each run comes back)."""
-
-    def run(batches):
-        items: Items = sent.value
-        total = np.zeros(len(items.run_keys), np.int64)
-        for b in batches:
-            for text in b.column("text").to_pylist():
-                total[np.unique(items.found(items.numbered(text), items.tables)[1])] += 1
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["run", "n"])
-
-    counted = map_texts(docs, {"text": text_col}, "run long, n long", run)
-    return {r["run"]: r["n"] for r in counted.groupBy("run").agg(F.sum("n").alias("n")).collect()}
-
-
 def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", item_id_col: str = "item_id",
          item_text_col: str = "text", name: str = "leaks") -> DataFrame:
     """``keep`` columns of every document and ``name``, an array of (item_id, start_word, end_word, matches, score)."""
@@ -218,12 +221,11 @@ def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str =
     sent = []
     for block in _blocks(benchmark, item_id_col, item_text_col):
         items = Items([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()])
-        if items.run_keys:
-            shared = sc.broadcast(items)
-            sent.append((shared, sc.broadcast(items.choose(_counts(docs, text_col, shared)))))
+        if items.ids:
+            sent.append(sc.broadcast(items))
 
     def leaks(texts):
-        found = [[x for items, chosen in sent for x in leaks_of(items.value, chosen.value, t)] for t in texts]
+        found = [[x for items in sent for x in leaks_of(items.value, t)] for t in texts]
         return [pa.array(found, pa.list_(pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()),
                                                     ("end_word", pa.int64()), ("matches", pa.int64()),
                                                     ("score", pa.float64())])))]

@@ -231,6 +231,36 @@ def test_edited_copies_are_leaks(spark):
     assert len(found & {(i, i) for i in range(40)}) >= 38 and all(d < 1000 for d, _ in found)
 
 
+def test_hot_half_of_an_item_is_a_leak():
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(39)]
+    other = lambda n: ["x%d" % rng.randrange(10**6) for _ in range(n)]
+    items = decontaminate.Items([(1, " ".join(words)), (2, " ".join(other(30)))])
+    docs = [words] + [[*other(50), *words[-20:], *other(50)] for _ in range(50)]
+    found = [decontaminate.leaks_of(items, " ".join(d)) for d in docs]
+    assert [(x["item_id"], x["matches"]) for f in found for x in f] == [(1, 39)] + [(1, 20)] * 50
+    third = [w if i % 3 else "new" for i, w in enumerate(words)]  # no three words of the item in a row
+    apart = [x for w in words for x in (w, "new")]
+    assert all([x["item_id"] for x in decontaminate.leaks_of(items, " ".join(other(40) + d + other(40)))] == [1] for d in (third, apart))
+
+
+def test_bounds_lose_no_leak():
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        rows = [(k, " ".join(map(str, (30 * rng.random(rng.integers(1, 45)) ** 2).astype(int)))) for k in range(6)]
+        items = decontaminate.Items(rows)
+        words = (40 * rng.random(rng.integers(1, 150)) ** 2).astype(int)
+        for k in rng.integers(0, 6, 2):
+            copied = [w if rng.random() > 0.25 else str(rng.integers(0, 60)) for w in rows[k][1].split() if rng.random() > 0.1]
+            at = rng.integers(0, len(words) + 1)
+            words = np.concatenate([words[:at], np.array(copied, int), words[at:]])
+        text = " ".join(map(str, words))
+        number = items.numbered(text)
+        want = {k for k, w in enumerate(items.words) if len(w) >= decontaminate.WHOLE_WORDS
+                and decontaminate.is_leak(*decontaminate.align(w, number)[:2], len(w))}
+        assert want <= {x["item_id"] for x in decontaminate.leaks_of(items, text)}
+
+
 # --- 6: secrets --------------------------------------------------------------------------
 
 def test_base_spans_equal_the_patterns(spark, texts):
