@@ -191,6 +191,7 @@ def copies(item: np.ndarray, passage: np.ndarray) -> list[tuple[int, int, int, i
                 continue
             if is_leak(score, equal, len(item)) and (high == n or a + start < high - longest):
                 found.append((a + start, a + end, equal, score))
+            open_parts += [(a, a + start), (a + end, b)]
         out += sorted(found)
         low = n if high == n else max([high - longest, *(x[1] for x in found)])
     return out

@@ -261,6 +261,17 @@ def test_bounds_lose_no_leak():
         assert want <= {x["item_id"] for x in decontaminate.leaks_of(items, text)}
 
 
+def test_every_copy_close_by_is_a_leak():
+    words = ["w%d" % i for i in range(30)]
+    items = decontaminate.Items([(1, " ".join(words)), (2, "alone")])
+    for times, gap in ((2, 20), (2, 0), (100, 0), (1000, 1)):
+        text = " ".join(["before", *[w for _ in range(times) for w in [*words, *["x"] * gap]], "alone alone"])
+        found = decontaminate.leaks_of(items, text)
+        assert [(x["item_id"], x["start_word"], x["end_word"]) for x in found] == [
+            *[(1, 1 + k * (30 + gap), 31 + k * (30 + gap)) for k in range(times)],
+            *[(2, 1 + times * (30 + gap) + k, 2 + times * (30 + gap) + k) for k in (0, 1)]]
+
+
 # --- 6: secrets --------------------------------------------------------------------------
 
 def test_base_spans_equal_the_patterns(spark, texts):
