@@ -13,7 +13,8 @@ BLOCK_TAGS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html iframe legend li main menu nav ol option optgroup p pre "
     "section select summary table tbody td textarea tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED_TAGS = frozenset("script style noscript template head title svg math object iframe audio video canvas".split())
+SKIPPED_TAGS = frozenset("script style noscript template head title iframe audio video canvas".split())
+_IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 _CLOSED_BY = {"p": BLOCK_TAGS - {"button"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
               "tr": {"tr", "tbody", "thead", "tfoot"}, "td": {"td", "th", "tr", "tbody"}, "th": {"td", "th", "tr", "tbody"}}
 _SECTIONS = frozenset("article main section header footer nav aside form figure blockquote".split())
@@ -72,7 +73,14 @@ class _Reader(HTMLParser):
             self.links -= x.tag == "a"
         del self.open[at:]
 
+    def _leave_head(self) -> None:
+        self._flush()
+        self._pop(next(k for k in range(len(self.open) - 1, 0, -1) if self.open[k].tag == "head"))
+
     def handle_starttag(self, tag, attrs):
+        if self.counts["head"] and tag not in _IN_HEAD and (
+                self.open[-1].tag == "head" or (tag == "body" and not self.counts["title"])):
+            self._leave_head()
         if tag in BLOCK_TAGS:
             self._flush()
             if any(self.counts[k] and tag in closers for k, closers in _CLOSED_BY.items()):
@@ -106,6 +114,8 @@ class _Reader(HTMLParser):
             self._pop(next(k for k in range(len(self.open) - 1, 0, -1) if self.open[k].tag == tag))
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and data.strip():
+            self._leave_head()
         if not self.skipping:
             self.parts.append(data)
             if self.links:

@@ -159,6 +159,21 @@ def test_crf_on_held_out_pages():
     assert html_crf.main_text(model, page) == "A <title>\n" + prose + "more text"
 
 
+def test_head_without_end_tag_and_formulas():
+    model = html_crf.train()
+    prose = "The fox ran over the hill. It was late, and it was dark. "
+    article = f"<article><h1>Foxes</h1><p>{prose}</p><p>{prose}</p></article><footer>&copy; me</footer>"
+    want = "\n".join(["Foxes", prose.strip(), prose.strip()])
+    for start in ("<html><head><title>t</title><body>", "<html><head><meta charset=utf-8><title>t</title><script>var t='<p>';</script>",
+                  "<head><title>t</title><noscript><body>", "<html><head><title>t</title></head><body>"):
+        assert html_crf.main_text(model, start + article) == want
+    assert [x.text for x in html_blocks.leaves("<head><title>t</title>plain text")] == ["plain text"]
+    formula = ("<p>So <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds, as <svg><style>x{}</style><text>the axis</text></svg> "
+               f"shows. <object data=x.pdf>See the paper.</object> {prose}</p>")
+    text = html_crf.main_text(model, f"<html><head><title>t</title><body><article><h1>Foxes</h1><p>{prose}</p>{formula}</article>")
+    assert text == f"Foxes\n{prose.strip()}\nSo E=m holds, as the axis shows. See the paper. {prose.strip()}"
+
+
 def test_viterbi_equals_all_paths():
     rng = np.random.default_rng(1)
     model = html_crf.Crf({}, np.zeros((0, 2)), rng.normal(size=(2, 2)))
