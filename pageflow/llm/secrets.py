@@ -6,7 +6,9 @@ it, its character counts change by one in and one out, and from them the
 Shannon entropy of the window is kept up to date. The run's character class
 (hex, letters and digits, or base64) sets the threshold; the span from the
 first to the last window that reaches it is reported as ``entropy``, unless an
-allow-list pattern accepts the run (UUIDs, dates, plain words, placeholders).
+allow-list pattern accepts the run (UUIDs, dates, plain words, names with
+numbers). Placeholder words are cut out of a run, and each piece left is a run
+of its own, so they hide no key beside them.
 Spans are in code points, end exclusive.
 
 Edge cases: null and empty texts have no spans; a run shorter than the window
@@ -37,14 +39,18 @@ WINDOW = 20
 THRESHOLDS = {"hex": 3.0, "alnum": 3.5, "base64": 3.7}
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % WINDOW)
 _CLASSES = (("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+")), ("alnum", re.compile(r"[A-Za-z0-9]+")))
+#: A group of small letters that can be a word: it has a vowel and no five consonants in a row.
+_WORD = r"(?=[a-z]*[aeiouy])(?![a-z]*[bcdfghjklmnpqrstvwxz]{5})"
 #: Runs that look random by their counts but are no secrets.
 ALLOWED = (
     re.compile(r"[A-Za-z]+(?:[-_/=+][A-Za-z]+)*[-_/=+]*"),                      # words, slugs, paths
     re.compile(r"[0-9+/_=-]+"),                                                 # numbers, dates, phone numbers
     re.compile(r"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"),            # UUIDs
-    re.compile(r"(?i:.*(?:example|placeholder|changeme|your[-_]?key|xxxx|0123456789|abcdefgh).*)"),
-    re.compile(r"(?:[a-z]+[0-9]{1,4}[-_/=+]?)+|(?:[A-Za-z]+[-_/][0-9]{1,4}[-_/]?)+"),  # names with numbers
+    re.compile(rf"(?:{_WORD}[a-z]{{6,}}[0-9]{{1,4}}){{1,4}}"),                       # names with numbers
+    re.compile(rf"(?:{_WORD}[a-z]{{4,}}[0-9]{{1,4}}[-_/=+])+(?:{_WORD}[a-z]{{4,}}[0-9]{{0,4}})?"),
+    re.compile(r"(?:[A-Za-z]+[-_/][0-9]{1,4}[-_/]?)+"),
 )
+_PLACEHOLDER = re.compile(r"(?i:example|placeholder|changeme|your[-_]?key|x{4,}|0123456789|abcdefgh)")
 
 
 def entropy_span(run: str, window: int = WINDOW) -> tuple[int, int] | None:
@@ -70,6 +76,13 @@ def entropy_span(run: str, window: int = WINDOW) -> tuple[int, int] | None:
     return (first, last) if first >= 0 else None
 
 
+def _pieces(run: str) -> list[tuple[int, str]]:
+    """(start, piece) of what is left of a run beside placeholder words, if a window fits in."""
+    cuts = [m.span() for m in _PLACEHOLDER.finditer(run)]
+    bounds = zip([0, *(end for _, end in cuts)], [*(start for start, _ in cuts), len(run)])
+    return [(a, run[a:b]) for a, b in bounds if b - a >= WINDOW]
+
+
 def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     """All (kind, start, end) of a text, ordered by start, then kind as in ``KINDS``."""
     if not text:
@@ -81,9 +94,11 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
         found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_CHARS]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     for m in _CANDIDATE.finditer(text):
-        run = m.group()
-        if not any(p.fullmatch(run) for p in ALLOWED) and (span := entropy_span(run)):
-            found.append((m.start() + span[0], 3, m.start() + span[1]))
+        if any(p.fullmatch(m.group()) for p in ALLOWED):
+            continue
+        for start, run in _pieces(m.group()):
+            if not any(p.fullmatch(run) for p in ALLOWED) and (span := entropy_span(run)):
+                found.append((m.start() + start + span[0], 3, m.start() + start + span[1]))
     return [(KINDS[k], s, e) for s, k, e in sorted(found)]
 
 

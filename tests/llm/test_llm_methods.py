@@ -319,6 +319,20 @@ def test_entropy_windows_equal_recount():
     assert [s[0] for s in secrets.find_secrets("key Zx9Qw3Lk8Vb2Nm7Rt5Yp0Hs4 end")] == ["entropy"]
 
 
+def test_random_tokens_are_found():
+    rng = random.Random(6)
+    token = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    entropy = lambda text: [(s, e) for k, s, e in secrets.find_secrets(text) if k == "entropy"]
+    for n in (20, 24, 32, 40):
+        assert sum(bool(entropy(f"key {token(n)} end")) for _ in range(2000)) >= 0.95 * 2000  # at 20 the threshold itself misses 3 %
+    for word in ("example", "xxxx", "YOUR_KEY"):
+        key = "Zx9Qw3Lk8Vb2Nm7Rt5Yp0Hs4"
+        assert entropy(f"at {word}/{key} end") and entropy(f"at {key}/{word} end")
+        assert any(s <= 4 + len(word) and e >= 3 + len(word) + len(key) for s, e in entropy(f"at {word}/{key}"))
+    names = "chapter12section3paragraph14 release2024-version12-final3 your-api-key-example-xxxxxxxxxxxx example_placeholder_0123456789"
+    assert not entropy(names)
+
+
 # --- 7: quality rules --------------------------------------------------------------------
 
 def test_measures_equal_brute_force(spark, texts):
