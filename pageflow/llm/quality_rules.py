@@ -3,15 +3,18 @@
 One pass over the texts takes plain counts (words, symbols, repeated lines and
 repeated 5-word windows) and two histograms of fixed width: character classes
 and common words. The histograms of the documents that pass the base rules are
-summed by language over the whole corpus and give the language references (one
-row for each name in ``LANGUAGES``, so their size is fixed). A document is then
-compared with every reference by Jensen-Shannon distance; it is dropped if even
-the nearest is farther than the limits. Short texts, whose histograms say
-little, are left to the base rules (``MIN_CHARS``, ``MIN_WORDS``).
+summed by language over the whole corpus and give the language references: one
+row for each name in ``LANGUAGES``, and for every other language in at least
+``MIN_ROWS`` such documents (the ``MAX_LANGUAGES`` most frequent, so their size
+is bounded). A document is then compared with every reference by Jensen-Shannon
+distance; it is dropped if even the nearest is farther than the limits. Short
+texts, whose histograms say little, and documents of a named language without a
+reference are left to the base rules (``MIN_CHARS``, ``MIN_WORDS``).
 
 Edge cases: null and empty texts have no words and fail the base rules; without
 any reference (empty corpus) nothing is dropped by distance; repeated rows are
-judged alike; a null or unknown language adds to no reference but is judged.
+judged alike; a null or blank language adds to no reference but is judged; a language
+without a reference has distances of 0.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ MIN_CHARS, MIN_WORDS = 200, 40
 #: Jensen-Shannon distances (0 to 1) over which a document is unlike the language.
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
 
+#: Documents from which a language not in ``LANGUAGES`` has a reference, and how many such languages at most.
+MIN_ROWS, MAX_LANGUAGES = 100, 200
+
 # Frequent function words of each language.
 LANGUAGES = {
     "en": "the of and to in is on with by be for that this are was from or as at it an a not have has which but they",
@@ -132,16 +138,21 @@ def base_failed():
 
 
 def references(found: DataFrame) -> DataFrame:
-    """Per language: the summed histograms of all documents that pass the base rules (at most one row a language)."""
+    """Per language: the summed histograms of all documents that pass the base rules (at most so many rows as languages
+    in ``LANGUAGES`` and ``MAX_LANGUAGES`` more)."""
     sums = [F.sum(F.col("classes")[i]).alias(f"a{i}") for i in range(N_CLASSES)]
     sums += [F.sum(F.col("common")[i]).alias(f"b{i}") for i in range(N_COMMON)]
-    return found.where(~base_failed() & F.col("lang").isin(*LANGUAGES)).groupBy("lang").agg(*sums)
+    known = F.col("lang").isin(*LANGUAGES)
+    by_lang = found.where(~base_failed() & (F.trim("lang") != "")).groupBy("lang").agg(*sums, F.count("*").alias("n"))
+    return (by_lang.where(known | (F.col("n") >= MIN_ROWS)).orderBy(known.desc(), F.col("n").desc(), "lang")
+            .limit(len(LANGUAGES) + MAX_LANGUAGES))
 
 
 def judge(found: DataFrame, languages: list) -> DataFrame:
     """Adds char_distance and word_distance (to the nearest reference), base_failed and kept."""
-    refs = [(np.array(r[1:1 + N_CLASSES], float), np.array(r[1 + N_CLASSES:], float)) for r in languages]
+    refs = [(np.array(r[1:1 + N_CLASSES], float), np.array(r[1 + N_CLASSES:1 + N_CLASSES + N_COMMON], float)) for r in languages]
     refs = [(a, b) for a, b in refs if a.sum() and b.sum()]
+    named = {*LANGUAGES, *(r["lang"] for r in languages)}
 
     def nearest(column, k: int) -> np.ndarray:
         counts = np.array(column.to_pylist(), float)
@@ -151,7 +162,8 @@ def judge(found: DataFrame, languages: list) -> DataFrame:
     def run(batches):
         for b in batches:
             if b.num_rows:
-                far = [nearest(b.column(c), k) for k, c in enumerate(("classes", "common"))]
+                judged = np.array([x in named or not (x or "").strip() for x in b.column("lang").to_pylist()])
+                far = [np.where(judged, nearest(b.column(c), k), 0.0) for k, c in enumerate(("classes", "common"))]
                 yield pa.RecordBatch.from_arrays([*b.columns[:-2], *map(pa.array, far)],
                                                  [*b.schema.names[:-2], "char_distance", "word_distance"])
 
@@ -168,4 +180,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     path = scratch_path(spark, "quality")
     features(docs, id_col, text_col, lang_col).write.parquet(path)
     found = spark.read.parquet(path)
-    return judge(found, references(found).orderBy("lang").collect())
+    return judge(found, sorted(references(found).collect(), key=lambda r: r["lang"]))

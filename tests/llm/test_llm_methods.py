@@ -372,6 +372,22 @@ def test_clean_documents_are_kept(spark):
     assert not counts.get((1, False, False)) and counts[(0, False, False)] > 50
 
 
+def test_languages_of_the_corpus_have_references(spark):
+    rng = random.Random(9)
+    def text(letters, n=80):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n)) + "."
+    latin, cyrillic, greek = "abcdefghilmnoprstu", "абвгдежзийклмнопрст", "αβγδεζηθικλμνξοπρστ"
+    english = quality_rules.LANGUAGES["en"].split()
+    rows = [(i, " ".join(w for _ in range(60) for w in (rng.choice(english), text(latin, 1))), "en") for i in range(120)]
+    rows += [(1000 + i, text(cyrillic), "ru") for i in range(120)] + [(2000 + i, text(greek), "el") for i in range(5)]
+    rows += [(3000, "#$% &|< " * 5 + " ".join(f"{i}#$%&|{i * i}" for i in range(80)), "ru"), (3001, "one two", "el")]
+    judged = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    kept = {r["doc_id"]: r["kept"] for r in judged}
+    assert len(judged) == len(rows) and all(kept[i] for i in kept if i < 3000)
+    assert not kept[3000] and not kept[3001]
+    assert {r["doc_id"] // 1000 for r in judged if r["char_distance"] > 0} == {0, 1, 3}
+
+
 # --- 9: factorisation machine ------------------------------------------------------------
 
 def test_pair_sum_equals_identity():
