@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType, StructField
 
 from pageflow.llm.scan import list_column, map_texts, with_columns
 
-SAMPLE = 5000
+SAMPLE = 6000
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 WORD_BUCKETS = 1 << 15

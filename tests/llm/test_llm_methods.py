@@ -401,6 +401,10 @@ def test_pair_sum_equals_identity():
         assert abs(0.3 + model.weights[i] @ v + pairs - g) < 1e-9
 
 
+def test_sample_is_not_lowered():
+    assert quality_fm.SAMPLE == 6000
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     rows = QUERIES["op9_quality_fm"](spark, sf).join(table(spark, sf, "labels"), "doc_id").collect()
