@@ -128,3 +128,90 @@ FROM judged LEFT JOIN nearest USING (rn)
 
 
 ORACLE_SQL["op7_quality_rules"] = _quality_sql()
+
+ORACLE_SQL["op11_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+tokens AS (SELECT rn, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT rn) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS c FROM tokens JOIN kept USING (lang, term) GROUP BY ALL),
+full_counts AS (
+  SELECT lang, source, term, v, coalesce(c, 0) AS c,
+         sum(coalesce(c, 0)) OVER (PARTITION BY lang, source) AS n
+  FROM groups JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counts USING (lang, source, term)),
+shares AS (SELECT lang, source, term, c, (1 + 1000000000::HUGEINT * (c + 2) // (n + 2 * v))::BIGINT AS p FROM full_counts),
+langs AS (
+  SELECT lang, term, (1 + 1000000000::HUGEINT * (sum(c) + 2) // (sum(sum(c)) OVER (PARTITION BY lang) + 2 * any_value(v)))::BIGINT AS q
+  FROM full_counts GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT
+  FROM shares JOIN langs USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, k::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS k FROM found)
+WHERE part = 'pair' OR k <= 10
+"""
+
+ORACLE_SQL["op13_prefix_trie"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
+own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, xor(list_reduce(list_transform(regexp_extract_all(c::VARCHAR, '.'), lambda x: ord(x)),
+                            lambda acc, b: xor(acc >> 8, tab[xor(acc, b) % 256 + 1]), 4294967295), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM own), crc),
+turns AS (
+  SELECT convs.c, pos, r, t FROM convs JOIN own ON own.c = convs.c - convs.c % 100 AND pos <= h
+  UNION ALL
+  SELECT c, pos, r, t FROM convs JOIN own USING (c) WHERE pos > h),
+paths AS (
+  SELECT convs.c, coalesce(list({'r': r, 't': t} ORDER BY pos) FILTER (pos IS NOT NULL), []) AS s
+  FROM convs LEFT JOIN turns USING (c) GROUP BY convs.c),
+members AS (SELECT c, d, s[1:d] AS pre, d = len(s) AS ends FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT pre, d, min(c) AS conv_id, count(*) AS n, CASE WHEN d = 0 THEN 0 ELSE length(pre[d].t) END AS chars,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY pre, d),
+children AS (SELECT pre[1:d-1] AS pre, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+below AS (
+  SELECT pre[1:k] AS pre, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n - 1) * chars) AS saved_tokens
+  FROM (SELECT nodes.*, n_children, unnest(range(0, d + 1)) AS k FROM nodes LEFT JOIN children USING (pre)) GROUP BY ALL)
+SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN below USING (pre) LEFT JOIN children USING (pre)
+LEFT JOIN nodes above ON nodes.d > 0 AND above.pre = nodes.pre[1:nodes.d-1]
+"""
+
+ORACLE_SQL["op12_cross_polytope"] = r"""
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS rn, vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+good AS (
+  SELECT rn, vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM rows
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x != 0)) > 0),
+links AS (
+  SELECT a.rn AS x, b.rn AS y FROM good a JOIN good b ON a.rn != b.rn AND len(a.v) = len(b.v)
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_inner_product(a.v, b.v) / (a.size * b.size) ELSE 0 END >= 0.9),
+reach(rn, other) AS (
+  SELECT rn, rn FROM rows
+  UNION
+  SELECT reach.rn, y FROM reach JOIN links ON other = x),
+least AS (SELECT reach.rn, min(vec_id) AS component_id FROM reach JOIN rows ON rows.rn = other GROUP BY reach.rn),
+degree AS (SELECT x AS rn, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN least USING (rn) LEFT JOIN degree USING (rn)
+"""

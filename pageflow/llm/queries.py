@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.llm import bpe, chunks, decontaminate, html_crf, jaccard, quality_fm, quality_rules, secrets, shards, url_filter
+from pageflow.llm import (bpe, chunks, cross_polytope, decontaminate, divergence, html_crf, jaccard, prefix_trie, quality_fm,
+                          quality_rules, secrets, shards, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +104,18 @@ def op10_shards(spark, sf):
     placed = shards.shard(table(spark, sf, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op11_divergence")
+def op11_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+@register("op12_cross_polytope")
+def op12_cross_polytope(spark, sf):
+    return cross_polytope.near_vectors(table(spark, sf, "embeddings"))
+
+
+@register("op13_prefix_trie")
+def op13_prefix_trie(spark, sf):
+    return prefix_trie.trie(table(spark, sf, "conversations"))
