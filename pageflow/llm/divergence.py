@@ -29,7 +29,7 @@ pairs; ties are ranked by the item's UTF-8 bytes; an empty table gives no rows.
 
 from __future__ import annotations
 
-import string
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -38,27 +38,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pageflow.llm.components import stored
+from pageflow.llm.scan import map_texts
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Of a byte: A-Z as a-z; what stands between terms becomes a space.
+LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 MIN_DOCS, TOP = 10, 10
 SCALE = 1_000_000_000
 SLICE_POSTINGS = 200_000
+HELD, SENT = 300_000, 50_000
 #: Languages whose numbers are broadcast at most (some 50 bytes each); more are joined.
 BROADCAST_LANGS = 10_000
 CELLS = 1 << 20
 
 
-def term_index(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term, postings): each kept term with the sources that use it and how often."""
-    lower = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    words = docs.select("lang", "source", F.regexp_extract_all(lower, F.lit(TERM), F.lit(0)).alias("w"))
+def occurrences(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): how often a term occurs and in how many documents, summed over parts of a task.
+
+    In UTF-8 every byte of a character beyond ASCII is beyond ASCII, so terms are cut
+    from the bytes; a task sends its counts when it holds ``HELD`` of them.
+    """
+    def packed(held):
+        cells = [(*group, t, n, own[1][t]) for group, own in held.items() for t, n in own[0].items()]
+        for k in range(0, len(cells), SENT):
+            lang, source, term, n, d = zip(*cells[k:k + SENT])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.binary()).cast(pa.string()),
+                 pa.array(n, pa.int64()), pa.array(d, pa.int64())], ["lang", "source", "term", "n", "docs"])
+
+    def run(batches):
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        for b in batches:
+            groups = zip(b.column("lang").to_pylist(), b.column("source").to_pylist())
+            for group, text in zip(groups, b.column("text").cast(pa.binary())):
+                words = text.as_py().translate(LETTERS).split()
+                if words:
+                    n, d = held.setdefault(group, (Counter(), Counter()))
+                    n.update(words)
+                    d.update(set(words))
+            if sum(len(n) for n, _ in held.values()) > HELD:
+                yield from packed(held)
+                held = {}
+        yield from packed(held)
+
+    return map_texts(docs, {"lang": "lang", "source": "source", "text": "text"},
+                     "lang string, source string, term string, n long, docs long", run)
 
-    def rows(of, n, d):
-        return F.transform(of, lambda x: F.struct(x.alias("term"), F.lit(n).cast("long").alias("n"), F.lit(d).cast("long").alias("docs")))
 
-    found = words.select("lang", "source", F.explode(F.concat(rows("w", 1, 0), rows(F.array_distinct("w"), 0, 1))).alias("x"))
-    counts = found.select("lang", "source", "x.*").groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def term_index(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, term, postings): each kept term with the sources that use it and how often."""
+    counts = occurrences(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     return (counts.groupBy("lang", "term")
             .agg(F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("postings"))
             .where(F.col("docs") >= min_docs).drop("docs"))
