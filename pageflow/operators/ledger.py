@@ -8,6 +8,8 @@ files, not rows.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,29 @@ def append_ledger(rows: DataFrame, path: str) -> None:
     rows.select(*[F.col(f.name).cast(f.dataType) for f in S.LEDGER.fields]).write.mode("append").parquet(path)
 
 
+#: Status of a row that starts a new epoch: files count as loaded only by later rows.
+EPOCH = "epoch"
+
+
+def new_epoch(spark: SparkSession, path: str, now: _dt.datetime | None = None) -> None:
+    """From now on every file is pending again; the history stays. It begins after the newest row, whatever the clock says."""
+    ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+    newest = read_ledger(spark, path).agg(F.max("processed_at").alias("newest"))
+    append_ledger(newest.select(
+        F.lit("").alias("file_pattern"), F.lit(0).alias("rows_inserted"), F.greatest(ts, "newest").alias("processed_at"),
+        F.lit(EPOCH).alias("status"), F.lit(None).alias("error_message"), F.lit("").alias("run_id")), path)
+
+
+def attempts(ledger: DataFrame) -> DataFrame:
+    """All attempts of all epochs."""
+    return ledger.where(F.col("status") != EPOCH)
+
+
 def ledger_latest(ledger: DataFrame) -> DataFrame:
-    """L5 (read side): newest row per ``file_pattern`` (ties broken by run_id, status)."""
-    return keep_latest(ledger, ["file_pattern"], "processed_at").select(*[f.name for f in S.LEDGER.fields])
+    """L5 (read side): newest row per ``file_pattern`` of the current epoch (ties broken by run_id, status)."""
+    began = ledger.agg(F.max(F.when(F.col("status") == EPOCH, F.col("processed_at")))).scalar()
+    now = attempts(ledger).where(F.coalesce(F.col("processed_at") > began, F.lit(True)))
+    return keep_latest(now, ["file_pattern"], "processed_at").select(*[f.name for f in S.LEDGER.fields])
 
 
 def processed_files(ledger: DataFrame) -> DataFrame:
@@ -54,14 +76,15 @@ def status_rollup(ledger: DataFrame) -> DataFrame:
 
 def latest_loads(ledger: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most recent attempts."""
-    return (ledger.select("file_pattern", "rows_inserted", "processed_at", "status")
+    return (attempts(ledger).select("file_pattern", "rows_inserted", "processed_at", "status")
             .orderBy(F.desc("processed_at"), F.asc("file_pattern"), F.asc("status"))
             .limit(k))
 
 
 def run_summary(ledger: DataFrame, run_id: str | None = None) -> DataFrame:
     """Attempted / succeeded / failed files and rows inserted per run."""
-    df = ledger if run_id is None else ledger.where(F.col("run_id") == run_id)
+    df = attempts(ledger)
+    df = df if run_id is None else df.where(F.col("run_id") == run_id)
     return (df.groupBy("run_id")
             .agg(F.count(F.lit(1)).alias("attempted"),
                  F.count_if(F.col("status") == "success").alias("succeeded"),

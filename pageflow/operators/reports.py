@@ -115,7 +115,13 @@ def coverage(fact: DataFrame) -> DataFrame:
 
 def summary_snapshot(fact: DataFrame, keywords: DataFrame, k: int = 10,
                      generated_at: Column | None = None, stamp_latest: bool = False) -> DataFrame:
-    """One row ``total_rows, top_pages[], category_breakdown[], generated_at``.
+    """One row ``total_rows, top_pages[], category_breakdown[], generated_at`` of the whole fact."""
+    return summary_of(page_totals(fact), keywords, k, generated_at, stamp_latest)
+
+
+def summary_of(per_page: DataFrame, keywords: DataFrame, k: int = 10,
+               generated_at: Column | None = None, stamp_latest: bool = False) -> DataFrame:
+    """R10 from page totals, wherever they come from.
 
     All three parts come from one per-page aggregate (``page_totals``),
     materialised once with a reliable ``checkpoint()`` in the shared
@@ -125,8 +131,8 @@ def summary_snapshot(fact: DataFrame, keywords: DataFrame, k: int = 10,
     sorted with the same keys as the flat reports. ``stamp_latest`` stamps
     the snapshot with the newest fact time instead of the clock.
     """
-    checkpoint_root(fact.sparkSession)
-    per_page = page_totals(fact).checkpoint(eager=True)
+    checkpoint_root(per_page.sparkSession)
+    per_page = per_page.checkpoint(eager=True)
     tp = (_top(per_page, k)
           .agg(F.array_sort(F.collect_list(F.struct(
               (-F.col("total_hits")).alias("o1"), F.col("path").alias("o2"),

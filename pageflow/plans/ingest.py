@@ -33,10 +33,12 @@ from pageflow import schemas as S
 from pageflow.functions import parse as P
 from pageflow.operators import ledger as L
 from pageflow.operators.ingest_ops import flag_lenient, parse_strict
+from pageflow.plans.versions import SnapshotTable
 from pageflow.session import drop_path, path_exists, read_or_empty, scratch_path
 from pageflow.sources.dumps import read_named_lines
 
 STAGED_COLS = ["file_name", "time", "project", "subproject", "path", "hits", "bad"]
+STAGED_ROW = "file_name STRING, time TIMESTAMP, project STRING, subproject STRING, path STRING, hits BIGINT"
 
 
 def _existing(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
@@ -81,18 +83,24 @@ UNREADABLE = re.compile(r"FAILED_READ_FILE.*?while reading file \S*?([^/\s]+?)\.
 
 
 def _stage_isolating(spark, paths, keywords, root, projects, parser, errors: dict[str, str]) -> list[str]:
-    """Stage ``paths`` folder by folder; a file that can't be read is put into ``errors`` and left out."""
+    """Stage ``paths`` folder by folder; a file that can't be read is put into ``errors`` and left out.
+
+    What is left of a batch with such a file goes on in halves, so a half without
+    another is done at once: each file is read at most once for every halving,
+    however many files of the folder are bad.
+    """
     folders: dict[str, list[str]] = {}
     for p in paths:
         folders.setdefault(p.rsplit("/", 1)[0], []).append(p)
     out = []
     for batch in folders.values():
-        while batch:
+        todo = [batch]
+        while todo:
+            batch = todo.pop()
             stage = f"{root}/s-{uuid.uuid4().hex[:8]}"
             try:
                 _stage(spark, batch, keywords, stage, projects, parser)
                 out.append(stage)
-                break
             except Exception as e:  # noqa: BLE001 - raised again unless it names one of the files
                 said = str(e)
                 named = UNREADABLE.search(said)
@@ -100,11 +108,14 @@ def _stage_isolating(spark, paths, keywords, root, projects, parser, errors: dic
                 if not bad:
                     raise
                 errors.update({p: said.strip() for p in bad})
-                batch = [p for p in batch if p not in bad]
+                drop_path(spark, stage)
+                rest = [p for p in batch if p not in bad]
+                half = len(rest) // 2
+                todo += [part for part in (rest[half:], rest[:half]) if part]
     return out
 
 
-def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str, ledger_path: str,
+def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str | SnapshotTable, ledger_path: str,
            keywords: DataFrame | None, mode: str = "incremental",
            projects: Iterable[str] | None = P.DEFAULT_PROJECTS, parser: str = "lenient",
            run_id: str | None = None, now: _dt.datetime | None = None) -> dict:
@@ -142,13 +153,14 @@ def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str,
         drop_path(spark, stage_root)
 
 
-def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, fact_path: str,
+def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, fact_path: str | SnapshotTable,
            ledger_path: str, mode: str = "incremental", run_id: str | None = None,
            now: _dt.datetime | None = None) -> dict:
     """Quarantine, fact write and ledger append for one run.
 
     ``attempts``: ``file_pattern, file_name, error_message`` (one row per file
-    tried); ``staged``: kept rows with ``file_name`` and ``bad``.
+    tried); ``staged``: kept rows with ``file_name`` and ``bad``. A
+    :class:`SnapshotTable` in place of the fact's path takes the files in one version.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
@@ -176,10 +188,15 @@ def commit(spark: SparkSession, attempts: DataFrame, staged: DataFrame | None, f
     outcome = spark.read.parquet(out_path)
 
     done = outcome.where(F.col("status") == "success")
-    if staged is not None:
-        good = staged.join(done.select("file_name"), "file_name", "left_semi")
-        write_fact(good.drop("bad"), fact_path, append=(mode == "append"))
-    if mode != "append":
+    good = None if staged is None else staged.join(done.select("file_name"), "file_name", "left_semi").drop("bad")
+    if isinstance(fact_path, SnapshotTable):
+        if mode == "append":
+            raise ValueError("a snapshot table replaces source files; it can't append them twice")
+        if not done.isEmpty():
+            fact_path.load(good if good is not None else spark.createDataFrame([], STAGED_ROW), done.select("file_name"))
+    elif good is not None:
+        write_fact(good, fact_path, append=(mode == "append"))
+    if mode != "append" and not isinstance(fact_path, SnapshotTable):
         for r in done.where(F.col("rows_ok") == 0).select("file_name").collect():  # file names, not data
             _drop_file_rows(spark, fact_path, r["file_name"])
 

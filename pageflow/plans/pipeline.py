@@ -19,7 +19,9 @@ from pageflow import schemas as S
 from pageflow.operators import dims as D
 from pageflow.operators import ledger as L
 from pageflow.operators import reports as R
+from pageflow.operators.maintain import empty_folder
 from pageflow.plans import ingest as IG
+from pageflow.plans.versions import SnapshotTable, current_frame, replace_frame
 from pageflow.session import read_or_empty
 
 
@@ -49,8 +51,13 @@ class Layout:
         return f"{self.root}/summary_statistics"
 
 
+#: What an INSERT that doesn't name the column puts there.
+DEFAULTS = {"ingestion_date": "current_date()", "added_date": "current_date()"}
+
+
 def _ddl(schema) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" DEFAULT {DEFAULTS[f.name]}" if f.name in DEFAULTS else "")
+                     for f in schema.fields)
 
 
 def create_tables(spark: SparkSession, layout: Layout, db: str = "pageflow") -> None:
@@ -85,7 +92,6 @@ def truncate_fact(spark: SparkSession, layout: Layout, db: str | None = "pageflo
     Spark refuses ``TRUNCATE TABLE`` on external tables, so the table's folder
     is emptied through the Hadoop FileSystem API and the catalog entry refreshed.
     """
-    from pageflow.operators.maintain import empty_folder
     empty_folder(spark, layout.fact)
     show_partitions(spark, layout, db)
 
@@ -101,7 +107,20 @@ def write_summary(spark: SparkSession, layout: Layout, keywords: DataFrame) -> N
     """Replace the summary snapshot (R10) computed over the whole fact; an empty fact leaves the last one."""
     fact = IG.read_fact(spark, layout.fact)
     if not fact.isEmpty():
-        R.summary_snapshot(fact, keywords).write.mode("overwrite").parquet(layout.summary)
+        replace_frame(R.summary_snapshot(fact, keywords), layout.summary)
+
+
+def reset(spark: SparkSession, fact: str | SnapshotTable, ledger_path: str, now: _dt.datetime | None = None) -> None:
+    """Start again from an empty fact. The ledger keeps its history; a new epoch makes every file pending.
+
+    The epoch comes last: after a crash before it the files still count as
+    loaded, so the reset has to be asked for again, and nothing is loaded twice.
+    """
+    if isinstance(fact, SnapshotTable):
+        fact.truncate()
+    else:
+        empty_folder(spark, fact)
+    L.new_epoch(spark, ledger_path, now)
 
 
 def census(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -113,7 +132,7 @@ def census(spark: SparkSession, layout: Layout) -> DataFrame:
         "keywords": read(layout.keywords, S.KEYWORDS),
         "processed_files": read(layout.ledger, S.LEDGER),
         "pageview_load_stats": read(layout.load_stats, S.LOAD_STATS),
-        "summary_statistics": read(layout.summary, S.SUMMARY),
+        "summary_statistics": current_frame(spark, layout.summary, S.SUMMARY),
     })
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow import oracle
+from pageflow import schemas as S
 from pageflow.functions import parse as P
 from pageflow.operators import articles as A
 from pageflow.operators import dims as D
@@ -24,6 +25,7 @@ from pageflow.plans import dumpfiles as DF
 from pageflow.plans import fixtures as X
 from pageflow.plans import ingest as IG
 from pageflow.plans import pipeline as PL
+from pageflow.plans import versions as V
 from pageflow.session import scratch_path
 from pageflow.sources import dumps as SD
 from pageflow.sources import manifest as MF
@@ -429,3 +431,119 @@ def q_append_twice(spark, sf):
         IG.ingest(spark, base, manifest, f"{root}/fact", f"{root}/ledger", kw, mode="append", run_id=f"basic-{i}")
     IG.ingest(spark, base, manifest, f"{root}/fact", f"{root}/ledger", kw, mode="incremental", run_id="inc")
     return _fact_out(spark.read.parquet(f"{root}/fact"))
+
+
+# --- versions of the stored fact (W1, W2, W5, W7, W8, L8, M3, M4, R10) ----------------------
+
+
+def _versioned(spark, sf, name: str) -> V.SnapshotTable:
+    """A snapshot table with every hourly dump loaded, all months but the last compacted, and the first day loaded again."""
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, name)
+    fact, kw = V.SnapshotTable(spark, f"{root}/fact"), X.keyword_seed(spark, sf)
+    manifest = MF.hourly_manifest(X.event_bounds(spark, sf))
+    IG.ingest(spark, base, manifest, fact, f"{root}/ledger", kw, run_id="run-1")
+    first, last = manifest.agg(F.min("file_time"), F.max("file_time")).first()
+    fact.compact(before=last.year * 100 + last.month if (last.year, last.month) != (first.year, first.month) else 999912)
+    day = manifest.where(F.to_date("file_time") == F.lit(first.date()))
+    IG.ingest(spark, base, day, fact, f"{root}/ledger-replay", kw, run_id="run-2")
+    return fact
+
+
+@register("snapshot_load")
+def q_snapshot_load(spark, sf):
+    """Load, compaction of closed months and a replay into one of them, read back through one reader."""
+    return _versioned(spark, sf, "snapshot-load").read().select("time", "project", "subproject", "path", "hits", "ym", "src_file")
+
+
+@register("snapshot_daily_trend")
+def q_snapshot_daily_trend(spark, sf):
+    """One page's trend, reading only the files whose range of pages holds it."""
+    fact = _versioned(spark, sf, "snapshot-trend")
+    return R.daily_trend(fact.read(page="red_widget"), "red_widget")
+
+
+@register("snapshot_summary")
+def q_snapshot_summary(spark, sf):
+    """R10 from the page totals that each load left, after a compaction and a replay."""
+    return _versioned(spark, sf, "snapshot-summary").summary(X.keyword_seed(spark, sf), stamp_latest=True)
+
+
+@register("merge_latest")
+def q_merge_latest(spark, sf):
+    """M3 by parts: a first load, then a second one of every day's last hour merged into its own files."""
+    loads = X.double_load(spark, sf).withColumn("src_file", X.hour_file_name(F.col("time")))
+    fact = V.SnapshotTable(spark, scratch_path(spark, "merge-latest"))
+    for date, rows in zip(X.LOAD_DATES, (loads, loads.where(F.hour("time") == 23).withColumn("hits", F.col("hits") + 1))):
+        fact.merge_latest(rows.where(F.col("ingestion_date") == F.lit(date).cast("date")))
+    return fact.read().select("time", "project", "subproject", "path", "ingestion_date", "hits")
+
+
+@register("truncate_reload")
+def q_truncate_reload(spark, sf):
+    """Load, reset, load again: the second epoch loads every file once more and keeps the first one's history."""
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, "reload")
+    fact, kw = V.SnapshotTable(spark, f"{root}/fact"), X.keyword_seed(spark, sf)
+    manifest = MF.hourly_manifest(X.event_bounds(spark, sf))
+    for k in range(2):
+        if k:
+            PL.reset(spark, fact, f"{root}/ledger")
+        IG.ingest(spark, base, manifest, fact, f"{root}/ledger", kw, run_id=f"epoch-{k}")
+    loads = LG.attempts(LG.read_ledger(spark, f"{root}/ledger")).groupBy("file_pattern").agg(F.count("*").alias("loads"))
+    rows = fact.read().groupBy("src_file").agg(F.count("*").alias("rows"), F.sum("hits").alias("hits"))
+    return (loads.withColumn("src_file", F.substring_index("file_pattern", "/", -1)).join(rows, "src_file", "left")
+            .select("file_pattern", "loads", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("hits", F.lit(0)).alias("hits")))
+
+
+@register("backfill_load")
+def q_backfill_load(spark, sf):
+    """The later half of the hours first; the whole span then loads only the hours that are missing."""
+    base = DF.derived_dump_dir(spark, sf, "clean")
+    root = scratch_path(spark, "backfill")
+    fact, kw = V.SnapshotTable(spark, f"{root}/fact"), X.keyword_seed(spark, sf)
+    manifest = MF.hourly_manifest(X.event_bounds(spark, sf))
+    middle = manifest.agg(F.timestamp_micros(((F.unix_micros(F.min("file_time")) + F.unix_micros(F.max("file_time"))) / 2).cast("long"))).first()[0]
+    for k, span in enumerate((manifest.where(F.col("file_time") >= F.lit(middle)), manifest)):
+        IG.ingest(spark, base, span, fact, f"{root}/ledger", kw, run_id=f"span-{k}")
+    # a file that were loaded twice would be counted twice
+    loads = LG.read_ledger(spark, f"{root}/ledger").groupBy(F.substring_index("file_pattern", "/", -1).alias("src_file")).agg(F.count("*").alias("loads"))
+    return fact.read().join(loads, "src_file").select("time", "project", "subproject", "path", "hits", "loads")
+
+
+@register("summary_replace")
+def q_summary_replace(spark, sf):
+    """The stored summary replaced by a newer one."""
+    at = scratch_path(spark, "summary")
+    pv, kw = X.pageviews(spark, sf), X.keyword_seed(spark, sf)
+    for rows in (pv.limit(0), pv):
+        V.replace_frame(R.summary_snapshot(rows, kw, stamp_latest=True), at)
+    return V.current_frame(spark, at, S.SUMMARY)
+
+
+@register("catalog_defaults")
+def q_catalog_defaults(spark, sf):
+    """Tables created twice; rows inserted by SQL without the date columns get the day of the insert."""
+    root = scratch_path(spark, "catalog")
+    db = "pageflow_" + root.rsplit("-", 1)[-1]
+    layout = PL.Layout(root)
+    for _ in range(2):
+        PL.create_tables(spark, layout, db)
+    day = spark.sql("SELECT current_date()").first()[0]
+    X.keyword_seed(spark, sf).createOrReplaceTempView(f"{db}_seed")
+    fact = X.pageviews(spark, sf).withColumn("ym", P.ym(F.col("time"))).withColumn("src_file", F.lit("by-hand"))
+    fact.createOrReplaceTempView(f"{db}_fact")
+    spark.sql(f"INSERT INTO {db}.keywords (keyword, category) SELECT keyword, category FROM {db}_seed")
+    spark.sql(f"INSERT INTO {db}.pageviews (time, project, subproject, path, hits, ym, src_file) "
+              f"SELECT time, project, subproject, path, hits, ym, src_file FROM {db}_fact")
+    for name in ("seed", "fact"):
+        spark.catalog.dropTempView(f"{db}_{name}")
+    spark.sql(f"DROP DATABASE {db} CASCADE")  # the tables are external: their files stay
+    late = F.lit(day).cast("date")
+
+    def stamped(df, column, table, name):
+        return df.groupBy(F.lit(table).alias("table_name"), F.col(name).alias("name"), F.col(column).between(late, F.date_add(late, 1)).alias("stamped")) \
+            .agg(F.count("*").alias("rows"))
+
+    return stamped(spark.read.schema(S.KEYWORDS).parquet(layout.keywords), "added_date", "keywords", "keyword").unionByName(
+        stamped(spark.read.schema(S.FACT).parquet(layout.fact), "ingestion_date", "pageviews", "path"))
