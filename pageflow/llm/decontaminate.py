@@ -1,19 +1,24 @@
 """Benchmark decontamination (operator 5).
 
 Passages are aligned with items by Smith-Waterman over words, which scores
-exact, edited and paraphrased copies. Two bounds that no alignment can exceed
-say where to align, so every passage over the bars is found, whatever the
-corpus holds besides and however often the item leaked:
-
-* a word of the text adds at most ``MATCH`` to a score if the item has it and
-  costs at least ``-GAP`` if not, so a leak lies in a stretch whose running sum
-  reaches the bar;
-* without the few words of an item that are most common in the benchmark, that
-  sum is lower by at most ``MATCH - GAP`` for each, so an index of the other
-  words and a lower bar name the items to try.
-
-Items are taken in blocks of about ``BLOCK_WORDS`` words; all documents meet
-all items.
+exact, edited and paraphrased copies. Which documents meet which items is found by rare n-grams:
+
+1. An item's n-grams are the pairs of its words that are one or two words apart (an item of one word
+   has that word). Between two equal words of an alignment that follow one
+   another, a step over d words of either side costs d - 1; so of a passage that scores
+   ``bar``, at least ``bar / 2 - 1`` steps are over one or two words in the item and in
+   the text: it holds that many of the item's n-grams, at different words.
+2. All documents are scanned for the n-grams of all items, which are counted.
+   Each item leaves out its most common ones, one n-gram start
+   fewer than a leak must have. The rest are its seeds; every passage
+   over the bars holds one, however often the item leaked.
+3. A second scan sends (text, seed) for the seeds that a text holds, which are
+   joined with the items. A bitmap of fixed size keeps other n-grams back.
+4. Each text so joined with an item is aligned with it, in Spark tasks; bounds
+   on running sums of shared words say in which stretches.
+
+Equal texts are aligned once. The benchmark is a table like any other: it is
+joined, never collected.
 
 A passage is a leak if its alignment scores at least ``MIN_SHARE`` of the
 item's full score with ``MIN_MATCHES`` equal words (all words of a shorter
@@ -27,24 +32,32 @@ are compared with A-Z in lower case, split at ASCII white space.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
 
-from pageflow.llm.scan import with_columns
+from pageflow.llm.components import stored
+from pageflow.llm.jaccard import BITMAP_BITS, hash_bitmap
+from pageflow.llm.scan import map_texts
+from pageflow.llm.shingles import drop_tables, pair_hashes, word_hashes
 
 WHOLE_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE, MIN_MATCHES, LONG_COPY = 0.4, 8, 13
-BLOCK_WORDS = 500_000
+REACH = 2                 # words that an n-gram may step over to its second word, by the first bound
+HELD, RANGE_GRAMS, TASK_PAIRS, KNOWN_ITEMS = 1_000_000, 200_000, 500, 1000
+BROADCAST_TEXTS = 500_000
 #: The index may leave out one in so many of the words that a leak must hold.
 LEFT_OUT = 2
 
+LEAK_ARROW = pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("matches", pa.int64()),
+                        ("score", pa.float64())])
 LEAK = StructType([StructField("item_id", LongType()), StructField("start_word", LongType()),
                    StructField("end_word", LongType()), StructField("matches", LongType()),
                    StructField("score", DoubleType())])
@@ -61,7 +74,7 @@ def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """One block of test items as word numbers, with an index from words to items."""
+    """Test items as word numbers, with an index from words to items."""
 
     def __init__(self, rows: list[tuple[int, str | None]]):
         self.number: dict[bytes, int] = {}
@@ -198,7 +211,7 @@ def copies(item: np.ndarray, passage: np.ndarray) -> list[tuple[int, int, int, i
 
 
 def leaks_of(items: Items, text: str | None) -> list[dict]:
-    """All leaks of the block's items in a text, ordered by item and place."""
+    """All leaks of the items in a text, ordered by item and place."""
     words = items.numbered(text)
     out = []
     for k, low, high in items.stretches(words):
@@ -208,30 +221,165 @@ def leaks_of(items: Items, text: str | None) -> list[dict]:
     return out
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
-    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), F.col(f"`{text_col}`").alias("text"))
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
-    n = max(1, math.ceil(total / BLOCK_WORDS))
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
+def _grams(texts: pa.StringArray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the words alone and of the pairs one and two words apart; where each text's words start."""
+    word, first = word_hashes(texts)
+    return [pair_hashes(word, first, apart) for apart in range(REACH + 1)], first
+
+
+def item_grams(items: DataFrame) -> DataFrame:
+    """(item, start, gram, spare): each n-gram of an item; ``spare``: starts that its seeds may leave out."""
+    names = ["item", "start", "gram", "spare"]
+
+    def run(batches):
+        for b in batches:
+            grams, first = _grams(b.column("text"))
+            for k, item in enumerate(b.column("item").to_pylist()):
+                low, high = first[k], first[k + 1]
+                n = int(high - low)
+                for g in grams[:1] if n == 1 else grams[1:]:
+                    start = np.flatnonzero(g[low:high])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(start), item), pa.int64()), pa.array(start, pa.int64()),
+                         pa.array(g[low:high][start].view(np.int64)), pa.array(np.full(len(start), spare(n)), pa.int64())], names)
+
+    return map_texts(items, {"item": "item", "text": "text"}, "item long, start long, gram long, spare long", run)
+
+
+def spare(length: int) -> int:
+    """N-gram starts that an item of ``length`` words may leave out, so that every leak still holds a seed."""
+    return max(0, math.ceil(bar(length) / MATCH - 1) - 1) if length > 1 else 0
+
+
+def _hits(batches, bits: np.ndarray):
+    """(slice, n-gram hashes that may be an item's, number of their text) of each slice of texts."""
+    mask = np.uint64((1 << BITMAP_BITS) - 1)
+    for b in batches:
+        grams, first = _grams(b.column("text"))
+        found, texts = [], []
+        for g in grams:
+            place = g & mask
+            at = np.flatnonzero((bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 & (g != 0))
+            found.append(g[at])
+            texts.append(np.searchsorted(first, at, side="right") - 1)
+        yield b, np.concatenate(found), np.concatenate(texts)
+    drop_tables()
+
+
+def gram_counts(docs: DataFrame, text_col: str, grams: DataFrame) -> DataFrame:
+    """(gram, n): how often the corpus has the items' n-grams, summed over parts of a task."""
+    sent = docs.sparkSession.sparkContext.broadcast(hash_bitmap(grams, "gram"))
+
+    def run(batches):
+        waiting, held = [], 0
+
+        def summed():
+            gram, n = np.unique(np.concatenate(waiting), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n, pa.int64())], ["gram", "n"])
+
+        for _, gram, _ in _hits(batches, sent.value):
+            waiting.append(gram)
+            held += len(gram)
+            if held > HELD:
+                yield summed()
+                waiting, held = [], 0
+        if waiting:
+            yield summed()
+
+    return map_texts(docs, {"text": text_col}, "gram long, n long", run).groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def seeds(grams: DataFrame, counts: DataFrame, ranges: int) -> DataFrame:
+    """(item, gram): the n-grams of each item without the most common ones that it can spare."""
+
+    def run(part: pa.Table) -> pa.Table:
+        item, start, gram, most, n = (part.column(c).to_numpy() for c in ("item", "start", "gram", "spare", "n"))
+        keep = np.ones(len(item), bool)
+        order = np.lexsort((gram, -n, item))
+        for rows in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+            gone: set[int] = set()
+            for same in np.split(rows, np.flatnonzero(np.diff(gram[rows])) + 1):
+                more = gone | set(start[same].tolist())
+                if len(same) and len(more) > most[same[0]]:
+                    break
+                gone = more
+                keep[same] = False
+        return part.filter(pa.array(keep)).select(["item", "gram"])
+
+    known = grams.join(counts, "gram", "left").fillna(0, ["n"])
+    chosen = known.withColumn("range", F.pmod(F.xxhash64("item"), F.lit(ranges))).groupBy("range").applyInArrow(run, "item long, gram long")
+    return chosen.distinct()
+
+
+def candidates(docs: DataFrame, text_col: str, chosen: DataFrame) -> DataFrame:
+    """(text, item): digests of texts that hold a seed of an item."""
+    sent = docs.sparkSession.sparkContext.broadcast(hash_bitmap(chosen, "gram"))
+
+    def run(batches):
+        for b, gram, text in _hits(batches, sent.value):
+            met = np.unique(np.rec.fromarrays([text, gram], names="text,gram"))
+            if len(met):
+                at, place = np.unique(met.text, return_inverse=True)
+                texts = b.column("text").cast(pa.binary()).take(pa.array(at))
+                digests = pa.array([hashlib.md5(x.as_buffer()).digest() for x in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([digests.take(pa.array(place)), pa.array(met.gram.view(np.int64))], ["text", "gram"])
+
+    held = map_texts(docs, {"text": text_col}, "text binary, gram long", run).distinct()
+    return held.join(chosen, "gram").select("text", "item").distinct()
+
+
+def digest_of(text_col: str) -> Column:
+    """By which texts are joined; null is the empty text."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+
+
+def text_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+               item_text_col: str = "text") -> DataFrame:
+    """(text, leaks): the leaks of every distinct text that has one, by its digest, ordered by item and place."""
+    items = stored(benchmark.select(F.col(f"`{item_id_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").alias("text"))
+                   .withColumn("item", F.monotonically_increasing_id()), "leak-items")
+    grams = stored(item_grams(items), "leak-grams")
+    n = grams.count()
+    chosen = stored(seeds(grams, gram_counts(docs, text_col, grams), n // RANGE_GRAMS + 1), "leak-seeds")
+    pairs = stored(candidates(docs, text_col, chosen), "leak-pairs")
+    texts = docs.select(F.col(f"`{text_col}`").alias("whole"), digest_of(text_col).alias("text"))
+    met, total = pairs.select("text").distinct(), pairs.count()
+    if total <= BROADCAST_TEXTS:  # 16 bytes each; else the texts are shuffled to them
+        met = F.broadcast(met)
+    texts = texts.join(met, "text", "left_semi").groupBy("text").agg(F.first("whole").alias("whole"))
+    rows = pairs.join(texts, "text").join(items.withColumnRenamed("text", "item_text"), "item")
+    # few bytes, much work: the number of tasks follows the pairs
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, total // TASK_PAIRS)
+    rows = rows.select("text", "whole", "item_id", "item_text").repartition(tasks, "text", "item_id")
+
+    def run(batches):
+        known: dict[tuple[int, str], Items] = {}
+        for b in batches:
+            for k in range(b.num_rows):
+                text, whole, i, item = (c[k].as_py() for c in b.columns)
+                if (i, item) not in known:
+                    if len(known) >= KNOWN_ITEMS:
+                        known.clear()
+                    known[i, item] = Items([(i, item)])
+                found = leaks_of(known[i, item], whole)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([text] * len(found), pa.binary()), pa.array(found, LEAK_ARROW)], ["text", "leak"])
+
+    found = rows.mapInArrow(run, StructType([StructField("text", BinaryType()), StructField("leak", LEAK)]))
+    return found.groupBy("text").agg(F.array_sort(F.collect_list("leak")).alias("leaks"))
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", item_id_col: str = "item_id",
          item_text_col: str = "text", name: str = "leaks") -> DataFrame:
     """``keep`` columns of every document and ``name``, an array of (item_id, start_word, end_word, matches, score)."""
-    sc = docs.sparkSession.sparkContext
-    sent = []
-    for block in _blocks(benchmark, item_id_col, item_text_col):
-        items = Items([(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").collect()])
-        if items.ids:
-            sent.append(sc.broadcast(items))
-
-    def leaks(texts):
-        found = [[x for items in sent for x in leaks_of(items.value, t)] for t in texts]
-        return [pa.array(found, pa.list_(pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()),
-                                                    ("end_word", pa.int64()), ("matches", pa.int64()),
-                                                    ("score", pa.float64())])))]
-
-    return with_columns(docs, keep, text_col, [StructField(name, ArrayType(LEAK))], leaks)
+    found = stored(text_leaks(docs, benchmark, text_col, item_id_col, item_text_col), "leaks")
+    n, leaks = found.agg(F.count("*"), F.coalesce(F.sum(F.size("leaks")), F.lit(0))).first()
+    if n + leaks <= BROADCAST_TEXTS:  # some 50 bytes each; else the documents are shuffled to them
+        found = F.broadcast(found)
+    kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], digest_of(text_col).alias("text"))
+    none = F.array().cast(ArrayType(LEAK))
+    return kept.join(found, "text", "left").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
+                                                   F.coalesce("leaks", none).alias(name))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -275,10 +275,10 @@ def candidates(tokens: DataFrame, placed: DataFrame) -> DataFrame:
     return possible.union(within)
 
 
-def _bitmap(classes: DataFrame) -> np.ndarray:
-    """One bit for each class hash, in a bitmap of fixed size (2**BITMAP_BITS bits)."""
-    place = F.pmod("class", F.lit(1 << BITMAP_BITS)) + 1
-    found = (classes.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("at"))
+def hash_bitmap(rows: DataFrame, column: str) -> np.ndarray:
+    """One bit for each hash in ``column``, in a bitmap of fixed size (2**BITMAP_BITS bits)."""
+    place = F.pmod(column, F.lit(1 << BITMAP_BITS)) + 1
+    found = (rows.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("at"))
              .groupBy("k").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
     out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     for r in found:
@@ -289,7 +289,7 @@ def _bitmap(classes: DataFrame) -> np.ndarray:
 
 def sets_of(docs: DataFrame, text_col: str, seed: int, classes: DataFrame) -> DataFrame:
     """(class, tokens) of the sets whose class may be in ``classes`` (a few others slip through the bitmap)."""
-    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(classes))
+    sent = docs.sparkSession.sparkContext.broadcast(hash_bitmap(classes, "class"))
 
     def run(batches):
         bits, seen = sent.value, _Seen()
