@@ -260,6 +260,27 @@ class _Spec:
         return self.sent.value
 
 
+def _decoded(codec: BpeDecoder, lists: pa.ListArray) -> pa.Array:
+    return pa.array([codec.decode(x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)) for x in lists], pa.binary()).cast(pa.string())
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: id, ``ids`` and ``decoded``, in one pass: what :func:`decode` makes of :func:`encode`."""
+    spec = _Spec(docs.sparkSession, path)
+
+    def run(batches):
+        encoder, decoder = BpeEncoder(spec.value), BpeDecoder(spec.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                b = batch.slice(at, 256)
+                found = [encoder.encode(t) for t in b.column("text").to_pylist()]
+                ids = list_column(np.concatenate(found), np.cumsum([len(x) for x in found]), pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, _decoded(decoder, ids)], ["doc_id", "ids", "decoded"])
+
+    return map_texts(docs, {"doc_id": F.col(f"`{id_col}`").cast("long"), "text": text_col},
+                     "doc_id long, ids array<int>, decoded string", run)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id and ``ids`` (array of token ids of the whole text)."""
     spec = _Spec(docs.sparkSession, path)
@@ -287,9 +308,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
                 lists = b.column("ids")
-                texts = [codec.decode(x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)) for x in lists]
-                decoded = pa.array(texts, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists, decoded], ["doc_id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists, _decoded(codec, lists)], ["doc_id", "ids", "decoded"])
         _made.clear()
         release()
 

@@ -45,7 +45,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, Struc
 from pageflow.llm.components import stored
 from pageflow.llm.jaccard import BITMAP_BITS, hash_bitmap
 from pageflow.llm.scan import map_texts
-from pageflow.llm.shingles import drop_tables, pair_hashes, word_hashes
+from pageflow.llm.shingles import pair_hashes, word_hashes
 
 WHOLE_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -263,7 +263,6 @@ def _hits(batches, bits: np.ndarray):
             found.append(g[at])
             texts.append(np.searchsorted(first, at, side="right") - 1)
         yield b, np.concatenate(found), np.concatenate(texts)
-    drop_tables()
 
 
 def gram_counts(docs: DataFrame, text_col: str, grams: DataFrame) -> DataFrame:

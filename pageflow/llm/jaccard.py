@@ -163,9 +163,10 @@ def _levels(sketch: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray, hot: int, ranges: int) -> DataFrame:
-    """(token, class, rest, lead) for the prefix tokens that more than one class has.
+    """(token, class, rest, lead, crowded) for the prefix tokens that more than one class has.
 
-    rest: tokens of the set after this one; lead: the smallest class that the token's range has met with it.
+    rest: tokens of the set after this one; lead: the smallest class that the token's range has met with it;
+    crowded: whether ``GROUP_SETS`` classes or more have the token.
     """
     sent = docs.sparkSession.sparkContext.broadcast(levels)  # 2**SKETCH_BITS bytes
     names = ["range", "tokens", "rests", "classes", "runs"]
@@ -221,11 +222,14 @@ def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray,
             use = same | np.concatenate([same[1:], [False]])
             token, cls, rest = token[use], cls[use], rest[use]
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
-        lead = np.repeat(cls[first], np.diff(np.append(first, len(token))))
-        return pa.table({"token": token, "class": cls, "rest": rest, "lead": lead})
+        holders = np.diff(np.append(first, len(token)))
+        lead, crowded = np.repeat(cls[first], holders), np.repeat(holders >= GROUP_SETS, holders)
+        if table.column("range")[0].as_py() >= ranges:
+            crowded[:] = True
+        return pa.table({"token": token, "class": cls, "rest": rest, "lead": lead, "crowded": crowded})
 
     tokens = map_texts(docs, {"text": text_col}, ", ".join(["range int", *[f"{c} binary" for c in names[1:]]]), pack, size=SLICE)
-    return tokens.groupBy("range").applyInArrow(shared, "token long, class long, rest int, lead long")
+    return tokens.groupBy("range").applyInArrow(shared, "token long, class long, rest int, lead long, crowded boolean")
 
 
 def blocks(tokens: DataFrame, classes: DataFrame) -> DataFrame:
@@ -233,17 +237,22 @@ def blocks(tokens: DataFrame, classes: DataFrame) -> DataFrame:
 
     A class joins the group of the lead with which it shares the most prefix
     tokens, if they are at least ``GROUP_SHARE`` of its prefix. Groups of fewer than ``GROUP_SETS`` fall
-    apart again: their few pairs are bounded more sharply one by one.
+    apart again: their few pairs are bounded more sharply one by one. That holds
+    only for classes whose tokens few others have; one with a crowded token always joins the
+    lead with which it shares the most, and stays, so that no token meets
+    many single classes.
     """
-    votes = (tokens.where(F.col("class") != F.col("lead"))
-             .groupBy("class", "lead").agg(F.count("*").alias("votes")))
-    best = votes.groupBy("class").agg(F.max(F.struct("votes", "lead")).alias("b")).select("class", "b.votes", "b.lead")
-    active = tokens.select("class").distinct().join(classes.select("class", "n"), "class").join(best, "class", "left")
-    grouped = active.select("class", "n", F.when(
-        F.col("votes") >= GROUP_SHARE * (F.col("n") / 4), F.col("lead")).otherwise(F.col("class")).alias("group"))
+    votes = tokens.groupBy("class", "lead").agg(F.count("*").alias("votes"), F.max("crowded").alias("crowded"))
+    best = (votes.groupBy("class").agg(F.max("crowded").alias("crowded"), F.max(F.when(
+        F.col("class") != F.col("lead"), F.struct("votes", "lead"))).alias("b")).select("class", "crowded", "b.votes", "b.lead"))
+    active = best.join(classes.select("class", "n"), "class")
+    grouped = active.select("class", "n", "crowded", F.when(
+        (F.col("votes") >= GROUP_SHARE * (F.col("n") / 4)) | (F.col("crowded") & F.col("lead").isNotNull()), F.col("lead"))
+        .otherwise(F.col("class")).alias("group"))
     sizes = grouped.groupBy("group").agg(F.count("*").alias("sets"), F.sum("n").alias("total"))
     parts = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_TOKENS))
-    return (grouped.join(sizes.select("group", parts.alias("parts"), (F.col("sets") < GROUP_SETS).alias("single")), "group")
+    return (grouped.join(sizes.select("group", parts.alias("parts"), (F.col("sets") < GROUP_SETS).alias("small")), "group")
+            .withColumn("single", F.col("small") & ~F.col("crowded"))
             .select("class", "n", "single", F.when(F.col("single"), F.col("class")).otherwise(
                 F.xxhash64("group", F.pmod(F.xxhash64("class"), "parts"))).alias("block")))
 
@@ -253,7 +262,7 @@ def candidates(tokens: DataFrame, placed: DataFrame) -> DataFrame:
 
     If only one is single, it is ``a``.
     """
-    by_block = (tokens.drop("lead").join(placed, "class").groupBy("token", "block")
+    by_block = (tokens.drop("lead", "crowded").join(placed, "class").groupBy("token", "block")
                 .agg(F.max("rest").alias("rest"), F.max("n").alias("n"), F.min("single").alias("single")))
     left = by_block.select("token", *[F.col(c).alias(f"a_{c}") for c in ("block", "rest", "n", "single")])
     right = by_block.select("token", *[F.col(c).alias(f"b_{c}") for c in ("block", "rest", "n", "single")])
@@ -351,6 +360,13 @@ class Block:
             self._parts = parts
         return self._parts
 
+    def common(self) -> np.ndarray:
+        """Tokens that two sets at least have; no others can be in an overlap."""
+        if len(self.sets) < 2:
+            return self.union
+        token, times = np.unique(np.concatenate(self.sets), return_counts=True)
+        return token[times > 1]
+
     def bounds(self, other: Block) -> np.ndarray:
         """For each set, how many of its tokens the other block's union has."""
         tokens = np.concatenate(self.sets)
@@ -364,11 +380,11 @@ def block_links(a: Block, b: Block) -> list[tuple[int, int]]:
     opened = [np.flatnonzero(4 * x.bounds(y) >= 3 * x.sizes) for x, y in ((a, b), (b, a))]
     if not all(map(len, opened)):
         return []
-    shared = np.intersect1d(a.union, b.union, assume_unique=True)
+    shared = a.common() if a is b else np.intersect1d(a.union, b.union, assume_unique=True)
     overlap = np.zeros((len(opened[0]), len(opened[1])), np.float32)
     for start in range(0, len(shared), COLUMNS):
         part = shared[start:start + COLUMNS]
-        sides = []
+        sides: list[np.ndarray] = []
         for block, use in zip((a, b), opened):
             matrix = np.zeros((len(use), len(part)), np.float32)
             for row, k in enumerate(use.tolist()):

@@ -48,8 +48,7 @@ def op2_jaccard(spark, sf):
 
 @register("op3_bpe")
 def op3_bpe(spark, sf):
-    path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    coded = bpe.round_trip(table(spark, sf, "documents"), tokenizer_path())
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -34,8 +34,19 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYT
             start = stop
 
 
+_AT_END: list[Callable[[], None]] = []
+
+
+def at_task_end(fn: Callable[[], None]) -> Callable[[], None]:
+    """Has ``fn`` called when a task ends, to drop what a module keeps."""
+    _AT_END.append(fn)
+    return fn
+
+
 def release() -> None:
     """Gives freed memory back at the end of a task; Spark keeps the worker process for other stages."""
+    for fn in _AT_END:
+        fn()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it

@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from pageflow.llm.scan import at_task_end
+
 WORDS = 5
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0xD6E8FEB86659FD93
@@ -35,6 +37,7 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverse
 
 
+@at_task_end
 def drop_tables() -> None:
     """Gives the tables' memory back; Spark keeps a task's worker process for other stages."""
     global _powers, _inverse
