@@ -55,6 +55,7 @@ BUFFER_TOKENS = 500_000
 SLICE = 1 << 20
 BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 18
 GROUP_SHARE, GROUP_SETS = 0.4, 16
+CROWD = 100               # classes that a token may meet as single ones
 BITMAP_BITS = 27
 COLUMNS = 4096
 
@@ -166,7 +167,7 @@ def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray,
     """(token, class, rest, lead, crowded) for the prefix tokens that more than one class has.
 
     rest: tokens of the set after this one; lead: the smallest class that the token's range has met with it;
-    crowded: whether ``GROUP_SETS`` classes or more have the token.
+    crowded: whether more than ``CROWD`` classes have the token.
     """
     sent = docs.sparkSession.sparkContext.broadcast(levels)  # 2**SKETCH_BITS bytes
     names = ["range", "tokens", "rests", "classes", "runs"]
@@ -223,7 +224,7 @@ def shared_tokens(docs: DataFrame, text_col: str, seed: int, levels: np.ndarray,
             token, cls, rest = token[use], cls[use], rest[use]
         first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
         holders = np.diff(np.append(first, len(token)))
-        lead, crowded = np.repeat(cls[first], holders), np.repeat(holders >= GROUP_SETS, holders)
+        lead, crowded = np.repeat(cls[first], holders), np.repeat(holders > CROWD, holders)
         if table.column("range")[0].as_py() >= ranges:
             crowded[:] = True
         return pa.table({"token": token, "class": cls, "rest": rest, "lead": lead, "crowded": crowded})
