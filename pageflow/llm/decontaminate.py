@@ -9,12 +9,13 @@ exact, edited and paraphrased copies. Which documents meet which items is found
    ``bar``, at least ``bar / 2 - 1`` steps are over one or two words in the item and in
    the text: it holds that many of the item's n-grams, at different words.
 2. All documents are scanned for the n-grams of all items, which are counted.
-   Each item leaves out its most common ones, one n-gram start
-   fewer than a leak must have. The rest are its seeds; every passage
-   over the bars holds one, however often the item leaked.
+   Each item leaves out its most common ones, at most half of the n-gram starts
+   that a leak must have. The rest are its seeds; every passage
+   over the bars holds the other half, however often the item leaked.
 3. A second scan sends (text, seed) for the seeds that a text holds, which are
-   joined with the items. A bitmap of fixed size keeps other n-grams back.
-4. Each text so joined with an item is aligned with it, in Spark tasks; bounds
+   joined with the items. A bitmap of fixed size keeps other n-grams back. Of the texts
+   so joined with an item, those stay that hold enough of its seeds.
+4. Each such text is aligned with its items, in Spark tasks; bounds
    on running sums of shared words say in which stretches.
 
 Equal texts are aligned once. The benchmark is a table like any other: it is
@@ -51,9 +52,9 @@ WHOLE_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE, MIN_MATCHES, LONG_COPY = 0.4, 8, 13
 REACH = 2                 # words that an n-gram may step over to its second word, by the first bound
-HELD, RANGE_GRAMS, TASK_PAIRS, KNOWN_ITEMS = 1_000_000, 200_000, 500, 1000
+HELD, RANGE_GRAMS, TASK_PAIRS = 1_000_000, 200_000, 500
 BROADCAST_TEXTS = 500_000
-#: The index may leave out one in so many of the words that a leak must hold.
+#: One in so many of the words, or n-gram starts, that a leak must hold may be left out of an index.
 LEFT_OUT = 2
 
 LEAK_ARROW = pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("matches", pa.int64()),
@@ -228,8 +229,8 @@ def _grams(texts: pa.StringArray) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """(item, start, gram, spare): each n-gram of an item; ``spare``: starts that its seeds may leave out."""
-    names = ["item", "start", "gram", "spare"]
+    """(item, start, gram, least): each n-gram of an item; ``least``: n-gram starts that a leak of it has at least."""
+    names = ["item", "start", "gram", "least"]
 
     def run(batches):
         for b in batches:
@@ -241,14 +242,14 @@ def item_grams(items: DataFrame) -> DataFrame:
                     start = np.flatnonzero(g[low:high])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(start), item), pa.int64()), pa.array(start, pa.int64()),
-                         pa.array(g[low:high][start].view(np.int64)), pa.array(np.full(len(start), spare(n)), pa.int64())], names)
+                         pa.array(g[low:high][start].view(np.int64)), pa.array(np.full(len(start), least_starts(n)), pa.int64())], names)
 
-    return map_texts(items, {"item": "item", "text": "text"}, "item long, start long, gram long, spare long", run)
+    return map_texts(items, {"item": "item", "text": "text"}, "item long, start long, gram long, least long", run)
 
 
-def spare(length: int) -> int:
-    """N-gram starts that an item of ``length`` words may leave out, so that every leak still holds a seed."""
-    return max(0, math.ceil(bar(length) / MATCH - 1) - 1) if length > 1 else 0
+def least_starts(length: int) -> int:
+    """N-gram starts of an item of ``length`` words that each of its leaks holds at least."""
+    return max(1, math.ceil(bar(length) / MATCH - 1)) if length > 1 else 1
 
 
 def _hits(batches, bits: np.ndarray):
@@ -289,29 +290,32 @@ def gram_counts(docs: DataFrame, text_col: str, grams: DataFrame) -> DataFrame:
 
 
 def seeds(grams: DataFrame, counts: DataFrame, ranges: int) -> DataFrame:
-    """(item, gram): the n-grams of each item without the most common ones that it can spare."""
+    """(item, gram, starts, need): the n-grams of each item without its most common ones; ``need``: starts that a leak holds of them."""
 
     def run(part: pa.Table) -> pa.Table:
-        item, start, gram, most, n = (part.column(c).to_numpy() for c in ("item", "start", "gram", "spare", "n"))
-        keep = np.ones(len(item), bool)
+        item, start, gram, least, n = (part.column(c).to_numpy() for c in ("item", "start", "gram", "least", "n"))
         order = np.lexsort((gram, -n, item))
+        out = []
         for rows in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
             gone: set[int] = set()
+            full = False
             for same in np.split(rows, np.flatnonzero(np.diff(gram[rows])) + 1):
-                more = gone | set(start[same].tolist())
-                if len(same) and len(more) > most[same[0]]:
-                    break
-                gone = more
-                keep[same] = False
-        return part.filter(pa.array(keep)).select(["item", "gram"])
+                if not len(same):
+                    continue
+                full = full or len(gone | set(start[same].tolist())) > least[same[0]] // LEFT_OUT
+                if full:
+                    out.append((item[same[0]], gram[same[0]], len(np.unique(start[same])), least[same[0]] - len(gone)))
+                else:
+                    gone |= set(start[same].tolist())
+        return pa.table([pa.array(x, pa.int64()) for x in (zip(*out) if out else [[]] * 4)], ["item", "gram", "starts", "need"])
 
     known = grams.join(counts, "gram", "left").fillna(0, ["n"])
-    chosen = known.withColumn("range", F.pmod(F.xxhash64("item"), F.lit(ranges))).groupBy("range").applyInArrow(run, "item long, gram long")
-    return chosen.distinct()
+    return (known.withColumn("range", F.pmod(F.xxhash64("item"), F.lit(ranges))).groupBy("range")
+            .applyInArrow(run, "item long, gram long, starts long, need long"))
 
 
 def candidates(docs: DataFrame, text_col: str, chosen: DataFrame) -> DataFrame:
-    """(text, item): digests of texts that hold a seed of an item."""
+    """(text, item): digests of texts that hold as many seeds of an item as its leaks do."""
     sent = docs.sparkSession.sparkContext.broadcast(hash_bitmap(chosen, "gram"))
 
     def run(batches):
@@ -324,7 +328,8 @@ def candidates(docs: DataFrame, text_col: str, chosen: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([digests.take(pa.array(place)), pa.array(met.gram.view(np.int64))], ["text", "gram"])
 
     held = map_texts(docs, {"text": text_col}, "text binary, gram long", run).distinct()
-    return held.join(chosen, "gram").select("text", "item").distinct()
+    return (held.join(chosen, "gram").groupBy("text", "item").agg(F.sum("starts").alias("starts"), F.min("need").alias("need"))
+            .where("starts >= need").select("text", "item"))
 
 
 def digest_of(text_col: str) -> Column:
@@ -341,31 +346,27 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     n = grams.count()
     chosen = stored(seeds(grams, gram_counts(docs, text_col, grams), n // RANGE_GRAMS + 1), "leak-seeds")
     pairs = stored(candidates(docs, text_col, chosen), "leak-pairs")
-    texts = docs.select(F.col(f"`{text_col}`").alias("whole"), digest_of(text_col).alias("text"))
-    met, total = pairs.select("text").distinct(), pairs.count()
+    items = items.select("item", F.struct("item_id", F.col("text").alias("words")).alias("of"))
+    with_items = pairs.join(items, "item").groupBy("text").agg(F.array_sort(F.collect_list("of")).alias("items"))
+    total = pairs.count()
     if total <= BROADCAST_TEXTS:  # 16 bytes each; else the texts are shuffled to them
-        met = F.broadcast(met)
-    texts = texts.join(met, "text", "left_semi").groupBy("text").agg(F.first("whole").alias("whole"))
-    rows = pairs.join(texts, "text").join(items.withColumnRenamed("text", "item_text"), "item")
+        met = F.broadcast(pairs.select("text").distinct())
+    else:
+        met = pairs.select("text").distinct()
+    texts = docs.select(F.col(f"`{text_col}`").alias("whole"), digest_of(text_col).alias("text")).join(met, "text", "left_semi")
+    texts = texts.groupBy("text").agg(F.first("whole").alias("whole"))
     # few bytes, much work: the number of tasks follows the pairs
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, total // TASK_PAIRS)
-    rows = rows.select("text", "whole", "item_id", "item_text").repartition(tasks, "text", "item_id")
+    rows = texts.join(with_items, "text").select("text", "whole", "items").repartition(tasks, "text")
 
     def run(batches):
-        known: dict[tuple[int, str], Items] = {}
         for b in batches:
-            for k in range(b.num_rows):
-                text, whole, i, item = (c[k].as_py() for c in b.columns)
-                if (i, item) not in known:
-                    if len(known) >= KNOWN_ITEMS:
-                        known.clear()
-                    known[i, item] = Items([(i, item)])
-                found = leaks_of(known[i, item], whole)
+            for text, whole, mine in zip(*(b.column(c) for c in ("text", "whole", "items"))):
+                found = leaks_of(Items([(x["item_id"], x["words"]) for x in mine.as_py()]), whole.as_py())
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([text] * len(found), pa.binary()), pa.array(found, LEAK_ARROW)], ["text", "leak"])
+                    yield pa.RecordBatch.from_arrays([pa.array([text.as_py()], pa.binary()), pa.array([found], pa.list_(LEAK_ARROW))], ["text", "leaks"])
 
-    found = rows.mapInArrow(run, StructType([StructField("text", BinaryType()), StructField("leak", LEAK)]))
-    return found.groupBy("text").agg(F.array_sort(F.collect_list("leak")).alias("leaks"))
+    return rows.mapInArrow(run, StructType([StructField("text", BinaryType()), StructField("leaks", ArrayType(LEAK))]))
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text", item_id_col: str = "item_id",
