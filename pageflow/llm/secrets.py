@@ -5,13 +5,14 @@ On top, every long run of key characters is a candidate: a window slides over
 it, its character counts change by one in and one out, and from them the
 Shannon entropy of the window is kept up to date. The run's character class
 (hex, letters and digits, or base64) sets the threshold; the span from the
-first to the last window that reaches it is reported as ``entropy``, unless an
-allow-list pattern accepts the run (UUIDs, dates, plain words, names with
-numbers). Placeholder words are cut out of a run, and each piece left is a run
+first to the last window that reaches it is reported as ``entropy``, unless the
+allow list accepts the run (UUIDs, dates, words, names with numbers). Letters count as words by
+the length of the parts between changes of case and, all in capitals, by their vowels.
+Runs shorter than the window have a shorter one with thresholds of its own. Placeholder words are cut out of a run, and each piece left is a run
 of its own, so they hide no key beside them.
 Spans are in code points, end exclusive.
 
-Edge cases: null and empty texts have no spans; a run shorter than the window
+Edge cases: null and empty texts have no spans; a run shorter than the short window
 is never a candidate; spans of different kinds may overlap, and base spans
 always stay; ties at one start are ordered by kind as listed in ``KINDS``.
 """
@@ -37,27 +38,51 @@ _HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_CHARS)  # a run is taken whole, so shor
 WINDOW = 20
 #: Bits per character that a window of random characters passes and words or numbers do not, by class of the run.
 THRESHOLDS = {"hex": 3.0, "alnum": 3.5, "base64": 3.7}
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % WINDOW)
+#: Shorter runs are one window of this length or a little more; they have to mix letters and digits or cases.
+SHORT_WINDOW = 16
+SHORT_THRESHOLDS = {"hex": 2.8, "alnum": 3.3, "base64": 3.5}
+_MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])|(?=.*[a-z])(?=.*[A-Z])")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % SHORT_WINDOW)
 _CLASSES = (("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+")), ("alnum", re.compile(r"[A-Za-z0-9]+")))
 #: A group of small letters that can be a word: it has a vowel and no five consonants in a row.
 _WORD = r"(?=[a-z]*[aeiouy])(?![a-z]*[bcdfghjklmnpqrstvwxz]{5})"
 #: Runs that look random by their counts but are no secrets.
 ALLOWED = (
-    re.compile(r"[A-Za-z]+(?:[-_/=+][A-Za-z]+)*[-_/=+]*"),                      # words, slugs, paths
     re.compile(r"[0-9+/_=-]+"),                                                 # numbers, dates, phone numbers
     re.compile(r"(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"),            # UUIDs
     re.compile(rf"(?:{_WORD}[a-z]{{6,}}[0-9]{{1,4}}){{1,4}}"),                       # names with numbers
     re.compile(rf"(?:{_WORD}[a-z]{{4,}}[0-9]{{1,4}}[-_/=+])+(?:{_WORD}[a-z]{{4,}}[0-9]{{0,4}})?"),
     re.compile(r"(?:[A-Za-z]+[-_/][0-9]{1,4}[-_/]?)+"),
 )
+_LETTERS = re.compile(r"[A-Za-z]+(?:[-_/=+][A-Za-z]+)*[-_/=+]*")
+_GROUP, _PART = re.compile(r"[A-Za-z]{8,}"), re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_VOWEL, _CLUSTER = re.compile(r"[AEIOUY]"), re.compile(r"[BCDFGHJKLMNPQRSTVWXZ]{4}")
 _PLACEHOLDER = re.compile(r"(?i:example|placeholder|changeme|your[-_]?key|x{4,}|0123456789|abcdefgh)")
 
 
+def wordlike(run: str) -> bool:
+    """Whether a run is words, slugs or paths: letters only, parts between changes of case as long as words are, capitals that can be said."""
+    if not _LETTERS.fullmatch(run):
+        return False
+    for group in _GROUP.findall(run):
+        parts, vowels = len(_PART.findall(group)), len(_VOWEL.findall(group.upper()))
+        if len(group) < 4 * parts and (len(group) < 3 * parts or 3 * vowels < len(group)):
+            return False
+        if group.isupper() and (100 * vowels < 36 * len(group) or _CLUSTER.search(group)):
+            return False
+    return True
+
+
+def _allowed(run: str) -> bool:
+    return wordlike(run) or any(p.fullmatch(run) for p in ALLOWED)
+
+
 def entropy_span(run: str, window: int = WINDOW) -> tuple[int, int] | None:
     """(start, end) in ``run`` covered by windows at or over the threshold of its class; None if there is none."""
     kind = next((k for k, p in _CLASSES if p.fullmatch(run)), "base64")
     # entropy = log2(w) - sum(c log2 c) / w, so the threshold bounds the sum from above
-    most = window * (math.log2(window) - THRESHOLDS[kind]) + 1e-9
+    least = (THRESHOLDS if window >= WINDOW else SHORT_THRESHOLDS)[kind]
+    most = window * (math.log2(window) - least) + 1e-9
     cost = [c * math.log2(c) if c else 0.0 for c in range(window + 1)]
     counts: dict[str, int] = {}
     total, first, last = 0.0, -1, -1
@@ -77,10 +102,10 @@ def entropy_span(run: str, window: int = WINDOW) -> tuple[int, int] | None:
 
 
 def _pieces(run: str) -> list[tuple[int, str]]:
-    """(start, piece) of what is left of a run beside placeholder words, if a window fits in."""
+    """(start, piece) of what is left of a run beside placeholder words, if the short window fits in."""
     cuts = [m.span() for m in _PLACEHOLDER.finditer(run)]
     bounds = zip([0, *(end for _, end in cuts)], [*(start for start, _ in cuts), len(run)])
-    return [(a, run[a:b]) for a, b in bounds if b - a >= WINDOW]
+    return [(a, run[a:b]) for a, b in bounds if b - a >= SHORT_WINDOW]
 
 
 def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
@@ -94,10 +119,13 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
         found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_CHARS]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     for m in _CANDIDATE.finditer(text):
-        if any(p.fullmatch(m.group()) for p in ALLOWED):
+        if _allowed(m.group()):
             continue
         for start, run in _pieces(m.group()):
-            if not any(p.fullmatch(run) for p in ALLOWED) and (span := entropy_span(run)):
+            long = len(run) >= WINDOW
+            if _allowed(run) or not (long or _MIXED.match(run)):
+                continue
+            if span := entropy_span(run, WINDOW if long else SHORT_WINDOW):
                 found.append((m.start() + start + span[0], 3, m.start() + start + span[1]))
     return [(KINDS[k], s, e) for s, k, e in sorted(found)]
 
