@@ -23,7 +23,12 @@ BROADCAST_IDS = 1_000_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    A null text is scored as an empty one, whole texts of any length are scored,
+    repeated rows get the same score, and without labels or documents nothing is learnt: all scores are 0.5,
+    which the classifier rejects; an empty table stays empty.
+    """
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
     score = free_name(docs, "score")
     scored = quality_fm.score(docs, model, docs.columns, name=score)
@@ -52,14 +57,22 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts have none and stay; repeated rows share their fate; texts of any length are
+    searched whole; an empty benchmark drops nothing.
+    """
     leaks = free_name(docs, "leaks")
     flagged = decontaminate.flag(docs, table(spark, sf_dir, "benchmark"), docs.columns, name=leaks)
     return flagged.where(F.size(leaks) == 0).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked in the text and n_chars set anew where that changed it."""
+    """All documents, with secrets masked in the text and n_chars set anew where that changed it.
+
+    Null and empty texts and texts without secrets stay as they are, a null n_chars of an unchanged text too;
+    repeated rows stay repeated; an empty table stays empty.
+    """
     found = free_name(docs, "n_secrets")
     masked = secrets.redacted(docs, name=found)
     return masked.withColumn("n_chars", F.when(F.col(found) > 0, F.length("text")).otherwise(F.col("n_chars"))
@@ -67,7 +80,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document: id, number of tokens, token ids and the digest of the decoded text."""
+    """Per document: id, number of tokens, token ids and the digest of the decoded text.
+
+    A null text counts as empty: no tokens and the digest of the empty text. Every row has one row, repeated ones too.
+    """
     coded = bpe.round_trip(docs, tokenizer_path())
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                         F.sha2("decoded", 256).alias("decoded_sha256"))

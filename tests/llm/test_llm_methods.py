@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pageflow.llm import bpe, chunks, decontaminate, html_blocks, html_crf, jaccard, quality_fm, quality_rules, secrets, shards
@@ -466,3 +467,63 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, texts):
     got = corpus_pipeline.run(spark, SMALL).collect()
     assert {r["doc_id"]: r["ids"] for r in got} == want and len(got) == len(want)
     assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+
+
+# --- what must not grow with the square of a group -----------------------------------------
+
+def test_near_copies_are_not_paired_one_by_one(spark):
+    """2,000 copies with three words changed, few of which link: tokens meet blocks, not all pairs of sets."""
+    rng = random.Random(1)
+    words = [f"w{k}" for k in range(5000)]
+    base = rng.choices(words, k=120)
+    docs = []
+    for k in range(2000):
+        own = list(base)
+        for _ in range(3):
+            own[rng.randrange(120)] = rng.choice(words)
+        docs.append((k, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    counted = jaccard.stored(jaccard.census(df, "doc_id", "text", 0), "test-census")
+    classes = counted.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"), F.min("n").alias("n"))
+    levels, hot = jaccard._levels(jaccard._sketch(counted.where("block IS NOT NULL").select("block", "counts")))
+    tokens = jaccard.stored(jaccard.shared_tokens(df, "text", 0, levels, hot, 16), "test-tokens")
+    placed = jaccard.stored(jaccard.blocks(tokens, classes), "test-placed")
+    met = tokens.join(placed, "class").select("token", "block").distinct().groupBy("token").count()
+    pairs = met.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
+    assert placed.count() == classes.count() and pairs <= 20_000
+    assert jaccard.candidates(tokens, placed).count() <= 500
+
+
+def test_random_letters_and_short_tokens_are_found():
+    rng = random.Random(9)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+    def recall(letters, n):
+        return sum(any(k == "entropy" for k, _, _ in secrets.find_secrets("key " + "".join(rng.choices(letters, k=n)) + " end")) for _ in range(1000)) / 1000
+
+    for letters, sizes in ((low + up, (20, 24, 32, 40)), (up, (24, 32, 40)), (low + digits, (16, 17, 18, 19)), (up + digits, (16, 18)), (low + up + digits, (16, 18, 20))):
+        for n in sizes:
+            assert recall(letters, n) >= 0.9, (letters, n)
+    assert recall(up, 20) >= 0.78  # the rest can be said like words
+    clean = ("JavaScriptFrameworkDeveloper getConnectionByIdentifier some-long-path/with/words INTERNATIONALIZATION responsibilities "
+             "Donaudampfschifffahrtsgesellschaft release2024-version12 well-established-practice chapter12section3 2024-01-02T03:04:05")
+    assert not secrets.find_secrets(clean)
+
+
+def test_seeds_cover_every_leak():
+    """Any passage over the bars holds as many n-gram starts of the item as the seeds are chosen for."""
+    rng = np.random.default_rng(7)
+    tried = 0
+    while tried < 300:
+        n = int(rng.integers(2, 60))
+        item = rng.integers(0, 40, n)
+        text = [int(w) for w in item if rng.random() > 0.15]
+        for _ in range(int(rng.integers(0, n))):
+            text.insert(int(rng.integers(0, len(text) + 1)), int(rng.integers(0, 60)))
+        text = np.array(text, np.int64)
+        if not len(text) or not decontaminate.is_leak(*decontaminate.align(item, text)[:2], n) or n < decontaminate.WHOLE_WORDS:
+            continue
+        tried += 1
+        held = {(int(text[a]), int(text[b])) for a in range(len(text)) for b in (a + 1, a + 2) if b < len(text)}
+        starts = {a for a in range(n) for b in (a + 1, a + 2) if b < n and (int(item[a]), int(item[b])) in held}
+        assert len(starts) >= decontaminate.least_starts(n)
