@@ -1,11 +1,13 @@
 """Article text measures as pure Column expressions.
 
-Evaluated per row on the whole text inside whole-stage codegen.
+Evaluated per row on the whole text, without Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,15 +38,17 @@ TOP_N = 100
 
 
 def topic_flag(terms: Sequence[str] = TOPIC_TERMS, title_pattern: str | None = TITLE_PATTERN) -> Column:
-    """A1: 1 if the lower-cased text contains any term (literal substring) or the title matches."""
-    low = F.lower(F.col("text"))
-    cond = None
-    for t in terms:
-        c = low.contains(F.lit(t))
-        cond = c if cond is None else cond | c
+    """A1: 1 if the lower-cased text contains any term (literal substring) or the title matches.
+
+    The text is bound to a variable after lower-casing, so it is lower-cased
+    once, not once a term wherever Catalyst moves the condition.
+    """
+    cond = F.exists(F.array(F.lower(F.col("text"))), lambda low: reduce(or_, [low.contains(F.lit(t)) for t in terms])) if terms else None
     if title_pattern is not None:
         c = F.lower(F.col("title")).like(title_pattern)
         cond = c if cond is None else cond | c
+    if cond is None:
+        return F.lit(0)
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 

@@ -1,8 +1,8 @@
 """Load ledger: append-only file outcomes and the views over them.
 
-The ledger is never updated in place: each attempt appends a row and the
+Rows are never updated: each attempt appends one and the
 current state of a file is its newest row (``INSERT OR REPLACE`` semantics
-without MERGE). All views are aggregates, so they scale with the number of
+without MERGE); a row of status ``epoch`` starts anew. All views are aggregates, so they scale with the number of
 files, not rows.
 """
 
@@ -15,17 +15,32 @@ from pyspark.sql import functions as F
 
 from pageflow import schemas as S
 from pageflow.operators.maintain import keep_latest
-from pageflow.session import read_or_empty
+from pageflow.plans.swap import current_frame, file_count, replace_frame
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table, or an empty one with the fixed schema if absent."""
-    return read_or_empty(spark, path, S.LEDGER)
+    return current_frame(spark, path, S.LEDGER)
+
+
+#: Files that the ledger's folder may hold before they are put together.
+LEDGER_FILES = 200
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:
-    """L5 (write side): append attempt rows."""
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in S.LEDGER.fields]).write.mode("append").parquet(path)
+    """L5 (write side): append attempt rows, and put the files together when there are many of them."""
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in S.LEDGER.fields]).coalesce(1).write.mode("append").parquet(path)
+    if file_count(rows.sparkSession, path) > LEDGER_FILES:
+        compact_ledger(rows.sparkSession, path)
+
+
+def compact_ledger(spark: SparkSession, path: str) -> None:
+    """Rewrites the ledger, with its whole history, as one file for each million rows or so.
+
+    Whoever appends holds the load's lease (``plans.ingest``), so nothing is added meanwhile.
+    """
+    rows = read_ledger(spark, path)
+    replace_frame(rows.coalesce(max(1, rows.count() // 1_000_000)), path)
 
 
 #: Status of a row that starts a new epoch: files count as loaded only by later rows.

@@ -80,14 +80,13 @@ def rebuild_and_swap(spark: SparkSession, src_path: str, dst_root: str,
 
     Spark cannot overwrite a table it is reading, so the rebuilt table goes
     to ``{dst_root}/v{version}``, in the layout of the load, so that further
-    loads can follow it there. Rows are range-partitioned by month, dump and
-    page, without a fixed count: Spark sizes the tasks by their bytes.
+    loads can follow it there.
     """
     from pageflow.plans.ingest import read_fact, write_fact
 
     out = f"{dst_root.rstrip('/')}/v{version}"
     rebuilt = transform(read_fact(spark, src_path)).drop("ym", "src_file")
-    write_fact(rebuilt.repartitionByRange("time", "path"), out)
+    write_fact(rebuilt, out)
     if table:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{out}'")
         spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")

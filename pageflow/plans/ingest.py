@@ -33,6 +33,7 @@ from pageflow import schemas as S
 from pageflow.functions import parse as P
 from pageflow.operators import ledger as L
 from pageflow.operators.ingest_ops import flag_lenient, parse_strict
+from pageflow.plans.swap import Lease
 from pageflow.plans.versions import SnapshotTable
 from pageflow.session import drop_path, path_exists, read_or_empty, scratch_path
 from pageflow.sources.dumps import read_named_lines
@@ -121,6 +122,16 @@ def ingest(spark: SparkSession, base: str, manifest: DataFrame, fact_path: str |
            run_id: str | None = None, now: _dt.datetime | None = None) -> dict:
     """Load the manifest's pending files into the fact table and append their outcomes to the ledger.
 
+    A lease beside the ledger keeps loaders apart (B7): a second one waits, then
+    finds in the ledger what the first has loaded.
+    """
+    with Lease(spark, f"{ledger_path.rstrip('/')}.lease"):
+        return _ingest(spark, base, manifest, fact_path, ledger_path, keywords, mode, projects, parser, run_id, now)
+
+
+def _ingest(spark, base, manifest, fact_path, ledger_path, keywords, mode, projects, parser, run_id, now) -> dict:
+    """The load itself.
+
     ``manifest`` needs ``file_pattern`` (relative to ``base``). ``parser``:
     ``lenient`` (the keyword load), ``strict`` (5-group regex of the
     full-history loader) or ``history`` (lenient tokens, no unknown-title
@@ -235,12 +246,16 @@ def write_fact(rows: DataFrame, fact_path: str, append: bool = False) -> None:
     written, in several splits. The sort leads with the partition columns, as
     the partitioned writer wants it, so it does not sort again and files stay
     ordered by ``path`` for row-group skipping. Rows without a ``file_name``
-    are filed under the dump of their hour.
+    are filed under the dump of their hour; as they don't come staged by dump, each task
+    may hold rows of every hour, so they are dealt by dump first.
     """
     named = F.col("file_name") if "file_name" in rows.columns else F.concat(
         F.lit("pageviews-"), F.date_format("time", P.FILE_STAMP_FORMAT), F.lit(".gz"))
     out = (rows.withColumn("ingestion_date", F.current_date()).withColumn("ym", P.ym(F.col("time")))
            .withColumn("src_file", named).drop("file_name"))
+    if "file_name" not in rows.columns:
+        # a number of its own, since AQE would merge small dumps into one task, which then writes all their folders
+        out = out.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *FACT_PARTITIONS)
     (out.sortWithinPartitions(*FACT_PARTITIONS, "path", "time")
      .write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*FACT_PARTITIONS).parquet(fact_path))

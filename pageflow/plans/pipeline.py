@@ -21,7 +21,8 @@ from pageflow.operators import ledger as L
 from pageflow.operators import reports as R
 from pageflow.operators.maintain import empty_folder
 from pageflow.plans import ingest as IG
-from pageflow.plans.versions import SnapshotTable, current_frame, replace_frame
+from pageflow.plans.swap import Lease, current_frame, replace_frame
+from pageflow.plans.versions import SnapshotTable
 from pageflow.session import read_or_empty
 
 
@@ -116,11 +117,12 @@ def reset(spark: SparkSession, fact: str | SnapshotTable, ledger_path: str, now:
     The epoch comes last: after a crash before it the files still count as
     loaded, so the reset has to be asked for again, and nothing is loaded twice.
     """
-    if isinstance(fact, SnapshotTable):
-        fact.truncate()
-    else:
-        empty_folder(spark, fact)
-    L.new_epoch(spark, ledger_path, now)
+    with Lease(spark, f"{ledger_path.rstrip('/')}.lease"):
+        if isinstance(fact, SnapshotTable):
+            fact.truncate()
+        else:
+            empty_folder(spark, fact)
+        L.new_epoch(spark, ledger_path, now)
 
 
 def census(spark: SparkSession, layout: Layout) -> DataFrame:

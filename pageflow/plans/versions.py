@@ -37,7 +37,8 @@ from pageflow import schemas as S
 from pageflow.functions import parse as P
 from pageflow.operators import reports as R
 from pageflow.operators.maintain import keep_latest
-from pageflow.session import drop_path, path_exists
+from pageflow.plans.swap import current_frame, replace_frame  # noqa: F401 - part of this module's interface
+from pageflow.session import drop_path
 
 
 class Conflict(RuntimeError):
@@ -339,34 +340,3 @@ class SnapshotTable:
     def summary(self, keywords: DataFrame, **how) -> DataFrame:
         """R10 from the batches' totals."""
         return R.summary_of(self.page_totals(), keywords, **how)
-
-
-def _folders(spark: SparkSession, at: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(at.rstrip("/"))
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def replace_frame(rows: DataFrame, at: str) -> None:
-    """Replaces the small table at ``at``. The new rows are whole before the old ones move aside.
-
-    Two renames swap the folders. A crash between them leaves the old rows in
-    ``<at>._old``, where :func:`current_frame` finds them, and the next replacement puts things right.
-    """
-    spark = rows.sparkSession
-    p, fs = _folders(spark, at)
-    new, old = (_folders(spark, f"{at.rstrip('/')}.{name}")[0] for name in (f"_new-{uuid.uuid4().hex[:12]}", "_old"))
-    rows.write.parquet(new.toString())
-    if fs.exists(p):
-        fs.delete(old, True)  # of a replacement that was done but for this
-        fs.rename(p, old)
-    if not fs.rename(new, p):
-        raise OSError(f"{new} could not be moved to {p}")
-    fs.delete(old, True)
-
-
-def current_frame(spark: SparkSession, at: str, schema) -> DataFrame:
-    """The rows that :func:`replace_frame` last put at ``at``, also after a crash in the middle of one."""
-    for place in (at.rstrip("/"), f"{at.rstrip('/')}._old"):
-        if path_exists(spark, place):
-            return spark.read.schema(schema).parquet(place)
-    return spark.createDataFrame([], schema)

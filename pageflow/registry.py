@@ -437,7 +437,7 @@ def q_append_twice(spark, sf):
 
 
 def _versioned(spark, sf, name: str) -> V.SnapshotTable:
-    """A snapshot table with every hourly dump loaded, all months but the last compacted, and the first day loaded again."""
+    """A snapshot table with every hourly dump loaded, all months but the last compacted (one month alone is), and the first day loaded again."""
     base = DF.derived_dump_dir(spark, sf, "clean")
     root = scratch_path(spark, name)
     fact, kw = V.SnapshotTable(spark, f"{root}/fact"), X.keyword_seed(spark, sf)

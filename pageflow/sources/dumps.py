@@ -73,15 +73,38 @@ def read_dump_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 def infer_dump_schema(spark: SparkSession, paths: str | Sequence[str],
                       sampling_ratio: float = 1.0) -> DataFrame:
-    """Detected schema as rows ``(column_name, data_type)``.
+    """Detected schema as rows ``(ordinal, column_name, data_type)``.
 
-    Inference is a Spark job over the files (sampled with ``sampling_ratio``
-    on large inputs); the result is one row per column.
+    One scan of the all-text view (of a share of its rows with ``sampling_ratio``):
+    each task folds its rows into one flag for every column and type, and the
+    flags of all tasks into the narrowest type that holds every value.
     """
-    df = (_csv(spark, None).option("inferSchema", "true")
-          .option("samplingRatio", str(sampling_ratio)).load(_paths(paths)))
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "ordinal INT, column_name STRING, data_type STRING")
+    df = read_dump_text(spark, paths)
+    if sampling_ratio < 1:
+        df = df.sample(sampling_ratio)
+    return detect_types(df.toDF(*[f"_c{k}" for k in range(len(df.columns))]))
+
+
+#: Narrowest first; a column in which none of them holds every value, or without values, is a string.
+DETECTED_TYPES = ["int", "bigint", "double", "timestamp", "boolean"]
+
+
+def detect_types(df: DataFrame) -> DataFrame:
+    """The narrowest type of each text column, by one aggregate whose size doesn't depend on the rows."""
+    def holds(c: str, kind: str):
+        return F.every(F.col(f"`{c}`").isNull() | F.col(f"`{c}`").try_cast(kind).isNotNull())
+
+    flags = df.agg(*[F.array(F.count(f"`{c}`") > 0, *[holds(c, kind) for kind in DETECTED_TYPES]).alias(f"f{k}") for k, c in enumerate(df.columns)])
+
+    def narrowest(f):
+        kind = F.lit("string")
+        for k, name in reversed(list(enumerate(DETECTED_TYPES, 1))):
+            kind = F.when(f[k], F.lit(name)).otherwise(kind)
+        return F.when(f[0], kind).otherwise(F.lit("string"))
+
+    rows = F.array(*[F.struct(F.lit(k).alias("ordinal"), F.lit(c).alias("column_name"), narrowest(F.col(f"f{k}")).alias("data_type"))
+                     for k, c in enumerate(df.columns)])
+    return flags.select(F.inline(rows))
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:

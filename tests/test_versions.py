@@ -15,7 +15,10 @@ from pageflow.operators import reports as R
 from pageflow.plans import ingest as IG
 from pageflow.plans import pipeline as PL
 from pageflow.plans import versions as V
+from pageflow.plans.swap import Lease
 from pageflow.sources import manifest as MF
+from pageflow.sources.dumps import detect_types
+from pageflow.streaming.filestream import run_stream_load, start_stream_load
 
 ROW = "time TIMESTAMP, project STRING, subproject STRING, path STRING, hits BIGINT, file_name STRING"
 
@@ -250,6 +253,68 @@ def test_a_new_epoch_makes_all_files_pending(spark, workdir):
         assert L.latest_loads(history, 20).count() == 6 and L.status_rollup(history).count() == 2
 
 
+def test_the_ledger_keeps_few_files(spark, workdir, monkeypatch):
+    monkeypatch.setattr(L, "LEDGER_FILES", 6)
+    path = f"{workdir}/l"
+    for k in range(14):
+        L.append_ledger(spark.createDataFrame([(f"f{k % 3}", k, dt.datetime(2025, 1, 1, k), "success", None, f"r{k}")], S.LEDGER), path)
+        assert len([f for f in os.listdir(path) if f.startswith("part-")]) <= 6
+    assert L.read_ledger(spark, path).count() == 14
+    assert sorted((r.file_pattern, r.rows_inserted) for r in L.ledger_latest(L.read_ledger(spark, path)).collect()) == [("f0", 12), ("f1", 13), ("f2", 11)]
+    os.rename(path, f"{path}._old")  # a crash in the middle of putting files together
+    assert L.read_ledger(spark, path).count() == 14
+
+
+def test_two_loaders_load_each_file_once(spark, workdir):
+    base = _dumps(workdir, 4, set())
+    kw = spark.createDataFrame([("DuckDB", "database")], "keyword STRING, category STRING")
+    m = MF.hourly_manifest_between(spark, JAN, JAN + dt.timedelta(hours=3))
+    done = []
+    threads = [threading.Thread(target=lambda k=k: done.append(IG.ingest(spark, base, m, f"{workdir}/fact", f"{workdir}/l", kw, run_id=f"r{k}")))
+               for k in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(r["attempted"] for r in done) == [0, 4] and L.read_ledger(spark, f"{workdir}/l").count() == 4
+
+
+def test_a_lease_of_a_dead_holder_is_taken_over(spark, workdir):
+    at = f"{workdir}/x.lease"
+    dead = Lease(spark, at, seconds=1)
+    assert dead._free()  # and never kept fresh
+    with Lease(spark, at, seconds=1, wait=30) as mine:
+        assert mine._mine() and not dead._mine()
+        with pytest.raises(TimeoutError):
+            Lease(spark, at, seconds=60, wait=0).__enter__()
+    assert not os.path.exists(at)
+
+
+def test_the_stream_tries_failed_files_again(spark, workdir):
+    base = _dumps(workdir, 3, {1})
+    kw = spark.createDataFrame([("DuckDB", "database")], "keyword STRING, category STRING")
+    paths = f"{workdir}/fact", f"{workdir}/l"
+
+    def run():
+        run_stream_load(spark, base, *paths, kw, f"{workdir}/ck", retry_failed=True)
+        return IG.read_fact(spark, paths[0]).count(), L.read_ledger(spark, paths[1]).count()
+
+    assert run() == (2, 3)
+    assert run() == (2, 4)  # once a run, still broken
+    _dumps(workdir, 3, set())
+    assert run() == (3, 5)
+    assert run() == (3, 5)
+    with pytest.raises(ValueError):
+        start_stream_load(spark, base, *paths, kw, f"{workdir}/ck2", available_now=False, retry_failed=True)
+
+
+def test_detected_types(spark):
+    df = spark.createDataFrame([("1", "3000000000", "1.5", "2024-01-01 00:00:00", "true", "x", None), ("2", "4", "2", None, "false", "1", None)],
+                               ", ".join(f"c{k} string" for k in range(7)))
+    got = {r.column_name: r.data_type for r in detect_types(df).collect()}
+    assert got == {"c0": "int", "c1": "bigint", "c2": "double", "c3": "timestamp", "c4": "boolean", "c5": "string", "c6": "string"}
+
+
 def test_append_is_refused(spark, workdir):
     base = _dumps(workdir, 1, set())
     m = MF.hourly_manifest_between(spark, JAN, JAN)
