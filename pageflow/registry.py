@@ -436,10 +436,17 @@ def q_append_twice(spark, sf):
 # --- versions of the stored fact (W1, W2, W5, W7, W8, L8, M3, M4, R10) ----------------------
 
 
-def _versioned(spark, sf, name: str) -> V.SnapshotTable:
-    """A snapshot table with every hourly dump loaded, all months but the last compacted (one month alone is), and the first day loaded again."""
+_VERSIONED: dict[tuple, V.SnapshotTable] = {}
+
+
+def _versioned(spark, sf) -> V.SnapshotTable:
+    """A snapshot table with every hourly dump loaded, all months but the last compacted (one month alone is), and the first day
+    loaded again; made once a session, for the queries that read it."""
+    key = (id(spark.sparkContext), sf)
+    if key in _VERSIONED:
+        return _VERSIONED[key]
     base = DF.derived_dump_dir(spark, sf, "clean")
-    root = scratch_path(spark, name)
+    root = scratch_path(spark, "versioned")
     fact, kw = V.SnapshotTable(spark, f"{root}/fact"), X.keyword_seed(spark, sf)
     manifest = MF.hourly_manifest(X.event_bounds(spark, sf))
     IG.ingest(spark, base, manifest, fact, f"{root}/ledger", kw, run_id="run-1")
@@ -447,26 +454,27 @@ def _versioned(spark, sf, name: str) -> V.SnapshotTable:
     fact.compact(before=last.year * 100 + last.month if (last.year, last.month) != (first.year, first.month) else 999912)
     day = manifest.where(F.to_date("file_time") == F.lit(first.date()))
     IG.ingest(spark, base, day, fact, f"{root}/ledger-replay", kw, run_id="run-2")
+    _VERSIONED[key] = fact
     return fact
 
 
 @register("snapshot_load")
 def q_snapshot_load(spark, sf):
     """Load, compaction of closed months and a replay into one of them, read back through one reader."""
-    return _versioned(spark, sf, "snapshot-load").read().select("time", "project", "subproject", "path", "hits", "ym", "src_file")
+    return _versioned(spark, sf).read().select("time", "project", "subproject", "path", "hits", "ym", "src_file")
 
 
 @register("snapshot_daily_trend")
 def q_snapshot_daily_trend(spark, sf):
     """One page's trend, reading only the files whose range of pages holds it."""
-    fact = _versioned(spark, sf, "snapshot-trend")
+    fact = _versioned(spark, sf)
     return R.daily_trend(fact.read(page="red_widget"), "red_widget")
 
 
 @register("snapshot_summary")
 def q_snapshot_summary(spark, sf):
     """R10 from the page totals that each load left, after a compaction and a replay."""
-    return _versioned(spark, sf, "snapshot-summary").summary(X.keyword_seed(spark, sf), stamp_latest=True)
+    return _versioned(spark, sf).summary(X.keyword_seed(spark, sf), stamp_latest=True)
 
 
 @register("merge_latest")
