@@ -4,7 +4,7 @@ A gear rolling hash runs over the bytes of each text: every byte shifts the
 hash and adds its own random number, so after 16 bytes nothing older is left in
 its 16 bits. A chunk ends where the top bits are 0; inserted or removed bytes
 thus move only the borders near them, and a passage that recurs anywhere is cut
-alike from its second border on. Chunks are deduplicated by a 64-bit digest:
+alike from its second border on. Chunks are deduplicated by a 128-bit digest:
 one aggregate finds those that occur twice or more and the smallest document
 that has them, and a join marks their occurrences. Adjacent marked chunks make
 a run; runs of at least ``MIN_RUN`` bytes are reported.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from xxhash import xxh3_64_intdigest as digest
+from xxhash import xxh3_128_digest as digest
 
 from pageflow.llm.components import stored
 from pageflow.llm.scan import map_texts
@@ -36,7 +36,7 @@ CUT_BITS = 5            # a border each 32 bytes on average
 APART = 8               # and none within 8 bytes after a possible border
 LONG_GAP = 128          # longer gaps between borders get borders by a second rule
 MAX_CHUNK = 2048
-MIN_RUN = 64
+MIN_RUN = 100           # longer than most common lines, shorter than what is left of 50 words between whole chunks
 _GEAR = np.random.default_rng(20).integers(0, 1 << 16, 256).astype(np.uint16)
 
 
@@ -89,12 +89,12 @@ def borders(data: bytes) -> np.ndarray:
 
 
 def chunk(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a chunk: row (a number of the document's row), id, digest, start and end (code points) and bytes."""
-    names = ["row", "doc_id", "digest", "start", "end", "bytes"]
+    """One row a chunk: row (a number of the document's row), id, digest in two halves, start and end (code points) and bytes."""
+    names = ["row", "doc_id", "digest", "second", "start", "end", "bytes"]
 
     def run(batches):
         for b in batches:
-            sizes, columns = [], [[], [], [], []]
+            sizes, columns = [], [[], [], [], [], []]
             for text in b.column("text").to_pylist():
                 data = (text or "").encode("utf-8", "surrogatepass")
                 if not data:
@@ -103,9 +103,9 @@ def chunk(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                 ends = borders(data)
                 starts = np.concatenate([[0], ends[:-1]])
                 points = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])
-                found = [digest(data[i:j]) for i, j in zip(starts.tolist(), ends.tolist())]
+                found = np.frombuffer(b"".join([digest(data[i:j]) for i, j in zip(starts.tolist(), ends.tolist())]), np.int64)
                 sizes.append(len(ends))
-                for column, part in zip(columns, (np.array(found, np.uint64).view(np.int64), points[starts], points[ends], ends - starts)):
+                for column, part in zip(columns, (found[::2], found[1::2], points[starts], points[ends], ends - starts)):
                     column.append(part)
             if columns[0]:
                 rows = pa.array(np.repeat(np.arange(len(sizes)), sizes))
@@ -124,11 +124,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     which a deduplicated corpus keeps.
     """
     chunks = chunk(docs, id_col, text_col)
-    again = (chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id"))
-             .where("n > 1").select("digest", "first_doc_id"))
+    again = (chunks.groupBy("digest", "second").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id"))
+             .where("n > 1").select("digest", "second", "first_doc_id"))
     again = stored(again, "chunk-digests")  # so that the join's sides are both shuffled, and a hot one can be split
-    marked = chunks.join(again, "digest").withColumn("own", F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
-    place = F.row_number().over(Window.partitionBy("row", "digest").orderBy("start"))
+    marked = chunks.join(again, ["digest", "second"]).withColumn("own", F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
+    place = F.row_number().over(Window.partitionBy("row", "digest", "second").orderBy("start"))
     kept = marked.repartition("row").withColumn("removed", ~F.col("own") | (place > 1))
     order = Window.partitionBy("row").orderBy("start")
     new = (F.col("start") != F.lag("end", 1, -1).over(order)) | (F.col("removed") != F.lag("removed", 1, False).over(order))
