@@ -437,7 +437,7 @@ def test_hot_group_is_cut_and_the_rest_kept_whole(spark):
 
 # --- queries with SQL, and the pipeline --------------------------------------------------
 
-@pytest.mark.parametrize("name", ["op2_jaccard", "op8_url_filter", "op10_shards"])
+@pytest.mark.parametrize("name", ["op2_jaccard", "op7_quality_rules", "op8_url_filter", "op10_shards", "op11_divergence", "op12_cross_polytope", "op13_prefix_trie"])
 def test_oracle(spark, name):
     from oracle_check import compare
 
