@@ -35,6 +35,10 @@ class Layout:
     def fact(self) -> str:
         return f"{self.root}/pageviews"
 
+    @property
+    def versions(self) -> str:
+        return f"{self.root}/pageviews_versions"
+
     @property
     def keywords(self) -> str:
         return f"{self.root}/keywords"
@@ -104,11 +108,15 @@ def load_stats(ledger: DataFrame, run_id: str | None = None) -> DataFrame:
                      F.col("processed_at").alias("load_timestamp"), "status", "error_message")
 
 
-def write_summary(spark: SparkSession, layout: Layout, keywords: DataFrame) -> None:
-    """Replace the summary snapshot (R10) computed over the whole fact; an empty fact leaves the last one."""
-    fact = IG.read_fact(spark, layout.fact)
-    if not fact.isEmpty():
-        replace_frame(R.summary_snapshot(fact, keywords), layout.summary)
+def write_summary(spark: SparkSession, layout: Layout, keywords: DataFrame, table: SnapshotTable | None = None) -> None:
+    """Replace the summary snapshot (R10); an empty fact leaves the last one.
+
+    Computed over the whole fact, or from the page totals of a snapshot table, which
+    the loads left, so that only what a load brought is ever counted.
+    """
+    per_page = table.page_totals() if table is not None else R.page_totals(IG.read_fact(spark, layout.fact))
+    if not per_page.isEmpty():
+        replace_frame(R.summary_of(per_page, keywords), layout.summary)
 
 
 def reset(spark: SparkSession, fact: str | SnapshotTable, ledger_path: str, now: _dt.datetime | None = None) -> None:
@@ -130,7 +138,7 @@ def census(spark: SparkSession, layout: Layout) -> DataFrame:
     def read(path, schema):
         return read_or_empty(spark, path, schema)
     return R.table_census(spark, {
-        "pageviews": read(layout.fact, S.FACT),
+        "pageviews": read(layout.fact, S.FACT).unionByName(SnapshotTable(spark, layout.versions).read()),
         "keywords": read(layout.keywords, S.KEYWORDS),
         "processed_files": read(layout.ledger, S.LEDGER),
         "pageview_load_stats": read(layout.load_stats, S.LOAD_STATS),
@@ -139,18 +147,23 @@ def census(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def _run(spark: SparkSession, base: str, layout: Layout, manifest: DataFrame, mode: str,
-         run_id: str | None, now: _dt.datetime | None, db: str | None) -> dict:
+         run_id: str | None, now: _dt.datetime | None, db: str | None, versioned: bool = False) -> dict:
     D.seed_keywords(spark, layout.keywords)  # K1, idempotent
     keywords = spark.read.parquet(layout.keywords)
-    res = IG.ingest(spark, base, manifest, layout.fact, layout.ledger, keywords, mode=mode,
+    table = SnapshotTable(spark, layout.versions) if versioned else None
+    res = IG.ingest(spark, base, manifest, table or layout.fact, layout.ledger, keywords, mode=mode,
                     run_id=run_id, now=now)
     if res["attempted"]:
         stats = load_stats(L.read_ledger(spark, layout.ledger), res["run_id"])
         stats.select(*[F.col(f.name).cast(f.dataType) for f in S.LOAD_STATS.fields]) \
             .write.mode("append").parquet(layout.load_stats)
-        write_summary(spark, layout, keywords)
-        show_partitions(spark, layout, db)
-    res["total_rows"] = IG.read_fact(spark, layout.fact).count()
+        write_summary(spark, layout, keywords, table)
+        if table is None:
+            show_partitions(spark, layout, db)
+    if table is not None:
+        res["total_rows"] = table.page_totals().agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    else:
+        res["total_rows"] = IG.read_fact(spark, layout.fact).count()
     return res
 
 
@@ -161,9 +174,11 @@ def run_basic(spark: SparkSession, base: str, layout: Layout, manifest: DataFram
 
 
 def run_incremental(spark: SparkSession, base: str, layout: Layout, manifest: DataFrame,
-                    run_id: str | None = None, now: _dt.datetime | None = None, db: str | None = "pageflow") -> dict:
+                    run_id: str | None = None, now: _dt.datetime | None = None, db: str | None = "pageflow",
+                    versioned: bool = False) -> dict:
     """Load only files not yet loaded successfully; a wider manifest backfills missing hours.
 
-    With nothing pending the run ends there: no stats, no new summary.
+    With nothing pending the run ends there: no stats, no new summary. ``versioned`` keeps the
+    fact in a snapshot table (``layout.versions``), whose summary needs no scan of it.
     """
-    return _run(spark, base, layout, manifest, "incremental", run_id, now, db)
+    return _run(spark, base, layout, manifest, "incremental", run_id, now, db, versioned)

@@ -315,6 +315,20 @@ def test_detected_types(spark):
     assert got == {"c0": "int", "c1": "bigint", "c2": "double", "c3": "timestamp", "c4": "boolean", "c5": "string", "c6": "string"}
 
 
+def test_incremental_runs_over_versions(spark, workdir):
+    base, lay = _dumps(workdir, 4, {2}), PL.Layout(f"{workdir}/tables")
+    m = lambda n: MF.hourly_manifest_between(spark, JAN, JAN + dt.timedelta(hours=n - 1))
+    plain = PL.run_incremental(spark, base, PL.Layout(f"{workdir}/plain"), m(4), run_id="a", db=None)
+    r = PL.run_incremental(spark, base, lay, m(2), run_id="a", db=None, versioned=True)
+    assert (r["succeeded"], r["total_rows"]) == (2, 2)
+    r = PL.run_incremental(spark, base, lay, m(4), run_id="b", db=None, versioned=True)
+    assert (r["attempted"], r["succeeded"], r["total_rows"]) == (2, 1, 3) and plain["total_rows"] == 3
+    assert PL.run_incremental(spark, base, lay, m(2), run_id="c", db=None, versioned=True)["attempted"] == 0
+    one, two = (V.current_frame(spark, x.summary, S.SUMMARY).drop("generated_at").first() for x in (lay, PL.Layout(f"{workdir}/plain")))
+    assert one == two and one.total_rows == 3
+    assert {x.table_name: x.row_count for x in PL.census(spark, lay).collect()}["pageviews"] == 3
+
+
 def test_append_is_refused(spark, workdir):
     base = _dumps(workdir, 1, set())
     m = MF.hourly_manifest_between(spark, JAN, JAN)
