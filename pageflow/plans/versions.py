@@ -38,7 +38,7 @@ from pageflow.functions import parse as P
 from pageflow.operators import reports as R
 from pageflow.operators.maintain import keep_latest
 from pageflow.plans.swap import current_frame, replace_frame  # noqa: F401 - part of this module's interface
-from pageflow.session import drop_path
+from pageflow.session import drop_path, scratch_path
 
 
 class Conflict(RuntimeError):
@@ -114,6 +114,12 @@ STATE_TASKS = 4
 BLOOM = {"parquet.bloom.filter.enabled#path": "true", "parquet.bloom.filter.expected.ndv#path": "100000"}
 
 
+def _written(rows: DataFrame) -> DataFrame:
+    at = scratch_path(rows.sparkSession, "merge-rows")
+    rows.write.parquet(at)
+    return rows.sparkSession.read.parquet(at)
+
+
 @dataclass
 class State:
     number: int
@@ -267,6 +273,7 @@ class SnapshotTable:
         """
         if "time" not in keys:
             raise ValueError("a key without the hour can have rows in several source files")
+        rows = _written(rows)  # read several times below
         touched = rows.select("src_file").distinct()
         months = rows.select(P.ym(F.col("time")).alias("ym")).distinct()
         state = self.state()
